@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kinetable.functions.names import natural_key
+
 DATASET, EPISODE, FRAMES = "dataset_id", "episode", "n_frames"
 
 # fixed values: upper limits and labels of the size classes
@@ -62,7 +65,7 @@ def frames_by_meta(episodes: DataFrame, dataset: str = DATASET, episode: str = "
 
 
 def frame_lists(counts: DataFrame) -> DataFrame:
-    """Ordered frame counts per dataset (one number per episode) with totals."""
+    """Ordered frame counts per dataset (one number per episode, so a list of episodes) with totals."""
     return counts.groupBy(DATASET).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(EPISODE, FRAMES))), lambda x: x[FRAMES]).alias("episode_frames_num"),
         F.count(F.lit(1)).alias("episodes_num"),
@@ -88,11 +91,10 @@ def dataset_frame_lists(
     parts = []
     for layout, models in by_layout.items():
         chosen = routed.where(F.col("_model").isin(models)).select(DATASET)
-        parts.append(counters[layout].join(chosen, DATASET, "left_semi").select(DATASET, F.col(EPISODE).cast("string").alias(EPISODE), FRAMES, F.col(EPISODE).alias("_n")))
-    counts = parts[0]
-    for part in parts[1:]:
-        counts = counts.unionByName(part)
-    lists = frame_lists(counts.select(DATASET, F.col("_n").alias(EPISODE), FRAMES))
+        counted = counters[layout].join(chosen, DATASET, "left_semi")
+        # layouts name their episodes by number or by path: one natural order serves both
+        parts.append(counted.select(DATASET, natural_key(F.col(EPISODE).cast("string")).alias(EPISODE), FRAMES))
+    lists = frame_lists(reduce(DataFrame.unionByName, parts))
     return registry.join(lists, DATASET, "left").withColumn(
         "episode_frames_num", F.coalesce("episode_frames_num", F.array().cast("array<bigint>"))
     )

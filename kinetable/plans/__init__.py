@@ -11,6 +11,6 @@ def load_all() -> None:
         importlib.import_module(f"kinetable.plans.{name}")
 
 
-MODULES: list[str] = ["timing", "vectors", "frames"]
+MODULES: list[str] = ["timing", "vectors", "frames", "paths", "stats"]
 
 __all__ = ["ORACLES", "QUERIES", "load_all"]
