@@ -204,22 +204,22 @@ def with_previous(
     )
 
 
-def nearest_match(
+def neighbours(
     targets: DataFrame,
     sources: DataFrame,
     by: Sequence[str],
     key: str,
     order: str,
     carry: Sequence[str] = (),
-    prefix: str = "src_",
     split: Split | None = None,
 ) -> DataFrame:
-    """For each target row the source row of the same group whose ``key`` is closest.
+    """Every target row with ``_prev`` (last source key <= its key) and ``_next`` (first one after).
 
-    Equal distance prefers the smaller key, equal keys the smaller ``order``. Every target row
-    is kept. One shuffle by (by, slice): targets and sources are stacked, one running window in
-    ascending and one in descending key order find the two neighbours. Both frames end at the
-    current row, so the cost per group is a sort. ``split`` cuts hot groups by ``key``.
+    Both are STRUCT(key, order, carry...) of the same group, null without such a row; equal keys
+    count with their smallest ``order``. One shuffle by (by, slice): targets and sources are
+    stacked, one running window in ascending and one in descending key order find the two. Both
+    frames end at the current row, so the cost per group is a sort. ``split`` cuts hot groups by
+    ``key``.
     """
     source_cols = [key, order, *[c for c in carry if c not in (key, order)]]
     target_cols = targets.columns
@@ -275,11 +275,31 @@ def nearest_match(
             .withColumn("_prev", F.coalesce("_prev", "_before"))
             .withColumn("_next", F.coalesce("_next", "_after"))
         )
-    prev_gap = F.col("_k") - F.col("_prev")[key]
-    next_gap = F.col("_next")[key] - F.col("_k")
+    return around.select("_target.*", "_prev", "_next")
+
+
+def nearest_match(
+    targets: DataFrame,
+    sources: DataFrame,
+    by: Sequence[str],
+    key: str,
+    order: str,
+    carry: Sequence[str] = (),
+    prefix: str = "src_",
+    split: Split | None = None,
+) -> DataFrame:
+    """For each target row the source row of the same group whose ``key`` is closest.
+
+    Equal distance prefers the smaller key, equal keys the smaller ``order``. Every target row is
+    kept.
+    """
+    around = neighbours(targets, sources, by, key, order, carry, split)
+    prev_gap = F.col(key) - F.col("_prev")[key]
+    next_gap = F.col("_next")[key] - F.col(key)
     picked = F.when(
         F.col("_next").isNull() | (F.col("_prev").isNotNull() & (prev_gap <= next_gap)), F.col("_prev")
     ).otherwise(F.col("_next"))
-    return around.select("_target.*", picked.alias("_hit")).select(
-        *target_cols, *[F.col("_hit")[c].alias(prefix + c) for c in source_cols]
+    source_cols = [key, order, *[c for c in carry if c not in (key, order)]]
+    return around.select(*targets.columns, picked.alias("_hit")).select(
+        *targets.columns, *[F.col("_hit")[c].alias(prefix + c) for c in source_cols]
     )

@@ -11,6 +11,6 @@ def load_all() -> None:
         importlib.import_module(f"kinetable.plans.{name}")
 
 
-MODULES: list[str] = ["timing", "vectors", "frames", "paths", "stats", "catalog"]
+MODULES: list[str] = ["timing", "vectors", "frames", "paths", "stats", "catalog", "sources"]
 
 __all__ = ["ORACLES", "QUERIES", "load_all"]
