@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinetable.operators.ordered import Split, nearest_match
+from kinetable.operators.ordered import Split, closer, stacked_neighbours
 from kinetable.operators.timing import EPISODE, SEQ, TOPIC, TS, select_base_topic, split_messages, topic_timing
 
 
@@ -64,7 +64,10 @@ def align_nearest(
 
     ``base`` is a topic name, a table (episode, base_topic) or None for the best scored topic.
     Base rows map to themselves. Rows beyond the tolerance stay and are flagged.
-    ``carry`` payload columns travel through the same shuffle.
+
+    Messages are read once for the base topic and once here: every row is a source, a base row is
+    also one target per topic of its episode, and all of them go through one shuffle together
+    with the ``carry`` payload.
     """
     messages = messages.select(EPISODE, TOPIC, SEQ, TS, *carry)
     split = split or split_messages(messages)
@@ -73,42 +76,67 @@ def align_nearest(
         chosen = base.select(EPISODE, "base_topic").join(topics, EPISODE)
     else:
         chosen = select_base_topic(topic_timing(messages, split), base)
-    chosen = chosen.withColumnRenamed("base_topic", TOPIC)
-    base_rows = messages.join(chosen, [EPISODE, TOPIC])
-    targets = base_rows.select(
+    chosen = chosen.select(EPISODE, F.col("base_topic").alias(TOPIC), "topics")
+    payload = [F.col(c) for c in carry]
+
+    def row(topic: Column, kind: int, target: Column, source: Column) -> Column:
+        order = F.col(SEQ) if kind == 0 else F.lit(None).cast("long")
+        return F.struct(
+            topic.alias(TOPIC), F.lit(kind).alias("_kind"), order.alias("_o"), target.alias("_target"), source.alias("_source")
+        )
+
+    def target_struct(topic: Column) -> Column:
+        own = F.struct(F.col(TS).alias(TS), F.col(SEQ).alias(SEQ), *payload)
+        return F.struct(F.col(SEQ).alias("frame_index"), F.when(topic == F.col(TOPIC), own).alias("own"))
+
+    own_type = f"struct<frame_index: bigint, own: {_struct_type(messages, [TS, SEQ, *carry])}>"
+    source_type = _struct_type(messages, [TS, SEQ, *carry])
+    as_source = row(F.col(TOPIC), 0, F.lit(None).cast(own_type), F.struct(TS, SEQ, *payload))
+    as_targets = F.transform("topics", lambda t: row(t, 1, target_struct(t), F.lit(None).cast(source_type)))
+    stacked = messages.join(chosen, [EPISODE, TOPIC], "left").select(
         EPISODE,
-        F.col(SEQ).alias("frame_index"),
-        F.col(TS).alias(TS),
-        F.explode(F.array_remove("topics", F.col(TOPIC))).alias(TOPIC),
+        F.col(TS).alias("_k"),
+        F.explode(F.when(F.col("topics").isNull(), F.array(as_source)).otherwise(F.concat(F.array(as_source), as_targets))).alias("_r"),
     )
-    matched = nearest_match(targets, messages, [EPISODE, TOPIC], TS, SEQ, carry, split=split)
-    own = base_rows.select(
+    around = stacked_neighbours(stacked.select(EPISODE, "_k", "_r.*"), [EPISODE, TOPIC], split)
+    own = F.col("_target.own")
+    matched = around.select(
         EPISODE,
-        F.col(SEQ).alias("frame_index"),
-        TS,
         TOPIC,
-        F.col(TS).alias("src_" + TS),
-        F.col(SEQ).alias("src_" + SEQ),
-        *[F.col(c).alias("src_" + c) for c in carry],
-        F.lit(True).alias("is_base"),
+        F.col("_target.frame_index").alias("frame_index"),
+        F.col("_k").alias("base_ts_ns"),
+        own.isNotNull().alias("is_base"),
+        F.coalesce(own, closer(F.col("_k"), TS)).alias("_hit"),
     )
-    both = matched.withColumn("is_base", F.lit(False)).unionByName(own)
-    diff_ms = F.abs(F.col("src_" + TS) - F.col(TS)) / F.lit(1e6)
-    return both.select(
+    diff_ms = F.abs(F.col("src_ts_ns") - F.col("base_ts_ns")) / F.lit(1e6)
+    return matched.select(
         EPISODE,
         TOPIC,
         "frame_index",
-        F.col(TS).alias("base_ts_ns"),
-        F.col("src_" + SEQ),
-        F.col("src_" + TS),
+        "base_ts_ns",
+        F.col("_hit")[SEQ].alias("src_seq"),
+        F.col("_hit")[TS].alias("src_ts_ns"),
+        "is_base",
+        *[F.col("_hit")[c].alias(c) for c in carry],
+    ).select(
+        EPISODE,
+        TOPIC,
+        "frame_index",
+        "base_ts_ns",
+        "src_seq",
+        "src_ts_ns",
         diff_ms.alias("time_diff_ms"),
         ((diff_ms > warn_diff_ms) & (diff_ms <= max_diff_ms)).alias("over_warn"),
         (diff_ms > max_diff_ms).alias("over_max"),
         "is_base",
-        *[F.col("src_" + c).alias(c) for c in carry],
+        *carry,
     )
 
 
+def _struct_type(df: DataFrame, columns: Sequence[str]) -> str:
+    return "struct<" + ", ".join(f"`{c}`: {df.schema[c].dataType.simpleString()}" for c in columns) + ">"
+
+
 def align_quality(aligned: DataFrame, max_diff_ms: float = 50.0, min_quality: float = 0.8) -> DataFrame:
     """Per topic mean distance, quality and rows over the limits; base topics count as 1."""
     mean = F.sum(F.abs(F.col("src_ts_ns") - F.col("base_ts_ns"))) / F.count(F.lit(1)) / F.lit(1e6)

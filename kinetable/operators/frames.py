@@ -29,7 +29,7 @@ def frame_shortfall(frames: DataFrame, sources: DataFrame, required: Sequence[st
     ``frames`` and ``sources`` need only keys. Both are counted first; the violating indexes
     are then generated from the counts, so no frame is joined.
     """
-    need = frames.groupBy(EPISODE).agg((F.max(FRAME) + 1).alias("frames"))
+    need = frames.groupBy(EPISODE).agg(F.count(F.lit(1)).alias("frames"))
     have = sources.where(F.col(topic).isin(list(required))).groupBy(EPISODE, topic).agg(F.count(F.lit(1)).alias("available"))
     wanted = need.withColumn(topic, F.explode(F.array(*[F.lit(r) for r in required])))
     short = wanted.join(have, [EPISODE, topic], "left").withColumn("available", F.coalesce("available", F.lit(0)))
@@ -54,8 +54,9 @@ def index_frames(frames: DataFrame, order: Sequence[str], fps: float, split: Spl
 
 
 def add_frame_columns(frames: DataFrame, fps: float) -> DataFrame:
-    """``index_frames`` for frames that are numbered already."""
-    lengths = frames.groupBy(EPISODE).agg((F.max(FRAME) + 1).alias("_length"))
+    """``index_frames`` for frames that are numbered already (dense, from 0)."""
+    # a count, not a maximum: it needs no frame number, so the numbering is not run twice
+    lengths = frames.groupBy(EPISODE).agg(F.count(F.lit(1)).alias("_length"))
     offsets = running_total(lengths, EPISODE, "_length", "_offset")
     joined = frames.join(offsets, EPISODE)
     return joined.select(

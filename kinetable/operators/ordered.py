@@ -71,10 +71,18 @@ def _prefixed(df: DataFrame, names: Sequence[str], prefix: str) -> DataFrame:
     return df.withColumnsRenamed({name: prefix + name for name in names})
 
 
-def plan_split(df: DataFrame, by: Sequence[str], order: Sequence[str], hot_rows: int | None = None) -> Split:
-    """Find hot groups of ``df`` and choose slice boundaries for them (one or two small jobs)."""
+def plan_split(
+    df: DataFrame, by: Sequence[str], order: Sequence[str], hot_rows: int | None = None, stored: bool = False
+) -> Split:
+    """Find hot groups of ``df`` and choose slice boundaries for them (one or two small jobs).
+
+    ``stored`` says that ``df`` is a plain projection of stored rows: its row count comes from
+    the file footers, and a table that is small as a whole needs no count per group.
+    """
     by, order = tuple(by), tuple(order)
     limit = _hot_rows(df, hot_rows)
+    if stored and df.count() <= limit:
+        return Split(by, order)
     hot = (
         df.groupBy(*by)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -216,20 +224,14 @@ def neighbours(
     """Every target row with ``_prev`` (last source key <= its key) and ``_next`` (first one after).
 
     Both are STRUCT(key, order, carry...) of the same group, null without such a row; equal keys
-    count with their smallest ``order``. One shuffle by (by, slice): targets and sources are
-    stacked, one running window in ascending and one in descending key order find the two. Both
-    frames end at the current row, so the cost per group is a sort. ``split`` cuts hot groups by
-    ``key``.
+    count with their smallest ``order``. ``split`` cuts hot groups by ``key``.
     """
-    source_cols = [key, order, *[c for c in carry if c not in (key, order)]]
-    target_cols = targets.columns
-    source_struct = F.struct(*[F.col(c) for c in source_cols])
     stacked = targets.select(
         *by,
         F.col(key).alias("_k"),
         F.lit(1).alias("_kind"),
         F.lit(None).cast(sources.schema[order].dataType).alias("_o"),
-        F.struct(*target_cols).alias("_target"),
+        F.struct(*targets.columns).alias("_target"),
         F.lit(None).alias("_source"),
     ).unionByName(
         sources.select(
@@ -238,9 +240,19 @@ def neighbours(
             F.lit(0).alias("_kind"),
             F.col(order).alias("_o"),
             F.lit(None).alias("_target"),
-            source_struct.alias("_source"),
+            F.struct(*dict.fromkeys([key, order, *carry])).alias("_source"),
         )
     )
+    return stacked_neighbours(stacked, by, split).select("_target.*", "_prev", "_next")
+
+
+def stacked_neighbours(stacked: DataFrame, by: Sequence[str], split: Split | None = None) -> DataFrame:
+    """``neighbours`` of rows stacked already: by..., _k, _kind (1 target, 0 source), _o, _target, _source.
+
+    One shuffle by (by, slice). One running window in ascending and one in descending key order
+    find the two neighbours; both frames end at the current row, so the cost per group is a sort.
+    Target rows come back with ``_prev`` and ``_next``.
+    """
     groups = [*by]
     hot = bool(split and split.hot)
     if hot:
@@ -253,29 +265,38 @@ def neighbours(
         "_next", F.last("_source", ignorenulls=True).over(desc)
     )
     around = around.where(F.col("_kind") == 1)
-    if hot:
-        edges = (
-            stacked.where(F.col(SLICE) > 0)
-            .groupBy(*by, SLICE)
-            .agg(
-                F.max_by("_source", F.when(F.col("_kind") == 0, F.struct("_k", -F.col("_o")))).alias("_end"),
-                F.min_by("_source", F.when(F.col("_kind") == 0, F.struct("_k", "_o"))).alias("_start"),
-            )
-        )
-        earlier = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        later = Window.partitionBy(*by).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
-        edges = edges.select(
-            *by,
-            SLICE,
-            F.last("_end", ignorenulls=True).over(earlier).alias("_before"),
-            F.last("_start", ignorenulls=True).over(later).alias("_after"),
-        )
-        around = (
-            _join_slices(around, edges, by)
-            .withColumn("_prev", F.coalesce("_prev", "_before"))
-            .withColumn("_next", F.coalesce("_next", "_after"))
+    if not hot:
+        return around
+    edges = (
+        stacked.where(F.col(SLICE) > 0)
+        .groupBy(*by, SLICE)
+        .agg(
+            F.max_by("_source", F.when(F.col("_kind") == 0, F.struct("_k", -F.col("_o")))).alias("_end"),
+            F.min_by("_source", F.when(F.col("_kind") == 0, F.struct("_k", "_o"))).alias("_start"),
         )
-    return around.select("_target.*", "_prev", "_next")
+    )
+    earlier = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    later = Window.partitionBy(*by).orderBy(F.desc(SLICE)).rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select(
+        *by,
+        SLICE,
+        F.last("_end", ignorenulls=True).over(earlier).alias("_before"),
+        F.last("_start", ignorenulls=True).over(later).alias("_after"),
+    )
+    return (
+        _join_slices(around, edges, by)
+        .withColumn("_prev", F.coalesce("_prev", "_before"))
+        .withColumn("_next", F.coalesce("_next", "_after"))
+    )
+
+
+def closer(position: Column, key: str) -> Column:
+    """The nearer of ``_prev`` and ``_next``; equal distance takes the earlier."""
+    prev_gap = position - F.col("_prev")[key]
+    next_gap = F.col("_next")[key] - position
+    return F.when(
+        F.col("_next").isNull() | (F.col("_prev").isNotNull() & (prev_gap <= next_gap)), F.col("_prev")
+    ).otherwise(F.col("_next"))
 
 
 def nearest_match(
@@ -294,12 +315,7 @@ def nearest_match(
     kept.
     """
     around = neighbours(targets, sources, by, key, order, carry, split)
-    prev_gap = F.col(key) - F.col("_prev")[key]
-    next_gap = F.col("_next")[key] - F.col(key)
-    picked = F.when(
-        F.col("_next").isNull() | (F.col("_prev").isNotNull() & (prev_gap <= next_gap)), F.col("_prev")
-    ).otherwise(F.col("_next"))
     source_cols = [key, order, *[c for c in carry if c not in (key, order)]]
-    return around.select(*targets.columns, picked.alias("_hit")).select(
+    return around.select(*targets.columns, closer(F.col(key), key).alias("_hit")).select(
         *targets.columns, *[F.col("_hit")[c].alias(prefix + c) for c in source_cols]
     )

@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kinetable.functions.names import natural_key
+from kinetable.functions.names import NUMBER_WIDTH, natural_key
 
 DATASET, EPISODE, FRAMES = "dataset_id", "episode", "n_frames"
 
@@ -93,7 +94,11 @@ def dataset_frame_lists(
         chosen = routed.where(F.col("_model").isin(models)).select(DATASET)
         counted = counters[layout].join(chosen, DATASET, "left_semi")
         # layouts name their episodes by number or by path: one natural order serves both
-        parts.append(counted.select(DATASET, natural_key(F.col(EPISODE).cast("string")).alias(EPISODE), FRAMES))
+        if isinstance(counted.schema[EPISODE].dataType, T.IntegralType):
+            key = F.lpad(F.col(EPISODE).cast("string"), NUMBER_WIDTH, "0")
+        else:
+            key = natural_key(F.col(EPISODE))
+        parts.append(counted.select(DATASET, key.alias(EPISODE), FRAMES))
     lists = frame_lists(reduce(DataFrame.unionByName, parts))
     return registry.join(lists, DATASET, "left").withColumn(
         "episode_frames_num", F.coalesce("episode_frames_num", F.array().cast("array<bigint>"))

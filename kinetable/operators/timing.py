@@ -6,6 +6,8 @@ Differences are taken on integers; only ratios are floating point.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,15 +27,15 @@ UNSTABLE_SHARE, SPARSE_COUNT, LONG_GAP_MS = 0.5, 10, 1000
 NAMED_TOPICS = 3
 
 
-def split_messages(messages: DataFrame) -> Split:
+def split_messages(messages: DataFrame, stored: bool = False) -> Split:
     """The split that every operator over this message table can share."""
-    return plan_split(messages, [EPISODE], [TS])
+    return plan_split(messages, [EPISODE], [TS], stored=stored)
 
 
-def message_gaps(messages: DataFrame, split: Split | None = None) -> DataFrame:
+def message_gaps(messages: DataFrame, split: Split | None = None, order: Sequence[str] = (TS, SEQ)) -> DataFrame:
     """Gap to the previous message of the same topic, in integer ns and in ms."""
     split = split or split_messages(messages)
-    gaps = with_previous(messages, [EPISODE, TOPIC], [TS, SEQ], TS, "_prev_ts", split)
+    gaps = with_previous(messages, [EPISODE, TOPIC], order, TS, "_prev_ts", split)
     return (
         gaps.withColumn("gap_ns", F.col(TS) - F.col("_prev_ts"))
         .withColumn("gap_ms", F.col("gap_ns") / F.lit(1e6))
@@ -43,7 +45,8 @@ def message_gaps(messages: DataFrame, split: Split | None = None) -> DataFrame:
 
 def topic_timing(messages: DataFrame, split: Split | None = None) -> DataFrame:
     """One row per (episode, topic): count, span, rate, spread of the momentary rate, gap range."""
-    gaps = message_gaps(messages.select(EPISODE, TOPIC, SEQ, TS), split)
+    # the set of gaps does not depend on the order of equal times, so the sort of the number is reused
+    gaps = message_gaps(messages.select(EPISODE, TOPIC, SEQ, TS), split, order=[TS])
     per_topic = gaps.groupBy(EPISODE, TOPIC).agg(
         F.count(F.lit(1)).alias("n"),
         F.min(TS).alias("first_ts"),
@@ -197,14 +200,13 @@ def sync_report(timing: DataFrame) -> DataFrame:
         "sparse": F.col("n") < SPARSE_COUNT,
         "gappy": (F.col("n") > 1) & (F.col("max_gap_ms") > LONG_GAP_MS),
     }
-    for flag, cond in flags.items():
-        scored = scored.withColumn("_" + flag, cond).withColumn(
-            "_" + flag + "_no", F.when(cond, F.sum(cond.cast("int")).over(seen))
-        )
+    # one window for the three running counts
+    scored = scored.withColumns({"_" + flag: cond for flag, cond in flags.items()})
+    scored = scored.withColumns({f"_{flag}_no": F.sum(F.col("_" + flag).cast("int")).over(seen) for flag in flags})
 
     def named(flag: str) -> Column:
         number = F.col(f"_{flag}_no")
-        picked = F.collect_list(F.when(number <= NAMED_TOPICS, F.struct(number.alias("no"), F.col(TOPIC).alias("t"))))
+        picked = F.collect_list(F.when(F.col("_" + flag) & (number <= NAMED_TOPICS), F.struct(number.alias("no"), F.col(TOPIC).alias("t"))))
         return F.array_join(F.transform(F.array_sort(picked), lambda x: x["t"]), ", ").alias(flag)
 
     candidates = F.collect_list(F.when(F.col("rank") <= NAMED_TOPICS, F.struct(F.col("rank"), F.col(TOPIC).alias("t"))))

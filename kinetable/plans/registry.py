@@ -11,6 +11,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+# given schemas: without them every read starts a job that looks into the files
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey LONG, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "supplier": "s_suppkey LONG, s_name STRING, s_nationkey INT, s_acctbal DOUBLE",
+    "part": "p_partkey LONG, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey LONG, o_custkey LONG, o_orderstatus STRING, o_totalprice DOUBLE, o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey LONG, l_partkey LONG, l_suppkey LONG, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+    "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id LONG, ts TIMESTAMP_NTZ, user_id LONG, event_type STRING, value DOUBLE, props STRING",
+    "documents": "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG",
+    "embeddings": "vec_id LONG, embedding ARRAY<FLOAT>, label INT",
+    "pages": "page_id LONG, url STRING, html STRING",
+    "labels": "doc_id LONG, quality INT, toxic INT",
+    "conversations": "conv_id LONG, turn LONG, role STRING, text STRING",
+}
+
+
 class Tables:
     """Lazy access to the parquet tables of one scale factor."""
 
@@ -22,7 +41,9 @@ class Tables:
         return f"{self.sf_dir}/{name}.parquet"
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        if name not in SCHEMAS:
+            raise AttributeError(name)
+        return self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
 
 
 def query(name: str, sql: str | None = None) -> Callable:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinetable.operators.ordered import Split, number_rows
+from kinetable.operators.ordered import Split, number_rows, plan_split
 from kinetable.plans.registry import Tables
 from kinetable.sources.messages import load_messages
 
@@ -94,8 +94,9 @@ def frames(t: Tables) -> DataFrame:
         "l_discount",
         "l_tax",
     )
+    split = plan_split(lines, ["episode_index"], FRAME_ORDER, stored=True)
     return (
-        number_rows(lines, ["episode_index"], FRAME_ORDER, "frame_index")
+        number_rows(lines, ["episode_index"], FRAME_ORDER, "frame_index", split=split)
         .withColumn("dataset_id", F.col("episode_index") % 20)
         .withColumn("state", F.array("l_quantity", "l_extendedprice", "l_discount", "l_tax"))
         .withColumn("action", F.array("l_quantity", "l_tax"))

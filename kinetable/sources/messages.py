@@ -34,5 +34,5 @@ def load_messages(
     )
     if keep_only is not None:
         rows = rows.where(F.col(TOPIC).isin(list(keep_only)))
-    split = split_messages(rows)
+    split = split_messages(rows, stored=True)
     return number_rows(rows, [EPISODE, TOPIC], [TS, "_id"], SEQ, split=split).drop("_id"), split
