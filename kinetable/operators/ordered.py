@@ -7,8 +7,9 @@ such groups first and cut only those into ordered slices:
 * ``plan_split`` counts rows per group (map-side combined) and keeps at most
   ``MAX_HOT_GROUPS`` groups above ``hot_rows``; any group left out therefore holds less than
   one ``MAX_HOT_GROUPS``-th of all rows.
-* each hot group gets at most ``MAX_SLICES`` boundaries taken from a hash-chosen sample of its
-  order keys. The sample only places the boundaries; every row is still processed.
+* hot groups share at most ``MAX_TOTAL_SLICES`` slices by their size. The boundaries come from a
+  hash-chosen sample of the order keys. The sample only places the boundaries; every row is
+  still processed.
 * the window then runs over (group, slice), and one summary row per slice carries what crosses
   a boundary (a row offset, a last value, a nearest neighbour).
 
@@ -16,9 +17,10 @@ A split may be coarser than the groups it serves: one split of a message table b
 time serves the per-topic number, the gaps and the nearest match. Any boundaries give the same
 result as long as the order starts with the split's order columns; they only balance the work.
 
-The boundary table has at most ``MAX_HOT_GROUPS`` rows, so it may be broadcast. The summary
-tables are joined on (group, slice), the keys the window is already partitioned by.
-Rows that agree in every order column stay in one slice; give a unique last order column.
+The boundary table has at most ``MAX_HOT_GROUPS`` rows and ``MAX_TOTAL_SLICES`` keys whatever the
+data, so it may be broadcast. The summary tables are joined on (group, slice), the keys the
+window is already partitioned by. Rows that agree in every order column stay in one slice; give
+a unique last order column.
 """
 
 from __future__ import annotations
@@ -31,8 +33,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MAX_HOT_GROUPS = 1024
-MAX_SLICES = 128
+MAX_HOT_GROUPS = 16_384
+MAX_TOTAL_SLICES = 65_536
+# slices of one group: COARSE runs of at most FINE boundaries, so a row compares with COARSE + FINE
+COARSE, FINE = 64, 64
+MAX_SLICES = COARSE * FINE
 SAMPLES_PER_SLICE = 8
 DEFAULT_HOT_ROWS = 1_000_000
 HOT_ROWS_CONF = "spark.kinetable.hotGroupRows"
@@ -95,35 +100,46 @@ def plan_split(
         return Split(by, order)
     spark = df.sparkSession
     key_fields = [df.schema[name] for name in by]
-    plan_rows = []
-    for row in hot:
-        slices = min(MAX_SLICES, math.ceil(row["_rows"] / limit) + 1)
-        step = max(1, row["_rows"] // (slices * SAMPLES_PER_SLICE))
-        plan_rows.append(tuple(row[name] for name in by) + (step, slices))
-    plan_schema = T.StructType(
-        [T.StructField("_h_" + f.name, f.dataType) for f in key_fields]
-        + [T.StructField("_step", T.LongType()), T.StructField("_slices", T.IntegerType())]
+    wanted = spark.createDataFrame(
+        [
+            tuple(row[name] for name in by) + (max(1, row["_rows"] // (slices * SAMPLES_PER_SLICE)), slices)
+            for row, slices in zip(hot, _slice_counts([row["_rows"] for row in hot], limit), strict=True)
+        ],
+        T.StructType(
+            [T.StructField("_h_" + f.name, f.dataType) for f in key_fields]
+            + [T.StructField("_step", T.LongType()), T.StructField("_slices", T.IntegerType())]
+        ),
     )
-    wanted = spark.createDataFrame(plan_rows, plan_schema)
     keys = df.select(*by, F.struct(*order).alias("_key"), F.xxhash64(*order).alias("_hash"))
+
+    def run(i: Column) -> Column:
+        return F.floor(i * F.col("_slices") / F.size("_keys"))
+
     sampled = (
         keys.join(F.broadcast(wanted), _same_group(by, "_h_"))
         .where(F.pmod(F.col("_hash"), F.col("_step")) == 0)
         .groupBy(*by, "_slices")
         .agg(F.sort_array(F.collect_set("_key")).alias("_keys"))
-        # take evenly spaced sample keys: at most _slices - 1 of them
-        .select(
-            *by,
-            F.filter(
-                "_keys",
-                lambda x, i: (F.floor((i + 1) * F.col("_slices") / F.size("_keys")) > F.floor(i * F.col("_slices") / F.size("_keys")))
-                & (i + 1 < F.size("_keys")),
-            ).alias("_bounds"),
-        )
+        # the last key of each of _slices equal runs, but for the very last
+        .select(*by, F.filter("_keys", lambda x, i: (run(i + 1) > run(i)) & (i + 1 < F.size("_keys"))).alias("_bounds"))
     )
-    # fixed once on the driver, so that every later use cuts at the same keys
-    bounds = spark.createDataFrame(sampled.collect(), sampled.schema)
-    return Split(by, order, bounds)
+    key_type = T.ArrayType(sampled.schema["_bounds"].dataType.elementType)
+    schema = T.StructType(
+        [*key_fields, T.StructField("_coarse", key_type), T.StructField("_fine", T.ArrayType(key_type))]
+    )
+    rows = []
+    for row in sampled.collect():
+        fine = [row["_bounds"][i : i + FINE] for i in range(0, len(row["_bounds"]), FINE)]
+        rows.append(tuple(row[name] for name in by) + ([part[-1] for part in fine], fine))
+    # fixed on the driver, so that every later use cuts at the same keys
+    return Split(by, order, spark.createDataFrame(rows, schema))
+
+
+def _slice_counts(sizes: Sequence[int], limit: int) -> list[int]:
+    """Slices per hot group: about ``limit`` rows each, together at most ``MAX_TOTAL_SLICES``."""
+    counts = [min(MAX_SLICES, math.ceil(size / limit) + 1) for size in sizes]
+    shrink = min(1.0, (MAX_TOTAL_SLICES - 2 * len(sizes)) / sum(counts))
+    return [max(2, int(count * shrink)) for count in counts]
 
 
 def slice_rows(df: DataFrame, split: Split, key: Column | None = None) -> DataFrame:
@@ -133,9 +149,9 @@ def slice_rows(df: DataFrame, split: Split, key: Column | None = None) -> DataFr
     columns = df.columns
     bounds = F.broadcast(_prefixed(split.bounds, split.by, "_h_"))
     key = F.struct(*split.order) if key is None else key
-    number = F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("_bounds", lambda b: b < key)) + 1
-    )
+    run = F.size(F.filter("_coarse", lambda b: b < key))
+    inside = F.coalesce(F.size(F.filter(F.get("_fine", run), lambda b: b < key)), F.lit(0))
+    number = F.when(F.col("_coarse").isNull(), F.lit(0)).otherwise(run * FINE + F.greatest(inside, F.lit(0)) + 1)
     return df.join(bounds, _same_group(split.by, "_h_"), "left").select(*columns, number.alias(SLICE))
 
 

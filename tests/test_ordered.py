@@ -79,6 +79,24 @@ def test_with_previous_keeps_nulls(table, hot_rows):
     assert got == want
 
 
+def test_many_slices_and_their_cap(spark):
+    """More boundaries than one run holds, and a total that is shared by size."""
+    assert od._slice_counts([10**12, 10**7], 10**6) == [od.MAX_SLICES, 11]
+    counts = od._slice_counts([10**9] * 1000, 10**6)
+    assert sum(counts) <= od.MAX_TOTAL_SLICES and min(counts) >= 2
+    rows = [("hot", i // 3, i, float(i)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, t long, id long, v double").repartition(4)
+    split = od.plan_split(df, ["g"], ["t", "id"], hot_rows=10)
+    bounds = split.bounds.first()
+    assert len(bounds["_coarse"]) > 2 and max(len(f) for f in bounds["_fine"]) == od.FINE
+    sliced = od.slice_rows(df, split).groupBy("_slice").agg({"id": "min", "*": "count"}).orderBy("_slice").collect()
+    assert len(sliced) == 1 + sum(len(f) for f in bounds["_fine"])
+    assert [r["min(id)"] for r in sliced] == sorted(r["min(id)"] for r in sliced)
+    assert max(r["count(1)"] for r in sliced) < 60
+    got = od.number_rows(df, ["g"], ["t", "id"], "n", split=split).where("n <> id").count()
+    assert got == 0
+
+
 def test_null_group_key(spark):
     rows = [(None, i % 50, i, float(i)) for i in range(200)] + [("a", 1, 900, 1.0)]
     df = spark.createDataFrame(rows, "g string, t long, id long, v double")
