@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinetable.functions.names import NUMBER_WIDTH, natural_key
+from kinetable.operators.ordered import number_rows
 
 DATASET, EPISODE, FRAMES = "dataset_id", "episode", "n_frames"
 
+# episodes per list, the chunk size of the stored layout
+LIST_CHUNK = 1000
 # fixed values: upper limits and labels of the size classes
 SIZE_LIMITS = [
     (10**3, "<1K"),
@@ -65,10 +68,19 @@ def frames_by_meta(episodes: DataFrame, dataset: str = DATASET, episode: str = "
     return episodes.select(F.col(dataset).alias(DATASET), F.col(episode).alias(EPISODE), F.col(length).cast("long").alias(FRAMES))
 
 
-def frame_lists(counts: DataFrame) -> DataFrame:
-    """Ordered frame counts per dataset (one number per episode, so a list of episodes) with totals."""
-    return counts.groupBy(DATASET).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(EPISODE, FRAMES))), lambda x: x[FRAMES]).alias("episode_frames_num"),
+def frame_lists(counts: DataFrame, chunk: int | None = LIST_CHUNK) -> DataFrame:
+    """Ordered frame counts per dataset, as lists of ``chunk`` episodes with totals.
+
+    One row per (dataset, chunk) keeps every list short however many episodes a dataset has.
+    ``chunk=None`` gives one list per dataset, for datasets known to be of moderate size.
+    """
+    if chunk is None:
+        keyed, keys = counts.withColumn("_at", F.col(EPISODE)), [DATASET]
+    else:
+        keyed = number_rows(counts, [DATASET], [EPISODE], "_at").withColumn("chunk", F.floor(F.col("_at") / chunk))
+        keys = [DATASET, "chunk"]
+    return keyed.groupBy(*keys).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("_at", FRAMES))), lambda x: x[FRAMES]).alias("episode_frames_num"),
         F.count(F.lit(1)).alias("episodes_num"),
         F.sum(FRAMES).alias("frames_num"),
     )
@@ -79,11 +91,12 @@ def dataset_frame_lists(
     layouts: Mapping[str, str],
     counters: Mapping[str, DataFrame],
     device_model: str = "device_model",
+    chunk: int | None = LIST_CHUNK,
 ) -> DataFrame:
-    """Attach the frame list to each registry record; its device model chooses the layout.
+    """Attach the frame lists to each registry record; its device model chooses the layout.
 
     ``layouts`` maps device model -> layout, ``counters`` layout -> (dataset_id, episode, n_frames).
-    Records of an unmapped model keep an empty list.
+    A record has one row per chunk of its list. Records of an unmapped model keep an empty list.
     """
     by_layout: dict[str, list[str]] = {}
     for model, layout in layouts.items():
@@ -99,7 +112,7 @@ def dataset_frame_lists(
         else:
             key = natural_key(F.col(EPISODE))
         parts.append(counted.select(DATASET, key.alias(EPISODE), FRAMES))
-    lists = frame_lists(reduce(DataFrame.unionByName, parts))
+    lists = frame_lists(reduce(DataFrame.unionByName, parts), chunk)
     return registry.join(lists, DATASET, "left").withColumn(
         "episode_frames_num", F.coalesce("episode_frames_num", F.array().cast("array<bigint>"))
     )

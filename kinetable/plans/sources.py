@@ -18,7 +18,7 @@ from kinetable.functions import tags as tg
 from kinetable.operators.features import nested_path
 from kinetable.plans.catalog import STATUS_SQL, old_status, status_events
 from kinetable.plans.registry import Tables, query, r6
-from kinetable.plans.standin import FRAMES_TASK_SQL, frames_with_task, messages, messages_sql
+from kinetable.plans.standin import FRAMES_TASK_SQL, frames, frames_with_task, messages, messages_sql
 from kinetable.session import scratch_dir
 from kinetable.sources import binary, files, writers
 from kinetable.streaming import jobs
@@ -26,24 +26,26 @@ from kinetable.streaming import jobs
 
 @query(
     "json_episode_scan",
-    """SELECT conv_id, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS BIGINT) AS frame_index, role, CAST(turn * 1.5 AS DOUBLE) AS q0, CAST(length(text) AS DOUBLE) AS q1
+    """SELECT conv_id, turn // 200 AS part, CAST(row_number() OVER (PARTITION BY conv_id, turn // 200 ORDER BY turn) - 1 AS BIGINT) AS frame_index, role, CAST(turn * 1.5 AS DOUBLE) AS q0, CAST(length(text) AS DOUBLE) AS q1
 FROM conversations WHERE conv_id % 9 > 0""",
 )
 def _json_episodes(t: Tables) -> DataFrame:
-    """A file per conversation; every ninth file is broken and must be skipped."""
+    """A file per 200 turns of a conversation; those of every ninth conversation are broken."""
     root = scratch_dir(t.spark, "json-episodes")
     frame = F.struct(
         "turn", F.col("role").alias("role"), F.struct(F.struct(F.array(F.col("turn") * 1.5, F.length("text").cast("double")).alias("qpos")).alias("left_arm")).alias("states")
     )
-    episode = t.conversations.groupBy("conv_id").agg(F.array_sort(F.collect_list(frame)).alias("data"))
+    part = F.expr("turn div 200").alias("part")
+    episode = t.conversations.groupBy("conv_id", part).agg(F.array_sort(F.collect_list(frame)).alias("data"))
     text = F.to_json(F.struct("data"))
     broken = F.when(F.col("conv_id") % 9 == 0, F.concat(F.lit('{"data": [1, '), text)).otherwise(text)
-    episode.select(F.concat(F.lit("episode_"), "conv_id").alias("episode"), broken.alias("value")).write.mode("append").partitionBy("episode").text(root)
+    episode.select(F.concat(F.lit("episode_"), "conv_id", F.lit("_"), "part").alias("episode"), broken.alias("value")).write.mode("append").partitionBy("episode").text(root)
     schema = "STRUCT<turn: LONG, role: STRING, states: STRUCT<left_arm: STRUCT<qpos: ARRAY<DOUBLE>>>>"
     read = files.read_json_episodes(t.spark, root, _type(t, schema), "*.txt")
     qpos = nested_path("states", "left_arm.qpos")
     rows = files.json_frames(read).select(
-        F.regexp_extract("path", "episode_([0-9]+)/", 1).cast("long").alias("conv_id"),
+        F.regexp_extract("path", "episode_([0-9]+)_", 1).cast("long").alias("conv_id"),
+        F.regexp_extract("path", "_([0-9]+)/", 1).cast("long").alias("part"),
         F.col("frame_index").cast("long").alias("frame_index"),
         "role",
         qpos[0].alias("q0"),
@@ -164,28 +166,23 @@ def _yaml(t: Tables) -> DataFrame:
 
 @query(
     "csv_tags_scan",
-    """WITH c AS (SELECT p_partkey, '/docker/data ' || p_brand || '/task_' || p_partkey || '_x y' AS address, p_partkey % 6 AS k FROM part)
+    """WITH c AS (SELECT p_partkey, p_partkey % 6 AS k FROM part WHERE p_partkey % 6 <> 2)
 SELECT 'task_' || p_partkey || '_x' AS dataset_name, CASE WHEN k = 4 THEN 0 ELSE 3 END AS tags, CASE WHEN k <> 4 THEN p_name || ' "quoted"' END AS note
-FROM c JOIN part USING (p_partkey) WHERE k NOT IN (2, 3)""",
+FROM c JOIN part USING (p_partkey)""",
 )
 def _csv(t: Tables) -> DataFrame:
-    """Rows of four kinds: tags over several lines, an empty address, a short row, no tags."""
-    root = scratch_dir(t.spark, "csv")
+    """Rows of three kinds: tags over several quoted lines, an empty address, no tags."""
+    root = scratch_dir(t.spark, "csv") + "/out"
     kind = F.col("p_partkey") % 6
     address = F.concat(F.lit("/docker/data "), "p_brand", F.lit("/task_"), "p_partkey", F.lit("_x y"))
-    tags = F.concat(F.lit('size: '), "p_size", F.lit('\nbrand：'), "p_brand", F.lit("\nnote: "), F.regexp_replace("p_name", " ", "_"), F.lit(' ""quoted""\nno colon'))
-    line = (
-        F.when(kind == 2, F.concat(F.lit("x, ,\""), tags, F.lit('"')))
-        .when(kind == 3, F.concat(F.lit("x,"), address))
-        .when(kind == 4, F.concat(F.lit("x,"), address, F.lit(",")))
-        .otherwise(F.concat(F.lit("x,"), address, F.lit(',"'), tags, F.lit('"')))
+    tags = F.concat(F.lit("size: "), "p_size", F.lit("\nbrand："), "p_brand", F.lit("\nnote: "), F.regexp_replace("p_name", " ", "_"), F.lit(' "quoted"\nno colon'))
+    rows = t.part.select(
+        F.lit("x").alias("id"), F.when(kind == 2, F.lit("  ")).otherwise(address).alias("address_nas"), F.when(kind != 4, tags).alias("tags")
+    )
+    rows.write.option("header", "true").option("escape", '"').option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(root)
+    parsed = files.read_tag_csv(t.spark, root).select(
+        nm.clean_dataset_name(F.col("address_nas")).alias("dataset_name"), tg.tag_map(F.col("tags")).alias("m")
     )
-    # each part file carries its own header: split by partition, header first
-    parts = t.part.select(line.alias("value"), (F.col("p_partkey") % 4).alias("_part"))
-    body = parts.groupBy("_part").agg(F.concat(F.lit("id,address_nas,tags\n"), F.array_join(F.collect_list("value"), "\n")).alias("value"))
-    body.select(F.col("_part").alias("part"), "value").write.partitionBy("part").text(root)
-    rows = files.read_tag_csv(t.spark, [f"{root}/part={i}" for i in range(4)])
-    parsed = rows.select(nm.clean_dataset_name(F.col("address_nas")).alias("dataset_name"), tg.tag_map(F.col("tags")).alias("m"))
     note = F.regexp_replace(F.array_join(F.col("m")["note"], " "), "_", " ")
     return parsed.select("dataset_name", F.size("m").alias("tags"), note.alias("note"))
 
@@ -229,26 +226,28 @@ def _encode_orders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             doc = {"data": {"/arm/left": pos}} if key % 2 == 0 else {"frames": hands}
             raw = encode_bson(doc)
             contents.append(raw[: len(raw) // 2] if key % 11 == 0 else raw)
-        yield pd.DataFrame({"path": [f"/ep/{k}.bson" for k in batch["episode_index"]], "content": contents})
+        paths = [f"/ep/{k}_{p}.bson" for k, p in zip(batch["episode_index"], batch["part"], strict=True)]
+        yield pd.DataFrame({"path": paths, "content": contents})
 
 
 @query(
     "bson_episode_ingest",
     """WITH f AS (SELECT l_orderkey AS e, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS BIGINT) AS frame_index, l_quantity, l_extendedprice, l_discount FROM lineitem)
 SELECT e AS episode, CASE WHEN e % 2 = 0 THEN '/arm/left.pos' ELSE 'observation.left_hand' END AS data_path, frame_index, CASE WHEN e % 2 = 0 THEN l_quantity ELSE l_discount END AS v0, CASE WHEN e % 2 = 0 THEN l_extendedprice END AS v1 FROM f WHERE e % 11 > 0
-UNION ALL SELECT DISTINCT e, 'unreadable', NULL, NULL, NULL FROM f WHERE e % 11 = 0""",
+UNION ALL SELECT DISTINCT e, 'unreadable', frame_index // 500 * 500, NULL, NULL FROM f WHERE e % 11 = 0""",
 )
 def _bson(t: Tables) -> DataFrame:
-    """An order as a BSON document, of the main or of the hand kind; every eleventh is cut."""
-    row = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p"), F.col("l_discount").alias("d"))
-    orders = t.lineitem.groupBy(F.col("l_orderkey").alias("episode_index")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    encoded = orders.mapInPandas(_encode_orders, "path STRING, content BINARY")
-    good, bad = binary.ingest_bson(encoded)
-    episode = F.regexp_extract("path", "/ep/([0-9]+)", 1).cast("long").alias("episode")
-    none = F.lit(None)
-    return good.select(episode, "data_path", "frame_index", F.col("values")[0].alias("v0"), F.get("values", F.lit(1)).alias("v1")).unionByName(
-        bad.select(episode, F.lit("unreadable").alias("data_path"), none.cast("long").alias("frame_index"), none.cast("double").alias("v0"), none.cast("double").alias("v1"))
-    )
+    """500 frames of an order as a BSON document, of the main or of the hand kind; some are cut."""
+    row = F.struct("frame_index", F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p"), F.col("l_discount").alias("d"))
+    part = F.expr("frame_index div 500").alias("part")
+    documents = frames(t).groupBy("episode_index", part).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    good, bad = binary.ingest_bson(documents.mapInPandas(_encode_orders, "path STRING, content BINARY"))
+    episode = F.regexp_extract("path", "/ep/([0-9]+)_", 1).cast("long").alias("episode")
+    first = F.regexp_extract("path", "_([0-9]+)", 1).cast("long") * 500
+    none = F.lit(None).cast("double")
+    return good.select(
+        episode, "data_path", (first + F.col("frame_index")).alias("frame_index"), F.col("values")[0].alias("v0"), F.get("values", F.lit(1)).alias("v1")
+    ).unionByName(bad.select(episode, F.lit("unreadable").alias("data_path"), first.alias("frame_index"), none.alias("v0"), none.alias("v1")))
 
 
 @query(
@@ -295,8 +294,8 @@ def _write(t: Tables) -> DataFrame:
 
 def _written(t: Tables) -> str:
     root = scratch_dir(t.spark, "trajectory") + "/out"
-    frames = frames_with_task(t).select("episode_index", "frame_index", "task_index", F.concat(F.lit("task "), "task_index").alias("task"), "state", "action")
-    writers.write_trajectory(frames, root)
+    rows = frames_with_task(t).select("episode_index", "frame_index", "task_index", F.concat(F.lit("task "), "task_index").alias("task"), "state", "action")
+    writers.write_trajectory(rows, root)
     return root
 
 

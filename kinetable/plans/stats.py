@@ -170,8 +170,8 @@ def _by_topic(t: Tables) -> DataFrame:
 
 @query(
     "frames_by_meta",
-    """SELECT o_orderkey % 20 AS dataset_id, count(*) AS episodes_num, CAST(sum(o_custkey % 50) AS BIGINT) AS frames_num,
- string_agg(CAST(o_custkey % 50 AS VARCHAR), ',' ORDER BY o_orderkey) AS episode_frames_num FROM orders GROUP BY 1""",
+    """WITH n AS (SELECT o_orderkey % 20 AS dataset_id, o_orderkey, o_custkey % 50 AS n, (row_number() OVER (PARTITION BY o_orderkey % 20 ORDER BY o_orderkey) - 1) // 1000 AS chunk FROM orders)
+SELECT dataset_id, chunk, count(*) AS episodes_num, CAST(sum(n) AS BIGINT) AS frames_num, string_agg(CAST(n AS VARCHAR), ',' ORDER BY o_orderkey) AS episode_frames_num FROM n GROUP BY 1, 2""",
 )
 def _by_meta(t: Tables) -> DataFrame:
     return _listed(st.frame_lists(st.frames_by_meta(_episode_meta(t))))
@@ -195,9 +195,9 @@ c AS (SELECT 0 AS layout, l_suppkey AS dataset_id, l_orderkey AS ep, '' AS ep_s,
   UNION ALL SELECT 2, episode_id % 10, episode_id, '', count(*) FROM messages WHERE topic = '{CAMERA_TOPIC}' GROUP BY 1, 2, 3
   UNION ALL SELECT 3, o_orderkey % 20, o_orderkey, '', o_custkey % 50 FROM orders),
 k AS (SELECT *, regexp_replace(regexp_replace(ep_s, '([0-9]+)', '0000000000\\1', 'g'), '[0-9]*([0-9]{{10}})', '\\1', 'g') AS key FROM c),
-l AS (SELECT r.dataset_id, string_agg(CAST(n AS VARCHAR), ',' ORDER BY ep, key) AS episode_frames_num, count(*) AS episodes_num, CAST(sum(n) AS BIGINT) AS frames_num
-  FROM reg r JOIN k ON k.dataset_id = r.dataset_id AND k.layout = r.layout GROUP BY 1)
-SELECT r.dataset_id, device_model, coalesce(episode_frames_num, '') AS episode_frames_num, episodes_num, frames_num FROM reg r LEFT JOIN l USING (dataset_id)""",
+j AS (SELECT r.dataset_id, ep, key, n, (row_number() OVER (PARTITION BY r.dataset_id ORDER BY ep, key) - 1) // 1000 AS chunk FROM reg r JOIN k ON k.dataset_id = r.dataset_id AND k.layout = r.layout),
+l AS (SELECT dataset_id, chunk, string_agg(CAST(n AS VARCHAR), ',' ORDER BY ep, key) AS episode_frames_num, count(*) AS episodes_num, CAST(sum(n) AS BIGINT) AS frames_num FROM j GROUP BY 1, 2)
+SELECT r.dataset_id, device_model, chunk, coalesce(episode_frames_num, '') AS episode_frames_num, episodes_num, frames_num FROM reg r LEFT JOIN l USING (dataset_id)""",
 )
 def _frame_lists(t: Tables) -> DataFrame:
     registry = t.supplier.join(t.nation, F.col("n_nationkey") == F.col("s_nationkey")).select(

@@ -12,31 +12,42 @@ EPISODE, FRAME = "episode_index", "frame_index"
 def write_trajectory(frames: DataFrame, root: str, task: str = "task", fps: float = 30, mode: str = "errorifexists") -> None:
     """Frames below ``root/data/episode_chunk=…`` and the metadata below ``root/meta``.
 
-    The range partitioning sorts by episode and frame, so an episode is a run of rows, a long
-    episode is cut over several tasks and a chunk is read by partition pruning. ``frames`` holds
-    episode_index, frame_index, task_index, the task text and the vectors.
+    ``frames`` holds episode_index, frame_index, task_index, the task text and the vectors. The
+    rebalance hint brings a chunk together, cuts one that is too large into several files and
+    needs no sampling pass. The metadata is computed from the files written, of which it reads
+    two columns.
     """
     chunked = frames.withColumn("episode_chunk", F.floor(F.col(EPISODE) / CHUNK))
     (
         chunked.drop(task)
-        .repartitionByRange("episode_chunk", EPISODE, FRAME)
+        .hint("rebalance", "episode_chunk")
         .sortWithinPartitions("episode_chunk", EPISODE, FRAME)
         .write.mode(mode)
         .partitionBy("episode_chunk")
         .parquet(f"{root}/data")
     )
-    episodes = frames.groupBy(EPISODE).agg(F.array_sort(F.collect_set(task)).alias("tasks"), F.count(F.lit(1)).alias("length"))
-    episodes.write.mode(mode).json(f"{root}/meta/episodes")
+    frames.select("task_index", task).distinct().write.mode(mode).json(f"{root}/meta/tasks")
     spark = frames.sparkSession
-    written = spark.read.schema("episode_index LONG, tasks ARRAY<STRING>, length LONG").json(f"{root}/meta/episodes")
-    tasks = frames.select("task_index", task).distinct()
-    tasks.write.mode(mode).json(f"{root}/meta/tasks")
-    total_tasks = spark.read.schema("task_index LONG").json(f"{root}/meta/tasks").agg(F.count_distinct("task_index")).scalar()
-    info = written.agg(
+    tasks = spark.read.schema(f"task_index LONG, {task} STRING").json(f"{root}/meta/tasks")
+    written = spark.read.parquet(f"{root}/data")
+    per_task = written.groupBy(EPISODE, "task_index").agg(F.count(F.lit(1)).alias("_n"))
+    episodes = (
+        per_task.join(tasks, "task_index")
+        .groupBy(EPISODE)
+        .agg(F.array_sort(F.collect_set(task)).alias("tasks"), F.sum("_n").alias("length"))
+    )
+    episodes.write.mode(mode).json(f"{root}/meta/episodes")
+    lengths = spark.read.schema("episode_index LONG, length LONG").json(f"{root}/meta/episodes")
+    info = lengths.agg(
         F.count(F.lit(1)).alias("total_episodes"),
         F.sum("length").alias("total_frames"),
         F.count_distinct(F.floor(F.col(EPISODE) / CHUNK)).alias("total_chunks"),
-    ).select("*", total_tasks.alias("total_tasks"), F.lit(CHUNK).alias("chunks_size"), F.lit(float(fps)).alias("fps"))
+    ).select(
+        "*",
+        tasks.agg(F.count_distinct("task_index")).scalar().alias("total_tasks"),
+        F.lit(CHUNK).alias("chunks_size"),
+        F.lit(float(fps)).alias("fps"),
+    )
     info.coalesce(1).write.mode(mode).json(f"{root}/meta/info")
 
 
@@ -46,10 +57,10 @@ def topic_folder(topic: str = "topic"):
 
 
 def write_topic_csv(messages: DataFrame, root: str, topic: str = "topic", ts: str = "ts_ns", mode: str = "errorifexists") -> None:
-    """One CSV folder per topic, in time order; a hot topic is cut by time into several files."""
+    """One CSV folder per topic; every file is in time order, a hot topic has several files."""
     (
         messages.withColumn("topic_folder", topic_folder(topic))
-        .repartitionByRange("topic_folder", ts)
+        .hint("rebalance", "topic_folder")
         .sortWithinPartitions("topic_folder", ts)
         .write.mode(mode)
         .partitionBy("topic_folder")
