@@ -39,7 +39,9 @@ def _json_episodes(t: Tables) -> DataFrame:
     episode = t.conversations.groupBy("conv_id", part).agg(F.array_sort(F.collect_list(frame)).alias("data"))
     text = F.to_json(F.struct("data"))
     broken = F.when(F.col("conv_id") % 9 == 0, F.concat(F.lit('{"data": [1, '), text)).otherwise(text)
-    episode.select(F.concat(F.lit("episode_"), "conv_id", F.lit("_"), "part").alias("episode"), broken.alias("value")).write.mode("append").partitionBy("episode").text(root)
+    episode.select(F.concat(F.lit("episode_"), "conv_id", F.lit("_"), "part").alias("episode"), broken.alias("value")).repartition(
+        t.spark.sparkContext.defaultParallelism
+    ).write.mode("append").partitionBy("episode").text(root)
     schema = "STRUCT<turn: LONG, role: STRING, states: STRUCT<left_arm: STRUCT<qpos: ARRAY<DOUBLE>>>>"
     read = files.read_json_episodes(t.spark, root, _type(t, schema), "*.txt")
     qpos = nested_path("states", "left_arm.qpos")
@@ -152,15 +154,23 @@ def _yaml(t: Tables) -> DataFrame:
         F.lit("\n  level1: container\n  level2: null\noperation_platform_heigth: "), "s_acctbal",
     )
     body = F.when(F.col("s_suppkey") % 10 == 7, F.lit("# nothing here")).otherwise(text)
-    t.supplier.select("s_suppkey", body.alias("value")).write.partitionBy("s_suppkey").text(root)
-    good, bad = files.read_registry(t.spark, root, "*.txt")
-    key = F.regexp_extract("path", "s_suppkey=([0-9]+)/", 1).cast("long").alias("s_suppkey")
-    none = F.lit(None).cast("string")
-    return good.select(
-        key, "dataset_name", F.col("device_model")[0].alias("device_model"), F.col("operation_platform_height").alias("height"),
-        F.array_join("task_descriptions", "|").alias("tasks"), F.col("objects")[0]["object_name"].alias("object"), none.alias("reject_reason"),
-    ).unionByName(
-        bad.select(key, none.alias("dataset_name"), none.alias("device_model"), F.lit(None).cast("double").alias("height"), none.alias("tasks"), none.alias("object"), "reject_reason")
+    texts = t.supplier.select("s_suppkey", body.alias("value")).repartition(t.spark.sparkContext.defaultParallelism)
+    texts.write.partitionBy("s_suppkey").text(root)
+    records = files.read_registry(t.spark, root, "*.txt")
+    good = F.col("reject_reason").isNull()
+    return records.select(
+        F.regexp_extract("path", "s_suppkey=([0-9]+)/", 1).cast("long").alias("s_suppkey"),
+        *[
+            F.when(good, value).alias(name)
+            for name, value in {
+                "dataset_name": F.col("dataset_name"),
+                "device_model": F.get("device_model", F.lit(0)),
+                "height": F.col("operation_platform_height"),
+                "tasks": F.array_join("task_descriptions", "|"),
+                "object": F.get("objects", F.lit(0))["object_name"],
+            }.items()
+        ],
+        "reject_reason",
     )
 
 
@@ -241,13 +251,15 @@ def _bson(t: Tables) -> DataFrame:
     row = F.struct("frame_index", F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p"), F.col("l_discount").alias("d"))
     part = F.expr("frame_index div 500").alias("part")
     documents = frames(t).groupBy("episode_index", part).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    good, bad = binary.ingest_bson(documents.mapInPandas(_encode_orders, "path STRING, content BINARY"))
-    episode = F.regexp_extract("path", "/ep/([0-9]+)_", 1).cast("long").alias("episode")
+    rows = binary.ingest_bson(documents.mapInPandas(_encode_orders, "path STRING, content BINARY"))
     first = F.regexp_extract("path", "_([0-9]+)", 1).cast("long") * 500
-    none = F.lit(None).cast("double")
-    return good.select(
-        episode, "data_path", (first + F.col("frame_index")).alias("frame_index"), F.col("values")[0].alias("v0"), F.get("values", F.lit(1)).alias("v1")
-    ).unionByName(bad.select(episode, F.lit("unreadable").alias("data_path"), first.alias("frame_index"), none.alias("v0"), none.alias("v1")))
+    return rows.select(
+        F.regexp_extract("path", "/ep/([0-9]+)_", 1).cast("long").alias("episode"),
+        F.coalesce("data_path", F.lit("unreadable")).alias("data_path"),
+        (first + F.coalesce("frame_index", F.lit(0))).alias("frame_index"),
+        F.get("values", F.lit(0)).alias("v0"),
+        F.get("values", F.lit(1)).alias("v1"),
+    )
 
 
 @query(

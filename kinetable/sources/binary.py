@@ -81,8 +81,11 @@ def bson_frames(content: bytes) -> Iterator[FrameRow]:
                     yield f"{part}.{hand}", i, values
 
 
-def ingest_bson(files: DataFrame, decoder: Callable[[bytes], Iterator[FrameRow]] = bson_frames) -> tuple[DataFrame, DataFrame]:
-    """Frame vectors of binary files (path, content), and the files that cannot be read."""
+def ingest_bson(files: DataFrame, decoder: Callable[[bytes], Iterator[FrameRow]] = bson_frames) -> DataFrame:
+    """Frame vectors of binary files (path, content); a file that cannot be read has one row with ``error``.
+
+    Store the result before splitting it by ``error``, else the files are decoded once per part.
+    """
 
     def decode_one(path: str, content: bytes) -> Iterator[tuple]:
         try:
@@ -104,8 +107,7 @@ def ingest_bson(files: DataFrame, decoder: Callable[[bytes], Iterator[FrameRow]]
         if rows:
             yield pd.DataFrame(rows, columns=columns)
 
-    rows = files.select("path", "content").mapInPandas(decode, FRAMES_SCHEMA)
-    return rows.where("error IS NULL").drop("error"), rows.where("error IS NOT NULL").select("path", "error")
+    return files.select("path", "content").mapInPandas(decode, FRAMES_SCHEMA)
 
 
 # fixed values: video extensions

@@ -194,14 +194,16 @@ def _parse_registry(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([[r[n] for n in names] for r in rows], columns=names)
 
 
-def parse_registry(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Registry records of YAML texts (path, value), and the refused files with the reason."""
-    parsed = texts.select("path", "value").mapInPandas(_parse_registry, REGISTRY_SCHEMA)
-    return parsed.where("reject_reason IS NULL").drop("reject_reason"), parsed.where("reject_reason IS NOT NULL").select("path", "reject_reason")
+def parse_registry(texts: DataFrame) -> DataFrame:
+    """Registry records of YAML texts (path, value); ``reject_reason`` is set for refused files.
+
+    Store the result before splitting it by the reason, else the files are parsed once per part.
+    """
+    return texts.select("path", "value").mapInPandas(_parse_registry, REGISTRY_SCHEMA)
 
 
-def read_registry(spark: SparkSession, paths: str | list[str], pattern: str = "*.y*ml") -> tuple[DataFrame, DataFrame]:
-    """Registry records from many YAML files."""
+def read_registry(spark: SparkSession, paths: str | list[str], pattern: str = "*.y*ml") -> DataFrame:
+    """``parse_registry`` of many YAML files."""
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
     return parse_registry(_with_path(reader.text(paths, wholetext=True)))
 

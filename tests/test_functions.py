@@ -128,12 +128,12 @@ def test_names(spark):
 
 
 def test_tag_text_with_full_width_separators(spark):
-    text = "场景类型: 餐厅、厨房，客厅\n 采集本体：realman\n\n桌面高度: 77.2cm\n相机数量：3\n无冒号\n物品: 容器-篮子-黑色篮子，其他\n相机数量: -4\n比例: 1.5　x\n空: ；；"
+    text = "场景类型: 餐厅、厨房，客厅\n 采集本体：arm_x\n\n桌面高度: 77.2cm\n相机数量：3\n无冒号\n物品: 容器-篮子-黑色篮子，其他\n相机数量: -4\n比例: 1.5　x\n空: ；；"
     df = spark.createDataFrame([(text,)], "t string")
     got = df.select(tg.tag_map(F.col("t")).alias("m")).first()["m"]
     assert got == {
         "场景类型": ["餐厅", "厨房", "客厅"],
-        "采集本体": ["realman"],
+        "采集本体": ["arm_x"],
         "桌面高度": ["77.2cm"],
         "相机数量": ["-4"],
         "物品": ["容器-篮子-黑色篮子", "其他"],
