@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinetable.operators.ordered import number_rows
+from kinetable.session import staged
 
 # fixed values: conversion states
 PENDING, PROCESSING, COMPLETED, FAILED = "pending", "processing", "completed", "failed"
@@ -61,7 +62,7 @@ def get_or_create(existing: DataFrame, values: DataFrame, id_col: str, value_col
     """Existing (id, value) rows plus an id for every new distinct value, in value order."""
     fresh = values.select(value_col).where(F.col(value_col).isNotNull()).distinct().join(existing, value_col, "left_anti")
     top = existing.agg(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-    numbered = number_rows(fresh, [], [value_col], "_no", start=1)
+    numbered = number_rows(staged(fresh, "new-values"), [], [value_col], "_no", start=1, stored=True)
     return existing.select(id_col, value_col).unionByName(
         numbered.select((F.col("_no") + top).cast(existing.schema[id_col].dataType).alias(id_col), value_col)
     )

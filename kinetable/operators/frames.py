@@ -40,8 +40,11 @@ def frame_shortfall(frames: DataFrame, sources: DataFrame, required: Sequence[st
 
 
 def number_episodes(episodes: DataFrame, task: str, local: Sequence[str], name: str = "global_episode") -> DataFrame:
-    """Global episode number in task order, then in the order within the task."""
-    return number_rows(episodes, [], [task, *local], name)
+    """Global episode number in task order, then in the order within the task.
+
+    ``episodes`` is a stored (or staged) table of one row per episode.
+    """
+    return number_rows(episodes, [], [task, *local], name, stored=True)
 
 
 def index_frames(frames: DataFrame, order: Sequence[str], fps: float, split: Split | None = None) -> DataFrame:
@@ -98,7 +101,7 @@ def offset_action(
     equi-join on (episode, frame number), which spreads over all tasks.
     """
     name = "offset_action"
-    split = split or plan_split(frames, [EPISODE], [FRAME])
+    split = split or plan_split(frames, [EPISODE], [FRAME], stored=True)
     if not split.hot:
         w = Window.partitionBy(EPISODE).orderBy(FRAME)
         out = frames.withColumn(name, F.lead(action, offset).over(w))
@@ -112,7 +115,7 @@ def nearest_image(frames: DataFrame, images: DataFrame, carry: Sequence[str] = (
 
     ``images`` holds (episode_index, frame_index, carry...); same operator as the time match.
     """
-    split = split or plan_split(frames.select(EPISODE, FRAME), [EPISODE], [FRAME])
+    split = split or plan_split(frames.select(EPISODE, FRAME), [EPISODE], [FRAME], stored=True)
     images = images.withColumn("_no", F.col(FRAME))
     found = nearest_match(frames, images, [EPISODE], FRAME, "_no", carry, prefix="image_", split=split)
     return found.drop("image__no")

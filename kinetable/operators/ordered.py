@@ -59,10 +59,11 @@ class Split:
         return self.bounds is not None
 
 
-def _hot_rows(df: DataFrame, hot_rows: int | None) -> int:
+def _set_rows(df: DataFrame, hot_rows: int | None) -> int | None:
     if hot_rows is not None:
         return hot_rows
-    return int(df.sparkSession.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+    conf = df.sparkSession.conf.get(HOT_ROWS_CONF, None)
+    return int(conf) if conf else None
 
 
 def _same_group(by: Sequence[str], prefix: str) -> Column:
@@ -82,12 +83,19 @@ def plan_split(
     """Find hot groups of ``df`` and choose slice boundaries for them (one or two small jobs).
 
     ``stored`` says that ``df`` is a plain projection of stored rows: its row count comes from
-    the file footers, and a table that is small as a whole needs no count per group.
+    the file footers, and a table that is small as a whole needs no count per group. In a large
+    one a group is hot when it holds more than the fair share of a shuffle partition, so fewer
+    groups than partitions can be hot. A threshold that is set counts as it is.
     """
     by, order = tuple(by), tuple(order)
-    limit = _hot_rows(df, hot_rows)
-    if stored and df.count() <= limit:
-        return Split(by, order)
+    given = _set_rows(df, hot_rows)
+    limit = given or DEFAULT_HOT_ROWS
+    if stored:
+        total = df.count()
+        if total <= limit:
+            return Split(by, order)
+        if given is None:
+            limit = max(limit, total // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     hot = (
         df.groupBy(*by)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -171,14 +179,17 @@ def number_rows(
     start: int = 0,
     split: Split | None = None,
     hot_rows: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Dense row number per group in ascending ``order``; ``by=[]`` numbers the whole table.
 
     A given ``split`` must group by some of ``by`` and be ordered by a prefix of ``order``.
+    ``stored`` is that of ``plan_split``; stage the result of a large computation first.
     """
     if not by:
-        return number_rows(df.withColumn(_GLOBAL, F.lit(0)), [_GLOBAL], order, name, start, None, hot_rows).drop(_GLOBAL)
-    split = split or plan_split(df, by, order, hot_rows)
+        everything = df.withColumn(_GLOBAL, F.lit(0))
+        return number_rows(everything, [_GLOBAL], order, name, start, None, hot_rows, stored).drop(_GLOBAL)
+    split = split or plan_split(df, by, order, hot_rows, stored)
     if not split.hot:
         w = Window.partitionBy(*by).orderBy(*order)
         return df.withColumn(name, F.row_number().over(w).cast("long") + (start - 1))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from kinetable.functions import names as nm
 from kinetable.operators.ordered import number_rows
+from kinetable.session import staged
 
 # fixed values: marker names
 DATASET_MARKER = "local_dataset"
@@ -51,7 +52,7 @@ def dataset_roots(listing: DataFrame, roots: Sequence[str] | None = None) -> Dat
         .agg(F.min("path").alias("marker"))
     )
     found = shallowest(markers, "dataset_dir").withColumn("_depth", nm.depth(F.col("dataset_dir")))
-    numbered = number_rows(found, [], ["_depth", "dataset_dir"], "_no")
+    numbered = number_rows(staged(found, "dataset-roots"), [], ["_depth", "dataset_dir"], "_no", stored=True)
     copy_name = F.concat(F.lit("local_dataset_info_"), F.col("_no"), F.lit(".yml"))
     return numbered.select("dataset_dir", "marker", copy_name.alias("copy_name"))
 
@@ -76,7 +77,7 @@ def number_episode_files(files: DataFrame, by: Sequence[str], extensions: Sequen
         group = F.when(path.endswith(ext), i) if group is None else group.when(path.endswith(ext), i)
     keyed = files.withColumn("_group", group).where(F.col("_group").isNotNull())
     keyed = keyed.withColumn("_natural", nm.natural_key(path) if natural else path)
-    return number_rows(keyed, by, ["_group", "_natural", "path"], "episode").drop("_group", "_natural")
+    return number_rows(keyed, by, ["_group", "_natural", "path"], "episode", stored=True).drop("_group", "_natural")
 
 
 def episode_dirs(files: DataFrame, task: str = "task_dir", max_depth: int = 3) -> DataFrame:
@@ -94,7 +95,8 @@ def episode_dirs(files: DataFrame, task: str = "task_dir", max_depth: int = 3) -
         .withColumn("number", number.cast("long"))
         .withColumn("_name", name)
     )
-    return number_rows(found, [task], ["number", "_name", "episode_dir"], "episode").drop("_name")
+    found = staged(found, "episode-dirs")
+    return number_rows(found, [task], ["number", "_name", "episode_dir"], "episode", stored=True).drop("_name")
 
 
 def main_file(files: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -111,7 +113,7 @@ def images_by_camera(files: DataFrame, by: Sequence[str]) -> DataFrame:
     name = nm.base_name(F.col("path"))
     images = files.withColumn("camera", nm.camera_index(name)).where(F.col("camera").isNotNull())
     images = images.withColumn("_natural", nm.natural_key(name))
-    return number_rows(images, [*by, "camera"], ["_natural", "path"], "position").drop("_natural")
+    return number_rows(images, [*by, "camera"], ["_natural", "path"], "position", stored=True).drop("_natural")
 
 
 def detect_cameras(files: DataFrame, by: Sequence[str], sample: int | None = 20) -> DataFrame:

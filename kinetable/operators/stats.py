@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from kinetable.functions.names import NUMBER_WIDTH, natural_key
 from kinetable.operators.ordered import number_rows
+from kinetable.session import staged
 
 DATASET, EPISODE, FRAMES = "dataset_id", "episode", "n_frames"
 
@@ -77,7 +78,9 @@ def frame_lists(counts: DataFrame, chunk: int | None = LIST_CHUNK) -> DataFrame:
     if chunk is None:
         keyed, keys = counts.withColumn("_at", F.col(EPISODE)), [DATASET]
     else:
-        keyed = number_rows(counts, [DATASET], [EPISODE], "_at").withColumn("chunk", F.floor(F.col("_at") / chunk))
+        # one small row per episode out of a scan of all frames: staged, so the frames are read once
+        numbered = number_rows(staged(counts, "frame-counts"), [DATASET], [EPISODE], "_at", stored=True)
+        keyed = numbered.withColumn("chunk", F.floor(F.col("_at") / chunk))
         keys = [DATASET, "chunk"]
     return keyed.groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_at", FRAMES))), lambda x: x[FRAMES]).alias("episode_frames_num"),

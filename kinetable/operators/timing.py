@@ -27,7 +27,7 @@ UNSTABLE_SHARE, SPARSE_COUNT, LONG_GAP_MS = 0.5, 10, 1000
 NAMED_TOPICS = 3
 
 
-def split_messages(messages: DataFrame, stored: bool = False) -> Split:
+def split_messages(messages: DataFrame, stored: bool = True) -> Split:
     """The split that every operator over this message table can share."""
     return plan_split(messages, [EPISODE], [TS], stored=stored)
 

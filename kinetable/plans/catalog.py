@@ -9,8 +9,10 @@ from kinetable.functions import names as nm
 from kinetable.functions import tags as tg
 from kinetable.operators import catalog as ct
 from kinetable.operators import records as rc
+from kinetable.operators.ordered import number_rows
 from kinetable.operators.stats import size_label
 from kinetable.plans.registry import Tables, query
+from kinetable.session import staged
 
 _TAG_TEXT = (
     "concat('category: ', p_type, '-', p_brand, '\\n  size：', p_size, ' \\nno colon here\\ncolours : ', replace(p_name, ' ', '、'), "
@@ -204,16 +206,14 @@ def _skip(t: Tables) -> DataFrame:
 
 @query(
     "dim_get_or_create",
-    """WITH ex AS (SELECT row_number() OVER (ORDER BY v DESC) AS id, v AS value FROM (SELECT DISTINCT p_type AS v FROM part)),
+    """WITH ex AS (SELECT row_number() OVER (ORDER BY v) + 4 AS id, v AS value FROM (SELECT DISTINCT p_type AS v FROM part)),
 new AS (SELECT DISTINCT p_brand || ' ' || p_type AS value FROM part UNION SELECT p_type FROM part),
 fresh AS (SELECT value FROM new ANTI JOIN ex USING (value))
 SELECT id, value FROM ex UNION ALL SELECT (SELECT max(id) FROM ex) + row_number() OVER (ORDER BY value), value FROM fresh""",
 )
 def _dim(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-
-    types = t.part.select(F.col("p_type").alias("value")).distinct()
-    existing = types.select(F.row_number().over(Window.orderBy(F.desc("value"))).cast("long").alias("id"), "value")
+    types = staged(t.part.select(F.col("p_type").alias("value")).distinct(), "types")
+    existing = number_rows(types, [], ["value"], "id", start=5, stored=True)
     values = t.part.select(F.concat_ws(" ", "p_brand", "p_type").alias("value")).unionByName(t.part.select(F.col("p_type").alias("value")))
     return ct.get_or_create(existing, values, "id", "value")
 
@@ -228,11 +228,9 @@ ids AS (SELECT object_id, object_name FROM ex UNION ALL SELECT (SELECT max(objec
 SELECT object_id, object_name, level1, level2 FROM ids JOIN last USING (object_name)""",
 )
 def _objects(t: Tables) -> DataFrame:
-    from pyspark.sql import Window
-
     none = F.lit(None).cast("string")
-    types = t.part.select(F.col("p_type").alias("object_name")).distinct()
-    existing = types.select(F.row_number().over(Window.orderBy("object_name")).cast("long").alias("object_id"), "object_name")
+    types = staged(t.part.select(F.col("p_type").alias("object_name")).distinct(), "types")
+    existing = number_rows(types, [], ["object_name"], "object_id", start=1, stored=True)
     existing = existing.withColumns({c: none for c in ct.LEVEL_COLUMNS})
     rest = {c: none for c in ct.LEVEL_COLUMNS[2:]}
     seen = t.part.where("p_partkey % 2 = 0").select("p_partkey", F.col("p_type").alias("object_name"), F.col("p_brand").alias("level1"), F.col("p_name").alias("level2"))

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinetable.operators import frames as fr
-from kinetable.plans.registry import Tables, query, r6, rounded
-from kinetable.plans.standin import FRAMES_SQL, FRAMES_TASK_SQL, frames, frames_with_task
+from kinetable.operators.ordered import number_rows
+from kinetable.operators.stats import dataset_totals
+from kinetable.plans.registry import Tables, query, rounded
+from kinetable.plans.standin import FRAMES_SQL, FRAMES_TASK_SQL, frames
+from kinetable.session import staged
 
 FPS = 30
 
@@ -56,15 +59,13 @@ SELECT task_index, episode_index, CAST(row_number() OVER (ORDER BY task_index, e
   CAST(row_number() OVER (PARTITION BY task_index ORDER BY episode_index) - 1 AS BIGINT) AS task_episode FROM e""",
 )
 def _numbering(t: Tables) -> DataFrame:
-    from kinetable.operators.ordered import number_rows
-
     # only the episode keys are needed, so no frame is numbered here
     episodes = (
         t.lineitem.select(F.col("l_orderkey").alias("episode_index"))
         .distinct()
         .join(t.orders.select(F.col("o_orderkey").alias("episode_index"), (F.col("o_custkey") % 3).alias("task_index")), "episode_index")
     )
-    numbered = number_rows(episodes, ["task_index"], ["episode_index"], "task_episode")
+    numbered = number_rows(staged(episodes, "episodes"), ["task_index"], ["episode_index"], "task_episode", stored=True)
     return fr.number_episodes(numbered, "task_index", ["episode_index"])
 
 
@@ -117,8 +118,6 @@ def _nearest_image(t: Tables) -> DataFrame:
 FROM frames_t f GROUP BY 1""",
 )
 def _totals(t: Tables) -> DataFrame:
-    from kinetable.operators.stats import dataset_totals
-
     rows = t.lineitem.select(F.col("l_orderkey").alias("episode_index"), (F.col("l_orderkey") % 20).alias("dataset_id"))
     tasks = t.orders.select(F.col("o_orderkey").alias("episode_index"), (F.col("o_custkey") % 3).alias("task_index"))
     return dataset_totals(rows, tasks, F.concat(F.lit("task "), F.col("task_index")))

@@ -250,7 +250,7 @@ def _natural(t: Tables) -> DataFrame:
     from kinetable.operators.ordered import number_rows
 
     names = t.documents.select("doc_id", F.expr("concat('ep', doc_id % 37, '_part', doc_id, '.jpg')").alias("name"))
-    return number_rows(names.withColumn("_key", nm.natural_key(F.col("name"))), [], ["_key", "doc_id"], "position").drop("_key")
+    return number_rows(names.withColumn("_key", nm.natural_key(F.col("name"))), [], ["_key", "doc_id"], "position", stored=True).drop("_key")
 
 
 @query(

@@ -370,7 +370,8 @@ SELECT user_id AS client, epoch_us(ts) AS ping_us FROM p WHERE ts <= {_CUT} AND
 
 
 def _heartbeats(events: DataFrame) -> tuple[DataFrame, DataFrame]:
-    ts = F.col("ts").cast("timestamp")
+    # an instant that does not depend on the session time zone
+    ts = F.timestamp_micros(F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"))
     return (
         events.where("event_type = 'view'").select(F.col("user_id").alias("client"), ts.alias("ping_ts")),
         events.where("event_type = 'click'").select(F.col("user_id").alias("client"), ts.alias("pong_ts")),

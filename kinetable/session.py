@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(app: str = "kinetable", cores: str | int = "*", shuffle_partitions: int = 8) -> SparkSession:
@@ -38,3 +38,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix=f"kinetable-{label}-")
     raise ValueError("set spark.checkpoint.dir to a shared folder before running on a cluster")
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written once to the scratch folder and read back.
+
+    For a small result of a large computation that is needed more than once: its lineage ends
+    here, so neither a size check nor a lost executor runs the large computation again.
+    """
+    path = scratch_dir(df.sparkSession, label) + "/table"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

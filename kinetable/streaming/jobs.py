@@ -73,7 +73,7 @@ def heartbeat_gaps_batch(pings: DataFrame, pongs: DataFrame, timeout: str) -> Da
     """
     targets = pings.select("client", "ping_ts", F.unix_micros("ping_ts").alias("us"))
     sources = pongs.select("client", F.unix_micros("pong_ts").alias("us")).withColumn("_n", F.lit(0))
-    split = plan_split(targets.select("client", "us").unionByName(sources.select("client", "us")), ["client"], ["us"])
+    split = plan_split(targets.select("client", "us").unionByName(sources.select("client", "us")), ["client"], ["us"], stored=True)
     around = neighbours(targets, sources, ["client"], "us", "_n", split=split)
     limit = F.unix_micros(F.expr(f"ping_ts + INTERVAL {timeout}"))
     answered = (F.col("_prev")["us"] == F.col("us")) | (F.col("_next")["us"] <= limit)
