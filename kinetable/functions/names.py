@@ -56,6 +56,12 @@ def camera_key_index(key: Column) -> Column:
     return F.when(digits != "", digits.cast("int")).otherwise(0)
 
 
+def frame_number(name: Column) -> Column:
+    """Number before the first underscore of an image name ('00379_color_0.jpg' -> 379), null for other names."""
+    digits = F.regexp_extract(stem(name), r"^([0-9]+)(?:_|$)", 1)
+    return F.when(digits != "", digits.cast("long"))
+
+
 def clean_dataset_name(address: Column) -> Column:
     """Leading ``[A-Za-z0-9_.-]+`` of the last path part, else ``unknown_dataset``."""
     last = base_name(F.regexp_replace(F.trim(address), r"/+$", ""))

@@ -59,6 +59,7 @@ def align_nearest(
     warn_diff_ms: float = 20.0,
     carry: Sequence[str] = (),
     split: Split | None = None,
+    topics: Sequence[str] | None = None,
 ) -> DataFrame:
     """For every base-topic message the closest message of each other topic of the episode.
 
@@ -67,16 +68,19 @@ def align_nearest(
 
     Messages are read once for the base topic and once here: every row is a source, a base row is
     also one target per topic of its episode, and all of them go through one shuffle together
-    with the ``carry`` payload.
+    with the ``carry`` payload. ``topics`` names those wanted in the result: the base topic is still
+    chosen among all, but messages of other topics do not go through the shuffle.
     """
     messages = messages.select(EPISODE, TOPIC, SEQ, TS, *carry)
     split = split or split_messages(messages)
     if isinstance(base, DataFrame):
-        topics = messages.groupBy(EPISODE).agg(F.collect_set(TOPIC).alias("topics"))
-        chosen = base.select(EPISODE, "base_topic").join(topics, EPISODE)
+        present = messages.groupBy(EPISODE).agg(F.collect_set(TOPIC).alias("topics"))
+        chosen = base.select(EPISODE, "base_topic").join(present, EPISODE)
     else:
         chosen = select_base_topic(topic_timing(messages, split), base)
-    chosen = chosen.select(EPISODE, F.col("base_topic").alias(TOPIC), "topics")
+    targets = F.col("topics") if topics is None else F.array_intersect("topics", F.array(*[F.lit(t) for t in topics]))
+    chosen = chosen.select(EPISODE, F.col("base_topic").alias(TOPIC), targets.alias("topics"))
+    wanted = F.lit(True) if topics is None else F.col(TOPIC).isin(list(topics))
     payload = [F.col(c) for c in carry]
 
     def row(topic: Column, kind: int, target: Column, source: Column) -> Column:
@@ -93,10 +97,11 @@ def align_nearest(
     source_type = _struct_type(messages, [TS, SEQ, *carry])
     as_source = row(F.col(TOPIC), 0, F.lit(None).cast(own_type), F.struct(TS, SEQ, *payload))
     as_targets = F.transform("topics", lambda t: row(t, 1, target_struct(t), F.lit(None).cast(source_type)))
+    sources = F.when(wanted, F.array(as_source)).otherwise(F.array().cast(f"array<{_row_type(own_type, source_type)}>"))
     stacked = messages.join(chosen, [EPISODE, TOPIC], "left").select(
         EPISODE,
         F.col(TS).alias("_k"),
-        F.explode(F.when(F.col("topics").isNull(), F.array(as_source)).otherwise(F.concat(F.array(as_source), as_targets))).alias("_r"),
+        F.explode(F.when(F.col("topics").isNull(), sources).otherwise(F.concat(sources, as_targets))).alias("_r"),
     )
     around = stacked_neighbours(stacked.select(EPISODE, "_k", "_r.*"), [EPISODE, TOPIC], split)
     own = F.col("_target.own")
@@ -133,6 +138,10 @@ def align_nearest(
     )
 
 
+def _row_type(target_type: str, source_type: str) -> str:
+    return f"struct<{TOPIC}: string, _kind: int, _o: bigint, _target: {target_type}, _source: {source_type}>"
+
+
 def _struct_type(df: DataFrame, columns: Sequence[str]) -> str:
     return "struct<" + ", ".join(f"`{c}`: {df.schema[c].dataType.simpleString()}" for c in columns) + ">"
 
@@ -167,12 +176,21 @@ def align(
     carry: Sequence[str] = (),
     drop_low_quality: bool = False,
     split: Split | None = None,
+    topics: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Align by preset: (episode, topic, frame_index, src_seq, src_ts_ns, carry...)."""
+    """Align by preset: (episode, topic, frame_index, src_seq, src_ts_ns, carry...).
+
+    ``topics`` keeps those in the result; base topic and shortest length are still those of all.
+    """
     config = PRESETS[preset] if isinstance(preset, str) else preset
     if config.truncate:
-        return align_truncate(messages, carry)
-    aligned = align_nearest(messages, config.base_topic, config.max_diff_ms, config.warn_diff_ms, carry, split)
+        out = align_truncate(messages, carry)
+        return out if topics is None else out.where(F.col(TOPIC).isin(list(topics)))
+    if drop_low_quality and topics is not None:
+        # the quality counts every topic, so all of them are aligned
+        every = align(messages, config, carry, True, split)
+        return every.where(F.col(TOPIC).isin(list(topics)))
+    aligned = align_nearest(messages, config.base_topic, config.max_diff_ms, config.warn_diff_ms, carry, split, topics)
     if drop_low_quality:
         good = episode_align_quality(align_quality(aligned, config.max_diff_ms, config.min_quality)).where(
             F.col("avg_quality") >= config.min_quality

@@ -38,15 +38,17 @@ def upsert(target: DataFrame, changes: DataFrame, key: str, order: Sequence[str]
         F.struct(F.lit(1).alias("_v"), *[F.col(o).alias(o) for o in order]).alias("_rank"),
     )
     rank = F.col("_rank")
-    merged = []
-    for c in columns:
-        if c in keep_if_null:
-            merged.append(F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c))
-        elif c in changed:
-            merged.append(F.max_by(c, rank).alias(c))
-        else:
-            merged.append(F.max_by(c, F.when(F.col("_new") == 0, rank)).alias(c))
-    return old.unionByName(new).groupBy(key).agg(*merged).select(*target.columns)
+    # one maximum for all columns that change together, one for those only the target has
+    together = [c for c in changed if c not in keep_if_null]
+    only_old = [c for c in columns if c not in changed]
+    merged = [F.max_by(c, F.when(F.col(c).isNotNull(), rank)).alias(c) for c in changed if c in keep_if_null]
+    if together:
+        merged.append(F.max_by(F.struct(*together), rank).alias("_changed"))
+    if only_old:
+        merged.append(F.max_by(F.struct(*only_old), F.when(F.col("_new") == 0, rank)).alias("_old"))
+    where = {c: F.col("_changed")[c] for c in together} | {c: F.col("_old")[c] for c in only_old}
+    grouped = old.unionByName(new).groupBy(key).agg(*merged) if merged else old.unionByName(new).select(key).distinct()
+    return grouped.select(*[where[c].alias(c) if c in where else F.col(c) for c in target.columns])
 
 
 def status_upsert(target: DataFrame, events: DataFrame, key: str = "dataset_uuid", order: Sequence[str] = ("updated_at",)) -> DataFrame:

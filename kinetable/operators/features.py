@@ -51,7 +51,8 @@ def validate_config(config: Mapping[str, Any]) -> None:
     _vector_parts(_need(action, "sub_action", "action"), "sub_action")
 
 
-def _source(args: Mapping[str, Any]) -> str:
+def source_name(args: Mapping[str, Any]) -> str:
+    """Path, topic or column that an entry reads."""
     for key in PATH_KEYS:
         if key in args:
             return args[key]
@@ -64,7 +65,7 @@ def concat_vector(parts: list[Mapping[str, Any]], columns: Mapping[str, Column]
     pieces = []
     for part in parts:
         args = part["args"]
-        path = _source(args)
+        path = source_name(args)
         value = columns[path] if path in columns else F.col(path)
         if "range_from" in args and "range_to" in args:
             value = vector_slice(value, args["range_from"], args["range_to"])

@@ -108,6 +108,22 @@ def main_file(files: DataFrame, by: Sequence[str]) -> DataFrame:
     return files.groupBy(*by).agg(F.min_by("path", F.struct(rank, length, "path")).alias("path"))
 
 
+def episode_json_files(files: DataFrame, task: str = "task_dir") -> DataFrame:
+    """(task, episode, path): the JSON data file of every episode.
+
+    A task with episode directories has the main file of each, in their order. Any other task has
+    all its JSON files in natural order.
+    """
+    json = files.where(F.col("path").endswith(".json")).select(task, "path")
+    dirs = episode_dirs(json, task)
+    below = json.withColumn("episode_dir", F.explode(nm.ancestors(F.col("path"))))
+    picked = main_file(below.join(dirs.select(task, "episode_dir", "episode"), [task, "episode_dir"]), [task, "episode"])
+    flat = json.join(dirs.select(task), task, "left_anti")
+    return picked.select(task, "episode", "path").unionByName(
+        number_episode_files(flat, [task], (".json",)).select(task, "episode", "path")
+    )
+
+
 def images_by_camera(files: DataFrame, by: Sequence[str]) -> DataFrame:
     """Images per camera (last digit of the name) in natural order."""
     name = nm.base_name(F.col("path"))

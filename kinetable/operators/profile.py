@@ -117,15 +117,26 @@ def first_rows(df: DataFrame, n: int, order: Sequence[str], by: Sequence[str] =
     return df.withColumn("position", F.row_number().over(w)).where(F.col("position") <= n)
 
 
-def propose_features(topics: DataFrame, msgtype: str = "msgtype") -> DataFrame:
+def _kind_rules(name: Column, kind: Column) -> dict[str, tuple[Column, Column]]:
+    """(image test, state test) of each rule set, on the lower-case topic and on the type."""
+    lower = F.lower(kind)
+    joint = name.contains("joint")
+    image = kind.contains("Image") | name.contains("image")
+    return {
+        "dataset": (image, kind.contains("JointState") | joint),
+        "inspect": (image, lower.contains("joint") | joint | name.contains("state")),
+        "by_type": (lower.contains("image") | lower.contains("compressed"), lower.contains("joint") | joint),
+    }
+
+
+def propose_features(topics: DataFrame, msgtype: str = "msgtype", rule: str = "dataset") -> DataFrame:
     """Feature config proposed from topics (topic, msgtype): cameras numbered, joint topics with ranges.
 
-    A topic is an image when its type says so or its name contains 'image'; else a state when its
-    type is a joint state or its name contains 'joint'. The input is one row per topic.
+    The input is one row per topic. ``rule`` chooses the tests of image and state topics:
+    ``dataset``, ``inspect`` or ``by_type``. The image test comes first.
     """
     lower = F.lower(F.col(TOPIC))
-    image = F.col(msgtype).contains("Image") | lower.contains("image")
-    joint = F.col(msgtype).contains("JointState") | lower.contains("joint")
+    image, joint = _kind_rules(lower, F.col(msgtype))[rule]
     kinds = topics.withColumn("kind", F.when(image, "image").when(joint, "state")).where("kind IS NOT NULL")
     w = Window.partitionBy("kind").orderBy(TOPIC)
     side = (

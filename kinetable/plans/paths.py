@@ -130,6 +130,26 @@ def _episode_dirs(t: Tables) -> DataFrame:
     return pt.episode_dirs(_json_files(t))
 
 
+_TASK_FILES = f"files AS (SELECT task_dir, CASE WHEN task_dir LIKE '%src1_' THEN regexp_replace(path, '/(episode_?|Episode_|ep_?|EP_|00)([0-9]+)/', '/take_\\2/') ELSE path END AS path FROM (SELECT concat('/root/', source) AS task_dir, {_JSON_PATH} AS path FROM documents))"
+
+
+@query(
+    "episode_json_files",
+    f"""WITH {_TASK_FILES}, j AS (SELECT task_dir, path, regexp_extract(path, '[^/]*$') AS name, regexp_replace(path, '/[^/]*$', '') AS dir FROM files WHERE path LIKE '%.json'),
+d AS (SELECT DISTINCT task_dir, dir, regexp_extract(dir, '[^/]*$') AS dname FROM j WHERE regexp_matches(regexp_extract(dir, '[^/]*$'), '(?i)^(episode_?|ep_?)?[0-9]+$') AND len(string_split(dir, '/')) - len(string_split(task_dir, '/')) <= 3),
+e AS (SELECT *, CAST(row_number() OVER (PARTITION BY task_dir ORDER BY CAST(regexp_extract(dname, '[0-9]+$') AS BIGINT), dname, dir) - 1 AS BIGINT) AS episode FROM d),
+r AS (SELECT j.task_dir, episode, path, row_number() OVER (PARTITION BY j.task_dir, episode ORDER BY CASE WHEN contains(lower(name), 'data') THEN 1 WHEN contains(lower(name), 'episode') THEN 2 ELSE 3 END,
+  CASE WHEN contains(lower(name), 'data') OR contains(lower(name), 'episode') THEN 0 ELSE len(name) END, path) AS rn FROM j JOIN e ON e.task_dir = j.task_dir AND e.dir = j.dir)
+SELECT task_dir, episode, path FROM r WHERE rn = 1
+UNION ALL SELECT task_dir, CAST(row_number() OVER (PARTITION BY task_dir ORDER BY {_natural_sql('path')}, path) - 1 AS BIGINT), path FROM j WHERE task_dir NOT IN (SELECT task_dir FROM d)""",
+)
+def _episode_json(t: Tables) -> DataFrame:
+    """Sources 10 to 19 have no episode directories, so their files count one by one."""
+    renamed = F.regexp_replace("path", "/(episode_?|Episode_|ep_?|EP_|00)([0-9]+)/", "/take_$2/")
+    files = _json_files(t).withColumn("path", F.when(F.col("task_dir").rlike("src1.$"), renamed).otherwise(F.col("path")))
+    return pt.episode_json_files(files)
+
+
 @query(
     "main_file_pick",
     f"""WITH {_JSON_SQL}, f AS (SELECT regexp_replace(path, '/[^/]*$', '') AS episode_dir, path, regexp_extract(path, '[^/]*$') AS name FROM files WHERE path LIKE '%.json'),

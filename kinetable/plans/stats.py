@@ -125,9 +125,11 @@ def _topk(t: Tables) -> DataFrame:
     "feature_map_infer",
     f"""WITH {messages_sql()}, s AS (SELECT DISTINCT concat(topic, '_', episode_id % 3) AS topic,
   CASE WHEN topic LIKE '%rgb%' AND episode_id % 3 = 1 THEN 'sensor_msgs/CompressedImage' WHEN topic LIKE '%imu%' AND episode_id % 3 = 2 THEN 'sensor_msgs/JointState' ELSE 'other' END AS msgtype FROM messages),
-k AS (SELECT topic, CASE WHEN contains(msgtype, 'Image') OR contains(lower(topic), 'image') THEN 'image' WHEN contains(msgtype, 'JointState') OR contains(lower(topic), 'joint') THEN 'state' END AS kind FROM s),
-n AS (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY topic) AS no FROM k WHERE kind IS NOT NULL)
-SELECT kind, topic, CASE WHEN kind = 'image' THEN 'cam_' || no || CASE WHEN contains(topic, 'left') THEN '_left' WHEN contains(topic, 'right') THEN '_right' WHEN contains(topic, 'head') THEN '_head' ELSE '' END END AS cam_name,
+k AS (SELECT 'dataset' AS rule, topic, CASE WHEN contains(msgtype, 'Image') OR contains(lower(topic), 'image') THEN 'image' WHEN contains(msgtype, 'JointState') OR contains(lower(topic), 'joint') THEN 'state' END AS kind FROM s
+  UNION ALL SELECT 'inspect', topic, CASE WHEN contains(msgtype, 'Image') OR contains(lower(topic), 'image') THEN 'image' WHEN contains(lower(msgtype), 'joint') OR contains(lower(topic), 'joint') OR contains(lower(topic), 'state') THEN 'state' END FROM s
+  UNION ALL SELECT 'by_type', topic, CASE WHEN contains(lower(msgtype), 'image') OR contains(lower(msgtype), 'compressed') THEN 'image' WHEN contains(lower(msgtype), 'joint') OR contains(lower(topic), 'joint') THEN 'state' END FROM s),
+n AS (SELECT *, row_number() OVER (PARTITION BY rule, kind ORDER BY topic) AS no FROM k WHERE kind IS NOT NULL)
+SELECT rule, kind, topic, CASE WHEN kind = 'image' THEN 'cam_' || no || CASE WHEN contains(topic, 'left') THEN '_left' WHEN contains(topic, 'right') THEN '_right' WHEN contains(topic, 'head') THEN '_head' ELSE '' END END AS cam_name,
  CASE WHEN kind = 'state' THEN 'joint_1,joint_2,joint_3,joint_4,joint_5,joint_6,joint_7' END AS names,
  CASE WHEN kind = 'state' THEN 0 END AS range_from, CASE WHEN kind = 'state' THEN 7 END AS range_to FROM n""",
 )
@@ -139,7 +141,8 @@ def _infer(t: Tables) -> DataFrame:
         .otherwise("other")
     )
     topics = plain(t).select(F.concat("topic", F.lit("_"), rest).alias("topic"), kind.alias("msgtype")).distinct()
-    return pf.propose_features(topics).withColumn("names", F.array_join("names", ","))
+    parts = [pf.propose_features(topics, rule=rule).withColumn("rule", F.lit(rule)) for rule in ("dataset", "inspect", "by_type")]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).withColumn("names", F.array_join("names", ","))
 
 
 @query(

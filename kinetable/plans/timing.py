@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinetable.operators import align as al
 from kinetable.operators import timing as tm
+from kinetable.operators.convert import convert_recordings
 from kinetable.operators.ordered import Split
 from kinetable.plans.registry import Tables, query, r6, rounded
 from kinetable.plans.standin import messages, messages_q, messages_q_sql, messages_r, messages_r_sql, messages_sql
@@ -310,3 +311,55 @@ def _presets(t: Tables) -> DataFrame:
         al.align(df, "emergency").withColumn("preset", F.lit("emergency")),
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def recording_config() -> dict:
+    """Two cameras, a state of two topics with a conversion, an action one frame later."""
+    joint = {"topic_name": "/feedback_arm_left/joint", "range_from": 0, "range_to": 2}
+    return {
+        "features": {
+            "observation": {
+                "images": [
+                    {"cam_name": "head", "args": {"topic_name": "/camera_head/rgb/compressed"}},
+                    {"cam_name": "wrist", "args": {"topic_name": "/camera_wrist_left/color/image"}},
+                ],
+                "state": {
+                    "sub_state": [
+                        {"names": ["j1", "j2"], "args": joint, "convert_func": "degree2rad"},
+                        {"names": ["imu"], "args": {"topic_name": "/imu_chassis", "range_from": 1, "range_to": 2}},
+                    ]
+                },
+            },
+            "action": {
+                "timeline_offset": 1,
+                "sub_action": [{"names": ["cmd"], "args": {"topic_name": "/motion_target/cmd", "range_from": 0, "range_to": 1}}],
+            },
+        }
+    }
+
+
+@query(
+    "convert_recordings",
+    f"""WITH {messages_sql()}, {SCORES_SQL}, {_BASE_PICK}, {_NEAREST}, v AS (
+  SELECT a.episode_id, a.topic, a.frame_index, a.src_seq, a.src_ts_ns, m.value, CAST(m.seq AS DOUBLE) AS no
+  FROM matched a JOIN messages m ON m.episode_id = a.episode_id AND m.topic = a.topic AND m.seq = a.src_seq),
+p AS (SELECT episode_id, frame_index, max(value) FILTER (WHERE topic = '/feedback_arm_left/joint') AS jv, max(no) FILTER (WHERE topic = '/feedback_arm_left/joint') AS jn,
+  max(no) FILTER (WHERE topic = '/imu_chassis') AS imu, max(value) FILTER (WHERE topic = '/motion_target/cmd') AS cmd,
+  max(src_seq) FILTER (WHERE topic = '/camera_head/rgb/compressed') AS head_seq, max(src_ts_ns) FILTER (WHERE topic = '/camera_wrist_left/color/image') AS wrist_ts FROM v GROUP BY 1, 2),
+full_rows AS (SELECT * FROM p WHERE jv IS NOT NULL AND imu IS NOT NULL AND cmd IS NOT NULL AND head_seq IS NOT NULL AND wrist_ts IS NOT NULL),
+o AS (SELECT *, lead(cmd) OVER (PARTITION BY episode_id ORDER BY frame_index) AS next_cmd FROM full_rows)
+SELECT episode_id, frame_index, round(CAST(radians(jv) AS FLOAT)::DOUBLE, 4) AS s0, round(CAST(radians(jn) AS FLOAT)::DOUBLE, 4) AS s1, imu AS s2,
+  round(CAST(next_cmd AS FLOAT)::DOUBLE, 2) AS a0, head_seq, wrist_ts FROM o WHERE next_cmd IS NOT NULL""",
+)
+def _convert(t: Tables) -> DataFrame:
+    df, split = messages(t, payload=("value",))
+    vectors = df.withColumn("vector", F.array("value", F.col("seq").cast("double")))
+    frames = convert_recordings(vectors, recording_config(), split=split)
+    return frames.select(
+        "episode_id",
+        "frame_index",
+        *[r6(F.col("observation_state")[i], 4).alias(f"s{i}") for i in range(3)],
+        r6(F.col("action")[0], 2).alias("a0"),
+        F.col("image_head.src_seq").alias("head_seq"),
+        F.col("image_wrist.src_ts_ns").alias("wrist_ts"),
+    )

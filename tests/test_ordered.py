@@ -160,6 +160,12 @@ SPLIT_QUERIES = [
     "episode_files",
     "dim_get_or_create",
     "heartbeat_gap_batch",
+    "convert_recordings",
+    "dataset_frame_lists",
+    "episode_json_files",
+    "camera_from_filename",
+    "scan_dataset_tree",
+    "bson_episode_ingest",
 ]
 
 
@@ -203,6 +209,15 @@ def test_base_rows_map_to_themselves(spark):
     assert [rows[("/joint", i)]["src_seq"] for i in range(4)] == [0, 0, 0, 1]
 
 
+def test_wanted_topics_only(spark):
+    """The base is chosen among all topics even when it is not wanted itself."""
+    df = messages(spark, {"/rgb": [0, 5, 9], "/joint": [4, 6], "/imu": [1]})
+    every = {tuple(r) for r in align_nearest(df).where("topic = '/joint'").collect()}
+    assert len(every) == 3
+    assert {tuple(r) for r in align_nearest(df, topics=["/joint"]).collect()} == every
+    assert {r["topic"] for r in align_nearest(df, topics=["/joint", "/rgb", "/none"]).collect()} == {"/joint", "/rgb"}
+
+
 def test_split_is_shared(spark):
     df = messages(spark, {"a": range(100), "b": range(0, 100, 7)})
     split = od.plan_split(df, ["episode_id"], ["ts_ns"], hot_rows=10)
