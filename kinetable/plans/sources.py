@@ -19,7 +19,7 @@ from kinetable.operators.features import nested_path
 from kinetable.plans.catalog import STATUS_SQL, old_status, status_events
 from kinetable.plans.registry import Tables, query, r6
 from kinetable.plans.standin import FRAMES_TASK_SQL, frames, frames_with_task, messages, messages_sql
-from kinetable.session import scratch_dir
+from kinetable.session import local_partitions, scratch_dir
 from kinetable.sources import binary, files, writers
 from kinetable.streaming import jobs
 
@@ -399,12 +399,13 @@ def _gap_stream(t: Tables) -> DataFrame:
         return t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
 
     gaps = jobs.heartbeat_gaps(_heartbeats(stream())[0], _heartbeats(stream())[1], TIMEOUT, salts=2)
-    (
-        gaps.writeStream.format("parquet")
-        .option("path", f"{root}/out")
-        .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    with local_partitions(t.spark):
+        running = (
+            gaps.writeStream.format("parquet")
+            .option("path", f"{root}/out")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        running.awaitTermination()
     return _judged(t, t.spark.read.schema("client LONG, ping_ts TIMESTAMP").parquet(f"{root}/out"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -40,6 +41,19 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     raise ValueError("set spark.checkpoint.dir to a shared folder before running on a cluster")
 
 
+@contextlib.contextmanager
+def local_partitions(spark: SparkSession):
+    """On a local master, no more shuffle partitions than cores: a stream keeps a state store for each."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    if spark.sparkContext.master.startswith("local"):
+        spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once to the scratch folder and read back.
 
