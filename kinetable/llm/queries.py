@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetable.llm import simhash
+from kinetable.llm import bytebpe, langid, simhash, tokens, toxicity
 from kinetable.llm.common import table
+from kinetable.llm.sampling import sample_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +26,56 @@ def query(name: str, sql: str | None = None):
     return wrap
 
 
+def crc(id_col: str, modulus: int):
+    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
+
+
+@query("op3_token_counts")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return tokens.count_tokens(docs, ["doc_id"], public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    known = labels.where(F.col("toxic").isNotNull() & (crc("doc_id", 4) != 2))
+    chosen = known.join(F.broadcast(sample_ids(known, "doc_id", toxicity.MAX_TRAIN_DOCS)), "doc_id")
+    chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    model = toxicity.train(docs.join(F.broadcast(chosen), "doc_id"))
+    scored = toxicity.score(docs, ["doc_id"], model)
+    held = F.coalesce(crc("doc_id", 4) == 2, F.lit(False))
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted", "clauses")
+
+
+@query("op5_byte_bpe")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return encode_digest(docs)
+
+
+def encode_digest(docs: DataFrame) -> DataFrame:
+    """Encoded and decoded again; digests of both."""
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = bytebpe.encode(docs, ["doc_id"], ranks, public_tokenizers.PATTERN)
+    decoded = bytebpe.decode(encoded, ["doc_id"], ranks, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op9_language_id")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, vocab = table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model")
+    known = docs.where(F.col("lang").isNotNull() & (crc("doc_id", 5) != 0))
+    chosen = known.join(F.broadcast(sample_ids(known, "doc_id", langid.MAX_TRAIN_DOCS)), "doc_id")
+    found = langid.predict(docs, ["doc_id"], langid.train(chosen, vocab), vocab)
+    return found.select("doc_id", F.coalesce(crc("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @query("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
