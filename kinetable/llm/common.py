@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetable.session import scratch_dir
@@ -46,24 +46,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return Stored(df, label).df
 
 
-def text_hash(text: Column) -> list[Column]:
-    """Two hashes that tell whole texts apart (128 bits together)."""
-    return [F.xxhash64(text), F.xxhash64(F.lit("second"), text)]
-
-
-def slices_by_bytes(sizes: Iterable[int], limit: int = 16 << 20) -> Iterator[tuple[int, int]]:
-    """(start, stop) runs whose sizes sum to about ``limit`` at most, so that no output batch grows without bound."""
-    start, held, stop = 0, 0, 0
-    for stop, size in enumerate(sizes):  # noqa: B007
-        if held and held + size > limit:
-            yield start, stop
-            start, held = stop, 0
-        held += size
-    else:
-        if held or start == 0:
-            yield start, stop + 1 if held or stop else stop
-
-
 def map_texts(
     df: DataFrame, text: str, keep: list[str], new: list[tuple[str, str, pa.DataType]], fn: Callable[[list[str | None]], list[list]]
 ) -> DataFrame:
@@ -86,3 +68,15 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return df.select(*keep, F.col(text).alias("_text")).mapInArrow(run, schema)
+
+
+def join_on(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner", nulls: tuple[str, ...] = ()) -> DataFrame:
+    """Equi-join on ``names`` that keeps the left key columns; in the columns of ``nulls`` null equals null.
+
+    ``right`` must not have other columns named like ``left``'s.
+    """
+    renamed = right.select(*[F.col(c).alias(f"_right{c}") if c in names else F.col(c) for c in right.columns])
+    same = F.lit(True)
+    for c in names:
+        same = same & (F.col(c).eqNullSafe(F.col(f"_right{c}")) if c in nulls else F.col(c) == F.col(f"_right{c}"))
+    return left.join(renamed, same, how).drop(*[f"_right{c}" for c in names])
