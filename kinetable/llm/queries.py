@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetable.llm import bytebpe, langid, quality, simhash, templates, tokens, toxicity
+from kinetable.llm import bytebpe, langid, mixing, quality, simhash, templates, tokens, toxicity, urlrules
 from kinetable.llm.common import table
 from kinetable.llm.sampling import sample_ids
 
@@ -88,7 +88,26 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("_id").alias("doc_id"), *quality.METRICS, "kept", "n_removed_words")
 
 
+@query("op7_mixing")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "copies")
+
+
 @query("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+URL_RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
+
+
+@query("op10_url_rules")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a page is labelled by the row of its id: low quality or toxic is to be blocked
+    bad = (F.col("quality") == 0) | (F.col("toxic") == 1)
+    labels = table(spark, sf_dir, "labels").groupBy(F.col("doc_id").alias("id")).agg(F.max(F.when(bad, 1).otherwise(0)).alias("bad"))
+    labels = labels.select("id", F.when(F.col("bad") == 1, "block").otherwise("allow").alias("verdict"))
+    found = urlrules.judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
+    return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
