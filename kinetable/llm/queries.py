@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetable.llm import bytebpe, langid, mixing, quality, simhash, templates, tokens, toxicity, urlrules
+from kinetable.llm import bytebpe, langid, lattice, mixing, quality, simhash, templates, tokens, toxicity, urlrules
 from kinetable.llm.common import table
 from kinetable.llm.sampling import sample_ids
 
@@ -30,6 +30,11 @@ def crc(id_col: str, modulus: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
 
 
+@query("op1_lattice")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op2_line_templates")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = templates.drop_template_lines(table(spark, sf_dir, "documents"))
