@@ -27,7 +27,7 @@ from kinetable.llm.components import components
 
 COSINE = 0.95
 #: tables, E8 blocks of a cell, size of the lattice, neighbouring cells probed in each table
-TABLES, BLOCKS, SCALE, PROBES = 8, 2, 0.25, 8
+TABLES, BLOCKS, SCALE, PROBES = 10, 2, 0.25, 8
 SEED = 20_240
 #: home vectors that one unit of work holds
 UNIT = 256
