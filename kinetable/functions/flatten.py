@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,8 +86,17 @@ def twist_columns(payload: Column) -> dict[str, Column]:
     return out | {f"angular_{a}": payload["twist"]["angular"][a] for a in XYZ}
 
 
+def joint_names(messages: DataFrame, payload: str = "payload") -> list[str]:
+    """Sorted joint names that occur: a robot's joints, a short list whatever the number of messages."""
+    names = messages.select(F.explode(F.col(payload)["name"]).alias("name")).distinct().orderBy("name")
+    return [r["name"] for r in names.collect()]
+
+
 def joint_columns(payload: Column, joints: list[str]) -> dict[str, Column]:
-    """``<joint>_position/_velocity/_effort``; null where the message lacks the joint."""
+    """``<joint>_position/_velocity/_effort``; null where the message lacks the joint.
+
+    ``joints`` are the wanted ones; ``joint_names`` finds all that occur.
+    """
     out = {}
     for joint in joints:
         at = F.array_position(payload["name"], joint).cast("int")
@@ -95,10 +106,39 @@ def joint_columns(payload: Column, joints: list[str]) -> dict[str, Column]:
     return out
 
 
+def numeric_values(payload: Column, schema: T.StructType, prefix: str = "") -> Column:
+    """ARRAY<STRUCT(name, value)> of every numeric or boolean leaf that is not null, arrays of any length.
+
+    Names are joined by ``_``, the place in an array is appended. Fields come in name order.
+    """
+    parts: list[Column] = []
+    for field in sorted(schema.fields, key=lambda f: f.name):
+        name, value, kind = f"{prefix}{field.name}", payload[field.name], field.dataType
+        if isinstance(kind, T.NumericType | T.BooleanType):
+            parts.append(F.array(F.struct(F.lit(name).alias("name"), _number(value, kind).alias("value"))))
+        elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType | T.BooleanType):
+            named = F.transform(value, _element(name, kind.elementType))
+            parts.append(F.coalesce(named, F.array().cast("array<struct<name:string,value:double>>")))
+        elif isinstance(kind, T.StructType):
+            parts.append(numeric_values(value, kind, f"{name}_"))
+    if not parts:
+        return F.array().cast("array<struct<name:string,value:double>>")
+    return F.filter(F.concat(*parts), lambda leaf: leaf["value"].isNotNull())
+
+
+def _element(name: str, kind: T.DataType) -> Callable[[Column, Column], Column]:
+    return lambda x, i: F.struct(F.concat(F.lit(name + "_"), i.cast("string")).alias("name"), _number(x, kind).alias("value"))
+
+
+def _number(value: Column, kind: T.DataType) -> Column:
+    return (value.cast("int") if isinstance(kind, T.BooleanType) else value).cast("double")
+
+
 def numeric_leaves(payload: Column, schema: T.StructType, array_size: int, prefix: str = "") -> dict[str, Column]:
     """Every numeric or boolean leaf as a named column, names joined by ``_``, array index appended.
 
-    Fields come in name order. ``array_size`` columns are made per array; longer arrays need a larger size.
+    Fields come in name order. ``array_size`` columns are made per array; a longer array is an error.
+    Use ``numeric_values`` where the sizes are not known.
     """
     out: dict[str, Column] = {}
     for field in sorted(schema.fields, key=lambda f: f.name):
@@ -108,8 +148,9 @@ def numeric_leaves(payload: Column, schema: T.StructType, array_size: int, prefi
         if isinstance(kind, T.NumericType | T.BooleanType):
             out[name] = value
         elif isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType | T.BooleanType):
+            too_long = F.raise_error(F.lit(f"{name} has more than {array_size} elements")).cast(kind.elementType)
             for i in range(array_size):
-                out[f"{name}_{i}"] = F.get(value, F.lit(i))
+                out[f"{name}_{i}"] = F.when(F.size(value) > array_size, too_long).otherwise(F.get(value, F.lit(i)))
         elif isinstance(kind, T.StructType):
             out |= numeric_leaves(value, kind, array_size, f"{name}_")
     return out

@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# digit runs are compared as numbers of up to this many digits
-NUMBER_WIDTH = 40
-
 EPISODE_DIR = r"(?i)^(?:episode_?|ep_?)?([0-9]+)$"
 IMAGE_NAME = r"(?i)([0-9])\.jpe?g$"
 JPG_NAME = r"(?i)\.jpe?g$"
 
 
+def number_key(digits: Column) -> Column:
+    """Text of a digit run that sorts by its value, however long: the length's length, the length, the digits."""
+    value = F.regexp_replace(digits, r"^0+(?=[0-9])", "")
+    length = F.length(value).cast("string")
+    return F.concat(F.length(length).cast("string"), length, value)
+
+
 def natural_key(name: Column) -> Column:
-    """Text that sorts digit runs by value: every run is padded, then cut, to one width."""
-    padded = F.regexp_replace(name, r"([0-9]+)", "0" * NUMBER_WIDTH + "$1")
-    return F.regexp_replace(padded, rf"[0-9]*([0-9]{{{NUMBER_WIDTH}}})", "$1")
+    """Text that sorts digit runs by value, without a limit on their length."""
+    runs = F.regexp_extract_all(name, F.lit("[0-9]+|[^0-9]+"), 0)
+    return F.array_join(F.transform(runs, lambda run: F.when(run.rlike("^[0-9]"), number_key(run)).otherwise(run)), "")
 
 
 def base_name(path: Column) -> Column:

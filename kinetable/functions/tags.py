@@ -24,11 +24,18 @@ def strip(text: Column) -> Column:
 
 
 def tag_numeric(value: Column) -> Column:
-    """STRUCT(text, integer, decimal): one of integer and decimal is set when the text is a number."""
+    """STRUCT(text, integer, big, decimal): one of the last three is set when the text is a number.
+
+    Whole numbers beyond 64 bits are ``big`` (38 digits); beyond that they are the nearest
+    ``decimal``, and the text keeps the digits.
+    """
     text = strip(value)
-    integer = F.when(text.rlike(_INTEGER), text.try_cast("bigint"))
-    decimal = F.when(~text.rlike(_INTEGER) & text.rlike(_DECIMAL), F.regexp_replace(text, "_", "").try_cast("double"))
-    return F.struct(text.alias("text"), integer.alias("integer"), decimal.alias("decimal"))
+    whole = text.rlike(_INTEGER)
+    integer = F.when(whole, text.try_cast("bigint"))
+    big = F.when(whole & integer.isNull(), text.try_cast("decimal(38,0)"))
+    number = F.when(whole, integer.isNull() & big.isNull()).otherwise(text.rlike(_DECIMAL))
+    decimal = F.when(number, F.regexp_replace(text, "_", "").try_cast("double"))
+    return F.struct(text.alias("text"), integer.alias("integer"), big.alias("big"), decimal.alias("decimal"))
 
 
 def tag_hierarchy(path: Column, delimiter: str = "-", levels: int = LEVELS) -> Column:

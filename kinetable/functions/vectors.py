@@ -18,8 +18,14 @@ GIMBAL_EPS = 1e-7
 
 
 def vector_slice(v: Column, start: int, stop: int) -> Column:
-    """Elements [start, stop), shorter past the end, like a Python slice."""
-    return F.slice(v, start + 1, max(stop - start, 0))
+    """Elements [start, stop), shorter past the end, negative bounds from the end: like a Python slice."""
+    if start >= 0 and stop >= 0:
+        return F.slice(v, start + 1, max(stop - start, 0))
+
+    def place(bound: int) -> Column:
+        return F.greatest(F.size(v) + bound, F.lit(0)) if bound < 0 else F.lit(bound)
+
+    return F.slice(v, place(start) + 1, F.greatest(place(stop) - place(start), F.lit(0)))
 
 
 def as_double(v: Column) -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinetable.operators.ordered import Split, nearest_match, number_rows, plan_split
+from kinetable.session import staged
 
 EPISODE, FRAME = "episode_index", "frame_index"
 
@@ -71,11 +72,13 @@ def add_frame_columns(frames: DataFrame, fps: float) -> DataFrame:
 
 
 def running_total(table: DataFrame, key: str, value: str, name: str, block: int = 100_000) -> DataFrame:
-    """Sum of ``value`` over smaller keys (integer key), in two steps of bounded size.
+    """Sum of ``value`` over smaller keys, in two steps of bounded size.
 
-    Totals per key block first, then a window inside each block: no task sees all keys.
+    The rows are numbered in key order and cut into blocks of equal size, whatever the keys look
+    like: totals per block first, then a window inside each block, so no task sees all keys.
     """
-    blocked = table.withColumn("_block", F.floor(F.col(key) / block))
+    numbered = number_rows(staged(table, "running-total"), [], [key], "_no", stored=True)
+    blocked = numbered.withColumn("_block", F.floor(F.col("_no") / block))
     before = Window.partitionBy("_one").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = (
         blocked.groupBy("_block")
@@ -88,24 +91,25 @@ def running_total(table: DataFrame, key: str, value: str, name: str, block: int
         blocked.withColumn(name, F.coalesce(F.sum(value).over(inside), F.lit(0)))
         .join(totals, "_block")
         .withColumn(name, F.col(name) + F.col("_base"))
-        .drop("_block", "_base")
+        .drop("_block", "_base", "_no")
     )
 
 
 def offset_action(
     frames: DataFrame, offset: int, action: str = "action", keep_tail: bool = False, split: Split | None = None
 ) -> DataFrame:
-    """Action of the frame ``offset`` later; the last frames are dropped, or kept with null.
+    """Action of the frame whose number is ``offset`` higher; frames without such a frame are dropped, or kept with null.
 
-    Ordinary episodes use one window. When an episode is hot the later frame is found by an
-    equi-join on (episode, frame number), which spreads over all tasks.
+    Frame numbers are unique in an episode and may have gaps. Ordinary episodes use one window
+    over the numbers. When an episode is hot the later frame is found by an equi-join on
+    (episode, frame number), which spreads over all tasks.
     """
     name = "offset_action"
     split = split or plan_split(frames, [EPISODE], [FRAME], stored=True)
     if not split.hot:
-        w = Window.partitionBy(EPISODE).orderBy(FRAME)
-        out = frames.withColumn(name, F.lead(action, offset).over(w))
-        return out if keep_tail else out.withColumn("_at", F.lead(FRAME, offset).over(w)).where("_at IS NOT NULL").drop("_at")
+        w = Window.partitionBy(EPISODE).orderBy(FRAME).rangeBetween(offset, offset)
+        out = frames.withColumn(name, F.first(action).over(w))
+        return out if keep_tail else out.withColumn("_found", F.count(F.lit(1)).over(w)).where("_found > 0").drop("_found")
     later = frames.select(EPISODE, (F.col(FRAME) - offset).alias(FRAME), F.col(action).alias(name))
     return frames.join(later, [EPISODE, FRAME], "left" if keep_tail else "inner")
 

@@ -118,7 +118,8 @@ def plan_split(
             + [T.StructField("_step", T.LongType()), T.StructField("_slices", T.IntegerType())]
         ),
     )
-    keys = df.select(*by, F.struct(*order).alias("_key"), F.xxhash64(*order).alias("_hash"))
+    # rows are sampled, not keys: a group with few different keys is sampled like any other
+    keys = df.select(*by, F.struct(*order).alias("_key"), F.xxhash64(F.monotonically_increasing_id()).alias("_hash"))
 
     def run(i: Column) -> Column:
         return F.floor(i * F.col("_slices") / F.size("_keys"))
@@ -127,9 +128,11 @@ def plan_split(
         keys.join(F.broadcast(wanted), _same_group(by, "_h_"))
         .where(F.pmod(F.col("_hash"), F.col("_step")) == 0)
         .groupBy(*by, "_slices")
-        .agg(F.sort_array(F.collect_set("_key")).alias("_keys"))
+        .agg(F.sort_array(F.collect_list("_key")).alias("_keys"))
         # the last key of each of _slices equal runs, but for the very last
-        .select(*by, F.filter("_keys", lambda x, i: (run(i + 1) > run(i)) & (i + 1 < F.size("_keys"))).alias("_bounds"))
+        .withColumn("_last", F.element_at("_keys", -1))
+        .select(*by, F.filter("_keys", lambda x, i: (run(i + 1) > run(i)) & (x < F.col("_last"))).alias("_bounds"))
+        .withColumn("_bounds", F.array_distinct("_bounds"))
     )
     key_type = T.ArrayType(sampled.schema["_bounds"].dataType.elementType)
     schema = T.StructType(

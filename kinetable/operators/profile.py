@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kinetable.operators.ordered import number_rows
 from kinetable.operators.timing import EPISODE, TOPIC, TS
 
 # fixed values: words that give a topic its role
@@ -138,13 +139,12 @@ def propose_features(topics: DataFrame, msgtype: str = "msgtype", rule: str = "d
     lower = F.lower(F.col(TOPIC))
     image, joint = _kind_rules(lower, F.col(msgtype))[rule]
     kinds = topics.withColumn("kind", F.when(image, "image").when(joint, "state")).where("kind IS NOT NULL")
-    w = Window.partitionBy("kind").orderBy(TOPIC)
     side = (
         F.when(lower.contains("left"), "_left").when(lower.contains("right"), "_right").when(lower.contains("head"), "_head").otherwise("")
     )
     is_image = F.col("kind") == "image"
     joints = F.array(*[F.lit(j) for j in PROPOSED_JOINTS])
-    return kinds.withColumn("_no", F.row_number().over(w)).select(
+    return number_rows(kinds, ["kind"], [TOPIC], "_no", start=1).select(
         "kind",
         TOPIC,
         F.when(is_image, F.concat(F.lit("cam_"), F.col("_no"), side)).alias("cam_name"),

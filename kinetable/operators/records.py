@@ -14,13 +14,50 @@ from kinetable.functions.names import squeeze_blanks, stable_uuid
 OBJECT_KEYS = ["object_name", "level1", "level2", "level3", "level4", "level5"]
 
 # fixed values: layout of a dataset card
-CARD_HEAD = "---\nlicense: {license}\nlanguage:{language}\ntask_categories:{task_categories}\ntags:{tags}\nsize_categories: {size_categories}\nconfigs:\n- config_name: {config_name}\n  data_files: {data_files}\n---\n\n"
-CARD_AUTHORS = "## Dataset Authors\nThis dataset is contributed by [{contributed_by}]\n\nThis dataset is annotated by [{annotated_by}]\n\n"
-CARD_ABOUT = "## Dataset Description\n{dataset_description}\n\n- **Homepage:** {homepage}\n- **Paper:** {paper}\n- **License:** {license}\n\n"
-CARD_TAGS = "## Dataset Tags\n{tag_lines}\n\n"
-CARD_TASKS = "## Task Descriptions\n### tasks\n{tasks}\n\n### sub_tasks\n{sub_tasks}\n\n"
-CARD_END = "## Dataset Structure\n\n[meta/info.json](meta/info.json):\n```json\n{meta_info}\n```\n\n## Citation\n```bibtex\n{citation_bibtex}\n```"
-CARD = CARD_HEAD + CARD_AUTHORS + CARD_ABOUT + CARD_TAGS + CARD_TASKS + CARD_END
+CARD = """---
+license: {license}
+language:{language}
+task_categories:{task_categories}
+tags:{tags}
+size_categories: {size_categories}
+configs:
+- config_name: {config_name}
+  data_files: {data_files}
+---
+
+## Dataset Authors
+This dataset is contributed by [{contributed_by}]
+
+This dataset is annotated by [{annotated_by}]
+
+## Dataset Description
+{dataset_description}
+
+- **Homepage:** {homepage}
+- **Paper:** {paper}
+- **License:** {license}
+
+## Dataset Tags
+{tag_lines}
+
+## Task Descriptions
+### tasks
+{tasks}
+
+### sub_tasks
+{sub_tasks}
+
+## Dataset Structure
+
+[meta/info.json](meta/info.json):
+```json
+{meta_info}
+```
+
+## Citation
+```bibtex
+{citation_bibtex}
+```"""
 
 
 def normalise_object(entry: Column) -> Column:

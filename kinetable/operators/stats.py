@@ -7,9 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from kinetable.functions.names import NUMBER_WIDTH, natural_key
+from kinetable.functions.names import natural_key
 from kinetable.operators.ordered import number_rows
 from kinetable.session import staged
 
@@ -84,8 +83,8 @@ def frame_lists(counts: DataFrame, chunk: int | None = LIST_CHUNK) -> DataFrame:
         keys = [DATASET, "chunk"]
     return keyed.groupBy(*keys).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("_at", FRAMES))), lambda x: x[FRAMES]).alias("episode_frames_num"),
-        F.count(F.lit(1)).alias("episodes_num"),
-        F.sum(FRAMES).alias("frames_num"),
+        F.count(F.lit(1)).alias("episodes_in_list"),
+        F.sum(FRAMES).alias("frames_in_list"),
     )
 
 
@@ -99,7 +98,8 @@ def dataset_frame_lists(
     """Attach the frame lists to each registry record; its device model chooses the layout.
 
     ``layouts`` maps device model -> layout, ``counters`` layout -> (dataset_id, episode, n_frames).
-    A record has one row per chunk of its list. Records of an unmapped model keep an empty list.
+    A record has one row per chunk of its list, with the chunk's figures and the totals of the
+    record. Records of an unmapped model keep an empty list.
     """
     by_layout: dict[str, list[str]] = {}
     for model, layout in layouts.items():
@@ -110,13 +110,12 @@ def dataset_frame_lists(
         chosen = routed.where(F.col("_model").isin(models)).select(DATASET)
         counted = counters[layout].join(chosen, DATASET, "left_semi")
         # layouts name their episodes by number or by path: one natural order serves both
-        if isinstance(counted.schema[EPISODE].dataType, T.IntegralType):
-            key = F.lpad(F.col(EPISODE).cast("string"), NUMBER_WIDTH, "0")
-        else:
-            key = natural_key(F.col(EPISODE))
-        parts.append(counted.select(DATASET, key.alias(EPISODE), FRAMES))
+        parts.append(counted.select(DATASET, natural_key(F.col(EPISODE).cast("string")).alias(EPISODE), FRAMES))
     lists = frame_lists(reduce(DataFrame.unionByName, parts), chunk)
-    return registry.join(lists, DATASET, "left").withColumn(
+    # one row per chunk of some hundred episodes: staged, it is summed without counting again
+    lists = staged(lists, "frame-lists")
+    totals = lists.groupBy(DATASET).agg(F.sum("episodes_in_list").alias("episodes_num"), F.sum("frames_in_list").alias("frames_num"))
+    return registry.join(lists.join(totals, DATASET), DATASET, "left").withColumn(
         "episode_frames_num", F.coalesce("episode_frames_num", F.array().cast("array<bigint>"))
     )
 
@@ -124,10 +123,11 @@ def dataset_frame_lists(
 def dataset_totals(frames: DataFrame, episode_tasks: DataFrame, task_text: Column) -> DataFrame:
     """Episodes, frames and task text (in task order) per dataset.
 
-    Frames are counted per episode first; tasks are joined to that small table.
+    Frames are counted per episode first; tasks are joined to that small table. An episode
+    without a task counts in both totals and adds no text.
     """
     lengths = frames.groupBy(DATASET, "episode_index").agg(F.count(F.lit(1)).alias("_n"))
-    per_task = lengths.join(episode_tasks, "episode_index").groupBy(DATASET, "task_index").agg(
+    per_task = lengths.join(episode_tasks, "episode_index", "left").groupBy(DATASET, "task_index").agg(
         F.count(F.lit(1)).alias("_episodes"), F.sum("_n").alias("_frames")
     )
     return (
@@ -137,7 +137,11 @@ def dataset_totals(frames: DataFrame, episode_tasks: DataFrame, task_text: Colum
             F.sum("_episodes").alias("episodes_num"),
             F.sum("_frames").alias("frames_num"),
             F.array_join(
-                F.transform(F.array_sort(F.collect_list(F.struct("task_index", "_text"))), lambda x: x["_text"]), "\n"
+                F.transform(
+                    F.array_sort(F.collect_list(F.when(F.col("task_index").isNotNull(), F.struct("task_index", "_text")))),
+                    lambda x: x["_text"],
+                ),
+                "\n",
             ).alias("tasks"),
         )
     )

@@ -41,14 +41,15 @@ def _parse(t: Tables) -> DataFrame:
 
 @query(
     "tag_numeric",
-    f"""WITH v AS (SELECT p_partkey, unnest([CAST(p_size AS VARCHAR), CAST(p_retailprice AS VARCHAR), '-' || p_partkey, p_name, '1e' || (p_partkey % 5), '1d', ' .5 ']) AS raw FROM part),
+    f"""WITH v AS (SELECT p_partkey, unnest([CAST(p_size AS VARCHAR), CAST(p_retailprice AS VARCHAR), '-' || p_partkey, p_name, '1e' || (p_partkey % 5), '1d', ' .5 ', '-1234567890123456789' || p_partkey, repeat('7', CAST(39 + p_partkey % 9 AS INTEGER))]) AS raw FROM part),
 s AS (SELECT p_partkey, trim(raw) AS text FROM v)
-SELECT p_partkey, text, CASE WHEN regexp_matches(text, '^-?[0-9]+$') THEN CAST(text AS BIGINT) END AS integer,
- CASE WHEN NOT regexp_matches(text, '^-?[0-9]+$') THEN try_cast(text AS DOUBLE) END AS decimal FROM s""",
+SELECT p_partkey, text, CASE WHEN regexp_matches(text, '^-?[0-9]+$') THEN try_cast(text AS BIGINT) END AS integer,
+ CASE WHEN regexp_matches(text, '^-?[0-9]+$') AND try_cast(text AS BIGINT) IS NULL THEN CAST(try_cast(text AS DECIMAL(38,0)) AS VARCHAR) END AS big,
+ CASE WHEN NOT regexp_matches(text, '^-?[0-9]+$') OR try_cast(text AS DECIMAL(38,0)) IS NULL THEN try_cast(text AS DOUBLE) END AS decimal FROM s""",
 )
 def _numeric(t: Tables) -> DataFrame:
-    raw = F.expr("explode(array(cast(p_size as string), cast(p_retailprice as string), concat('-', p_partkey), p_name, concat('1e', p_partkey % 5), '1d', ' .5 '))")
-    return t.part.select("p_partkey", raw.alias("raw")).select("p_partkey", tg.tag_numeric(F.col("raw")).alias("n")).select("p_partkey", "n.*")
+    raw = F.expr("explode(array(cast(p_size as string), cast(p_retailprice as string), concat('-', p_partkey), p_name, concat('1e', p_partkey % 5), '1d', ' .5 ', concat('-1234567890123456789', p_partkey), repeat('7', cast(39 + p_partkey % 9 as int))))")
+    return t.part.select("p_partkey", raw.alias("raw")).select("p_partkey", tg.tag_numeric(F.col("raw")).alias("n")).select("p_partkey", "n.*").withColumn("big", F.col("big").cast("string"))
 
 
 @query(

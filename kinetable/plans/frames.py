@@ -83,12 +83,14 @@ def _index(t: Tables) -> DataFrame:
 
 @query(
     "action_offset",
-    f"""WITH {FRAMES_SQL}, a AS (SELECT *, lead(l_quantity, 2) OVER w AS o0, lead(l_tax, 2) OVER w AS o1 FROM frames
-  WINDOW w AS (PARTITION BY episode_index ORDER BY frame_index))
-SELECT episode_index, frame_index, l_quantity AS a0, o0, o1 FROM a WHERE o0 IS NOT NULL""",
+    f"""WITH {FRAMES_SQL}, g AS (SELECT * FROM frames WHERE frame_index % 4 <> 2)
+SELECT g.episode_index, g.frame_index, g.l_quantity AS a0, n.l_quantity AS o0, n.l_tax AS o1
+FROM g JOIN g n ON n.episode_index = g.episode_index AND n.frame_index = g.frame_index + 2""",
 )
 def _offset(t: Tables) -> DataFrame:
-    out = fr.offset_action(frames(t).select("episode_index", "frame_index", "action"), 2)
+    """Frames with gaps: every fourth is left out."""
+    gaps = frames(t).select("episode_index", "frame_index", "action").where(F.col("frame_index") % 4 != 2)
+    out = fr.offset_action(gaps, 2)
     return out.select(
         "episode_index",
         "frame_index",
@@ -114,10 +116,11 @@ def _nearest_image(t: Tables) -> DataFrame:
 @query(
     "dataset_totals",
     f"""WITH {FRAMES_TASK_SQL} SELECT dataset_id, count(DISTINCT episode_index) AS episodes_num, count(*) AS frames_num,
-  (SELECT string_agg('task ' || t, chr(10) ORDER BY t) FROM (SELECT DISTINCT task_index AS t FROM frames_t g WHERE g.dataset_id = f.dataset_id)) AS tasks
+  coalesce((SELECT string_agg('task ' || t, chr(10) ORDER BY t) FROM (SELECT DISTINCT task_index AS t FROM frames_t g WHERE g.dataset_id = f.dataset_id AND episode_index % 7 <> 3)), '') AS tasks
 FROM frames_t f GROUP BY 1""",
 )
 def _totals(t: Tables) -> DataFrame:
     rows = t.lineitem.select(F.col("l_orderkey").alias("episode_index"), (F.col("l_orderkey") % 20).alias("dataset_id"))
-    tasks = t.orders.select(F.col("o_orderkey").alias("episode_index"), (F.col("o_custkey") % 3).alias("task_index"))
+    # some episodes have no task row
+    tasks = t.orders.where("o_orderkey % 7 <> 3").select(F.col("o_orderkey").alias("episode_index"), (F.col("o_custkey") % 3).alias("task_index"))
     return dataset_totals(rows, tasks, F.concat(F.lit("task "), F.col("task_index")))

@@ -93,8 +93,9 @@ def _tasks(t: Tables) -> DataFrame:
 
 
 def _natural_sql(col: str) -> str:
-    zeros = "0" * nm.NUMBER_WIDTH
-    return f"regexp_replace(regexp_replace({col}, '([0-9]+)', '{zeros}\\1', 'g'), '[0-9]*([0-9]{{{nm.NUMBER_WIDTH}}})', '\\1', 'g')"
+    # padded to one width, wider than any digit run of the test tables
+    width = 80
+    return f"regexp_replace(regexp_replace({col}, '([0-9]+)', '{'0' * width}\\1', 'g'), '[0-9]*([0-9]{{{width}}})', '\\1', 'g')"
 
 
 @query(
@@ -261,15 +262,19 @@ def _required(t: Tables) -> DataFrame:
     return out.withColumn("missing", F.array_join("missing", ","))
 
 
+# every fifth name has a digit run of up to some sixty digits
+_LONG_NAMES = "concat('ep', doc_id % 37, CASE WHEN doc_id % 5 = 0 THEN concat(repeat('0', cast(doc_id % 60 as int)), doc_id % 3) ELSE '' END, '_part', doc_id, '.jpg')"
+
+
 @query(
     "natural_sort",
-    f"""WITH n AS (SELECT doc_id, 'ep' || (doc_id % 37) || '_part' || doc_id || '.jpg' AS name FROM documents)
+    f"""WITH n AS (SELECT doc_id, 'ep' || (doc_id % 37) || CASE WHEN doc_id % 5 = 0 THEN repeat('0', CAST(doc_id % 60 AS INTEGER)) || (doc_id % 3) ELSE '' END || '_part' || doc_id || '.jpg' AS name FROM documents)
 SELECT doc_id, name, CAST(row_number() OVER (ORDER BY {_natural_sql('name')}, doc_id) - 1 AS BIGINT) AS position FROM n""",
 )
 def _natural(t: Tables) -> DataFrame:
     from kinetable.operators.ordered import number_rows
 
-    names = t.documents.select("doc_id", F.expr("concat('ep', doc_id % 37, '_part', doc_id, '.jpg')").alias("name"))
+    names = t.documents.select("doc_id", F.expr(_LONG_NAMES).alias("name"))
     return number_rows(names.withColumn("_key", nm.natural_key(F.col("name"))), [], ["_key", "doc_id"], "position", stored=True).drop("_key")
 
 

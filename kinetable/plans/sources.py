@@ -359,12 +359,12 @@ def _stream_status(t: Tables) -> DataFrame:
         events.where((F.col("updated_at") >= lo) & (F.col("updated_at") < hi)).write.mode("append").json(f"{root}/in")
         stream = t.spark.readStream.schema(jobs.STATUS_SCHEMA).json(f"{root}/in")
         jobs.fold_status(stream, table, f"{root}/checkpoint").awaitTermination()
-    return table.read(3)
+    return table.read_newest()
 
 
-TIMEOUT = "1 DAY"
-# pings whose interval ends before the last event on either side; later ones cannot be judged yet
-_CUT = "(SELECT least(max(ts) FILTER (WHERE event_type = 'view'), max(ts) FILTER (WHERE event_type = 'click')) - INTERVAL 1 DAY - INTERVAL 1 SECOND FROM events)"
+TIMEOUT, DELAY = "1 DAY", "1 HOUR"
+# pings whose interval ends before the last event on either side, less the delay; later ones cannot be judged yet
+_CUT = "(SELECT least(max(ts) FILTER (WHERE event_type = 'view'), max(ts) FILTER (WHERE event_type = 'click')) - INTERVAL 1 DAY - INTERVAL 1 HOUR - INTERVAL 1 SECOND FROM events)"
 _GAP_SQL = f"""WITH p AS (SELECT user_id, ts FROM events WHERE event_type = 'view'), q AS (SELECT user_id, ts FROM events WHERE event_type = 'click')
 SELECT user_id AS client, epoch_us(ts) AS ping_us FROM p WHERE ts <= {_CUT} AND NOT EXISTS (SELECT 1 FROM q WHERE q.user_id = p.user_id AND q.ts >= p.ts AND q.ts <= p.ts + INTERVAL 1 DAY)"""
 
@@ -381,7 +381,7 @@ def _heartbeats(events: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _judged(t: Tables, gaps: DataFrame) -> DataFrame:
     pings, pongs = _heartbeats(t.events)
     ends = pings.agg(F.max("ping_ts").alias("a")).scalar(), pongs.agg(F.max("pong_ts").alias("b")).scalar()
-    cut = F.least(*ends) - F.expr("INTERVAL 1 DAY") - F.expr("INTERVAL 1 SECOND")
+    cut = F.least(*ends) - F.expr(f"INTERVAL {TIMEOUT}") - F.expr(f"INTERVAL {DELAY}") - F.expr("INTERVAL 1 SECOND")
     return gaps.where(F.col("ping_ts") <= cut).select("client", F.unix_micros("ping_ts").alias("ping_us"))
 
 
@@ -396,9 +396,10 @@ def _gap_stream(t: Tables) -> DataFrame:
     schema = t.events.schema
 
     def stream() -> DataFrame:
-        return t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.sf_dir)
+        # the table's own path, a file or a folder of files; a missing table is an error
+        return t.spark.readStream.schema(schema).parquet(t.path("events"))
 
-    gaps = jobs.heartbeat_gaps(_heartbeats(stream())[0], _heartbeats(stream())[1], TIMEOUT, salts=2)
+    gaps = jobs.heartbeat_gaps(_heartbeats(stream())[0], _heartbeats(stream())[1], TIMEOUT, DELAY, salts=2)
     with local_partitions(t.spark):
         running = (
             gaps.writeStream.format("parquet")

@@ -199,8 +199,9 @@ c AS (SELECT 0 AS layout, l_suppkey AS dataset_id, l_orderkey AS ep, '' AS ep_s,
   UNION ALL SELECT 3, o_orderkey % 20, o_orderkey, '', o_custkey % 50 FROM orders),
 k AS (SELECT *, regexp_replace(regexp_replace(ep_s, '([0-9]+)', '0000000000\\1', 'g'), '[0-9]*([0-9]{{10}})', '\\1', 'g') AS key FROM c),
 j AS (SELECT r.dataset_id, ep, key, n, (row_number() OVER (PARTITION BY r.dataset_id ORDER BY ep, key) - 1) // 1000 AS chunk FROM reg r JOIN k ON k.dataset_id = r.dataset_id AND k.layout = r.layout),
-l AS (SELECT dataset_id, chunk, string_agg(CAST(n AS VARCHAR), ',' ORDER BY ep, key) AS episode_frames_num, count(*) AS episodes_num, CAST(sum(n) AS BIGINT) AS frames_num FROM j GROUP BY 1, 2)
-SELECT r.dataset_id, device_model, chunk, coalesce(episode_frames_num, '') AS episode_frames_num, episodes_num, frames_num FROM reg r LEFT JOIN l USING (dataset_id)""",
+l AS (SELECT dataset_id, chunk, string_agg(CAST(n AS VARCHAR), ',' ORDER BY ep, key) AS episode_frames_num, count(*) AS episodes_in_list, CAST(sum(n) AS BIGINT) AS frames_in_list FROM j GROUP BY 1, 2)
+SELECT r.dataset_id, device_model, chunk, coalesce(episode_frames_num, '') AS episode_frames_num, episodes_in_list, frames_in_list,
+ CAST(sum(episodes_in_list) OVER (PARTITION BY r.dataset_id) AS BIGINT) AS episodes_num, CAST(sum(frames_in_list) OVER (PARTITION BY r.dataset_id) AS BIGINT) AS frames_num FROM reg r LEFT JOIN l USING (dataset_id)""",
 )
 def _frame_lists(t: Tables) -> DataFrame:
     registry = t.supplier.join(t.nation, F.col("n_nationkey") == F.col("s_nationkey")).select(

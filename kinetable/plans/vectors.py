@@ -26,11 +26,13 @@ def _sql_elements(expr: str, n: int, name: str = "v") -> str:
     return ", ".join(f"round({expr}[{i + 1}], 6) + 0.0 AS {name}{i}" for i in range(n))
 
 
-@query("vector_slice", f"WITH {VEC} SELECT vec_id, len(v[61:70]) AS n, {_sql_elements('v[4:10]', 7)} FROM vec_v")
+@query("vector_slice", f"WITH {VEC} SELECT vec_id, len(v[61:70]) AS n, len(v[1:len(v)-1]) AS but_last, v[len(v)-2] AS third_last, len(v[len(v)-2:len(v)-1]) AS two, {_sql_elements('v[4:10]', 7)} FROM vec_v")
 def _slice(t: Tables) -> DataFrame:
     df = vectors(t)
     short = F.size(vec.vector_slice(F.col("v"), 60, 70)).cast("long").alias("n")
-    return df.withColumn("s", vec.vector_slice(F.col("v"), 3, 10)).select("vec_id", short, *_elements(F.col("s"), 7))
+    two = vec.vector_slice(F.col("v"), -3, -1)
+    negative = [F.size(vec.vector_slice(F.col("v"), 0, -1)).cast("long").alias("but_last"), F.get(two, F.lit(0)).alias("third_last"), F.size(two).cast("long").alias("two")]
+    return df.withColumn("s", vec.vector_slice(F.col("v"), 3, 10)).select("vec_id", short, *negative, *_elements(F.col("s"), 7))
 
 
 @query(
@@ -284,6 +286,10 @@ def _when(kind: int, expr: str, name: str) -> str:
             (3, "l_quantity", "pos_x"),
             (3, "l_extendedprice", "pos_y"),
             (3, "l_discount", "pos_z"),
+            (3, "l_tax", "pose_orient_x"),
+            (3, "l_quantity", "pose_orient_y"),
+            (3, "l_extendedprice", "pose_orient_z"),
+            (3, "l_discount", "pose_orient_w"),
         ]
     )
     + " FROM lineitem",
@@ -291,18 +297,32 @@ def _when(kind: int, expr: str, name: str) -> str:
 def _flat_columns(t: Tables) -> DataFrame:
     payload = F.col("payload")
     columns = fl.joint_columns(payload, ["j1", "j2"]) | fl.imu_columns(payload) | fl.twist_columns(payload)
-    columns |= {k: v for k, v in fl.pose_columns(payload).items() if k.startswith("pos_")}
+    columns |= {k.replace("orient_", "pose_orient_"): v for k, v in fl.pose_columns(payload).items()}
     return typed_messages(t).select(*MSG_KEYS, *[c.alias(n) for n, c in columns.items()])
 
 
+# element counts differ from row to row: 2 positions, 2 velocities, 1 effort
+_LEAVES = [(None, "CAST(l_discount > 0.05 AS INTEGER)", "dense"), (0, "l_tax", "effort_0")]
+_LEAVES += [(0, "l_quantity", "position_0"), (0, "l_extendedprice", "position_1"), (0, "l_discount", "velocity_0"), (0, "l_tax", "velocity_1")]
+for _name, _kind, _values in [
+    ("linear_acceleration", 1, {"x": "l_quantity", "y": "l_extendedprice", "z": "l_discount"}),
+    ("angular_velocity", 1, {"x": "l_tax", "y": "l_quantity", "z": "l_extendedprice"}),
+    ("orientation", 1, {"x": "l_discount", "y": "l_tax", "z": "l_quantity", "w": "l_extendedprice"}),
+    ("twist_linear", 2, {"x": "l_quantity", "y": "l_extendedprice", "z": "l_discount"}),
+    ("twist_angular", 2, {"x": "l_tax", "y": "l_quantity", "z": "l_extendedprice"}),
+    ("pose_position", 3, {"x": "l_quantity", "y": "l_extendedprice", "z": "l_discount"}),
+    ("pose_orientation", 3, {"x": "l_tax", "y": "l_quantity", "z": "l_extendedprice", "w": "l_discount"}),
+]:
+    _LEAVES += [(_kind, _value, f"{_name}_{_axis}") for _axis, _value in _values.items()]
+
+
 @query(
     "flatten_numeric",
-    f"""SELECT {_KEYS}, l_discount > 0.05 AS dense, {_when(0, 'l_tax', 'effort_0')}, {_when(0, 'l_quantity', 'position_0')},
- {_when(0, 'l_extendedprice', 'position_1')}, {_when(1, 'l_quantity', 'linear_acceleration_x')}, {_when(3, 'l_discount', 'pose_orientation_w')},
- {_when(2, 'l_tax', 'twist_angular_x')}, 30 AS leaves FROM lineitem""",
+    " UNION ALL ".join(
+        f"SELECT {_KEYS}, '{name}' AS name, CAST({value} AS DOUBLE) AS value FROM lineitem" + ("" if kind is None else f" WHERE l_linenumber % 4 = {kind}")
+        for kind, value, name in _LEAVES
+    ),
 )
 def _flat_numeric(t: Tables) -> DataFrame:
     df = typed_messages(t)
-    leaves = fl.numeric_leaves(F.col("payload"), _payload_schema(df), array_size=2)
-    shown = ["dense", "effort_0", "position_0", "position_1", "linear_acceleration_x", "pose_orientation_w", "twist_angular_x"]
-    return df.select(*MSG_KEYS, *[leaves[n].alias(n) for n in shown], F.lit(len(leaves)).alias("leaves"))
+    return df.select(*MSG_KEYS, F.inline(fl.numeric_values(F.col("payload"), _payload_schema(df))))

@@ -214,7 +214,8 @@ TAG_COLUMNS = ("address_nas", "tags")
 def read_tag_csv(spark: SparkSession, paths: str | list[str], required: Sequence[str] = TAG_COLUMNS) -> DataFrame:
     """Tag CSV with quoted line breaks: rows with an address; short rows are skipped.
 
-    Raises when a required column is missing.
+    Raises when a required column is missing, and when a file has other columns or another order
+    than the first: columns are never taken by place.
     """
 
     def reader():
@@ -225,7 +226,7 @@ def read_tag_csv(spark: SparkSession, paths: str | list[str], required: Sequence
     if missing:
         raise ValueError(f"CSV lacks the columns {missing}")
     fields = [T.StructField(c, T.StringType()) for c in columns] + [T.StructField(CORRUPT, T.StringType())]
-    rows = reader().option("columnNameOfCorruptRecord", CORRUPT).schema(T.StructType(fields)).csv(paths)
+    rows = reader().option("columnNameOfCorruptRecord", CORRUPT).option("enforceSchema", "false").schema(T.StructType(fields)).csv(paths)
     last = columns[max(columns.index(c) for c in required)]
     short = F.col(CORRUPT).isNotNull() & F.col(last).isNull()
     address = F.trim(F.col(TAG_COLUMNS[0]))

@@ -16,7 +16,7 @@ class StatusTable:
     """Status table kept as numbered parquet versions; a batch writes version ``batch + 1``.
 
     A replayed batch reads the same version and writes the same one again, so a lost driver
-    does no harm. The table has one row per dataset.
+    does no harm. Only the two newest versions are kept. The table has one row per dataset.
     """
 
     def __init__(self, spark: SparkSession, root: str) -> None:
@@ -29,12 +29,28 @@ class StatusTable:
     def read(self, version: int) -> DataFrame:
         return self.spark.read.schema(STATUS_SCHEMA).parquet(self.path(version))
 
+    def newest(self) -> int:
+        """Number of the newest version that is written completely."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        done = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(folder, "version=*/_SUCCESS"))
+        versions = [int(status.getPath().getParent().getName().split("=")[1]) for status in done]
+        if not versions:
+            raise FileNotFoundError(f"no version of the status table in {self.root}")
+        return max(versions)
+
+    def read_newest(self) -> DataFrame:
+        return self.read(self.newest())
+
     def initialise(self, table: DataFrame) -> None:
         table.write.mode("overwrite").parquet(self.path(0))
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         merged = status_upsert(self.read(batch_id), batch)
         merged.write.mode("overwrite").parquet(self.path(batch_id + 1))
+        # a replay needs this batch's version and the one before
+        old = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(batch_id - 1))
+        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
 def fold_status(events: DataFrame, table: StatusTable, checkpoint: str) -> StreamingQuery:
@@ -47,11 +63,11 @@ def fold_status(events: DataFrame, table: StatusTable, checkpoint: str) -> Strea
     )
 
 
-def heartbeat_gaps(pings: DataFrame, pongs: DataFrame, timeout: str, delay: str = "0 seconds", salts: int = 1) -> DataFrame:
+def heartbeat_gaps(pings: DataFrame, pongs: DataFrame, timeout: str, delay: str, salts: int = 1) -> DataFrame:
     """Pings (client, ping_ts) without a pong (client, pong_ts) within ``timeout``, as a stream.
 
-    Both watermarks and the interval bound the state. A ping is emitted once the watermark has
-    passed its interval. ``salts`` spreads the pings of a busy client over that many keys and
+    Events may come up to ``delay`` late; later ones are lost. Both watermarks and the interval
+    bound the state. A ping is emitted once the watermark has passed its interval. ``salts`` spreads the pings of a busy client over that many keys and
     repeats its pongs for each.
     """
     left = pings.withWatermark("ping_ts", delay).withColumn("_salt", F.pmod(F.xxhash64("ping_ts"), F.lit(salts)).cast("int"))

@@ -88,6 +88,11 @@ def test_tag_csv(spark, tmp_path):
     put(tmp_path / "other/bad.csv", "id,tags\n1,x\n")
     with pytest.raises(ValueError, match="address_nas"):
         files.read_tag_csv(spark, str(tmp_path / "other"))
+    # another order of the columns must not exchange addresses and tags
+    put(tmp_path / "mixed/a.csv", "id,address_nas,tags\n1,/x/a,t\n")
+    put(tmp_path / "mixed/b.csv", "id,tags,address_nas\n1,t,/x/b\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_tag_csv(spark, str(tmp_path / "mixed")).collect()
 
 
 def test_bson_values_and_faults():
@@ -181,7 +186,8 @@ def test_stream_of_status_files(spark, tmp_path):
         spark.createDataFrame(rows, jobs.STATUS_SCHEMA).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
         stream = spark.readStream.schema(jobs.STATUS_SCHEMA).json(str(tmp_path / "in"))
         jobs.fold_status(stream, table, str(tmp_path / "check")).awaitTermination()
-    final = {r["dataset_uuid"]: tuple(r)[1:4] for r in table.read(2).collect()}
+    final = {r["dataset_uuid"]: tuple(r)[1:4] for r in table.read_newest().collect()}
+    assert table.newest() == 2 and not (tmp_path / "table/version=0").exists()
     assert final == {"a": ("completed", "why", "/x"), "b": ("completed", None, None)}
     # a replayed batch gives the same version
     table.apply(spark.createDataFrame(batches[1], jobs.STATUS_SCHEMA), 1)
@@ -206,7 +212,7 @@ def test_heartbeat_stream_agrees_with_batch(spark, tmp_path):
     def stream():
         return spark.readStream.schema(schema).json(str(tmp_path / "in"))
 
-    gaps = jobs.heartbeat_gaps(sides(stream())[0], sides(stream())[1], "30 SECONDS", salts=3)
+    gaps = jobs.heartbeat_gaps(sides(stream())[0], sides(stream())[1], "30 SECONDS", "0 SECONDS", salts=3)
     query = (
         gaps.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
     )
@@ -215,6 +221,36 @@ def test_heartbeat_stream_agrees_with_batch(spark, tmp_path):
     assert {(r["client"], int(r["ping_ts"].timestamp())) for r in out.collect()} == wanted
 
 
+def test_heartbeat_stream_waits_for_late_pongs(spark, tmp_path):
+    schema = "client string, kind string, s long"
+    batches = [[("c", "ping", 0), ("d", "ping", 5)], [("c", "ping", 500), ("e", "pong", 600)], [("c", "pong", 10)], [("c", "pong", 505), ("z", "ping", 9000), ("z", "pong", 9000)]]
+
+    def stream():
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(str(tmp_path / "in"))
+
+    ts = F.timestamp_seconds("s")
+    for no, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").json(str(tmp_path / "in"))
+        pings = stream().where("kind = 'ping'").select("client", ts.alias("ping_ts"))
+        pongs = stream().where("kind = 'pong'").select("client", ts.alias("pong_ts"))
+        gaps = jobs.heartbeat_gaps(pings, pongs, "30 SECONDS", "1 HOUR")
+        gaps.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(
+            availableNow=True
+        ).start().awaitTermination()
+    out = spark.read.schema("client string, ping_ts timestamp").parquet(str(tmp_path / "out"))
+    # the pong of c came two batches late, that of d never
+    assert {(r["client"], int(r["ping_ts"].timestamp())) for r in out.collect()} == {("d", 5)}
+
+
+def test_event_stream_reads_a_folder_of_files(spark, tmp_path):
+    from kinetable.plans import QUERIES
+
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    rows = sorted(map(tuple, QUERIES["stream_heartbeat_gap"](spark, str(tmp_path)).collect()))
+    assert rows and rows == sorted(map(tuple, QUERIES["heartbeat_gap_batch"](spark, str(tmp_path)).collect()))
+
+
 def test_pending_filters_outside_the_anti_join(spark):
     datasets = spark.createDataFrame([("u1", "m1"), ("u2", "m1"), ("u3", "m2")], "dataset_uuid string, device_model string")
     status = spark.createDataFrame([("u1",)], "dataset_uuid string")

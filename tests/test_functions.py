@@ -88,7 +88,7 @@ def test_units_and_slices(spark):
     assert apply(spark, vec.mm_to_m, [[1500]]) == [[1.5]]
     assert apply(spark, vec.degree_to_rad, [[180]]) == [[math.pi]]
     v = list(range(5))
-    for a, b in [(0, 2), (1, 4), (3, 9), (5, 7), (2, 2)]:
+    for a, b in [(0, 2), (1, 4), (3, 9), (5, 7), (2, 2), (0, -1), (-3, -1), (-2, 5), (-9, 2), (1, -9), (-1, -3)]:
         assert apply(spark, lambda c, a=a, b=b: vec.vector_slice(c, a, b), [v]) == [[float(x) for x in v[a:b]]]
 
 
@@ -110,6 +110,26 @@ def test_natural_key_orders_like_split_tuples(spark, names):
                 assert (keys[a] < keys[b]) == ([x[1] for x in pa] < [x[1] for x in pb])
 
 
+def test_natural_key_has_no_width(spark):
+    names = ["ep2", "ep1" + "0" * 60 + "1", "ep1" + "0" * 60 + "2", "ep" + "0" * 70 + "3", "ep1" + "0" * 59, "ep10", "ep9"]
+    df = spark.createDataFrame([(n,) for n in names], "n string")
+    got = [r["n"] for r in df.orderBy(nm.natural_key(F.col("n"))).collect()]
+    assert got == sorted(names, key=lambda n: int(n[2:]))
+
+
+def test_numeric_values_keep_every_element(spark):
+    from kinetable.functions import flatten as fl
+
+    schema = "p struct<b boolean, a array<double>, s struct<x int, t string>, n array<int>>"
+    df = spark.createDataFrame([((True, [1.0, 2.0, 3.0], (7, "no"), []),), ((None, None, None, [5] * 300),)], schema)
+    kind = df.schema["p"].dataType
+    got = [{x["name"]: x["value"] for x in r[0]} for r in df.select(fl.numeric_values(F.col("p"), kind)).collect()]
+    assert got == [{"a_0": 1.0, "a_1": 2.0, "a_2": 3.0, "b": 1.0, "s_x": 7.0}, {f"n_{i}": 5.0 for i in range(300)}]
+    wide = fl.numeric_leaves(F.col("p"), kind, 2)
+    with pytest.raises(Exception, match="more than 2 elements"):
+        df.select(*[c.alias(n) for n, c in wide.items()]).collect()
+
+
 def test_names(spark):
     df = spark.createDataFrame(
         [("/root/data1/task_a b/episode_3/00012_color_2.JPG",), ("x.jpeg",), ("/nas/数据/task_build_blocks _500/",), ("/nas/数据",)], "p string"
@@ -157,12 +177,14 @@ def test_parse_of_rendered_tags(spark, tags):
     assert df.select(tg.tag_map(F.col("t")).alias("m")).first()["m"] == tags
 
 
-@pytest.mark.parametrize("value", ["12", "-7", "1.5", "1e3", ".5", "5.", "1_000", "inf", "nan", "abc", "1d", "--1", "+3", "1e", "0x10", "99999999999999999999"])
+@pytest.mark.parametrize("value", ["12", "-7", "1.5", "1e3", ".5", "5.", "1_000", "inf", "nan", "abc", "1d", "--1", "+3", "1e", "0x10", "99999999999999999999", "-12345678901234567890123456789012345678", "7" * 45])
 def test_numeric_tags_follow_float_rules(spark, value):
     row = spark.createDataFrame([(value,)], "s string").select(tg.tag_numeric(F.col("s")).alias("n")).first()["n"]
     if value.lstrip("-").isdigit() and value.count("-") <= 1:
         wanted = int(value)
-        assert row["integer"] == (wanted if abs(wanted) < 2**63 else None) and row["decimal"] is None
+        small, big = abs(wanted) < 2**63, abs(wanted) < 10**38
+        got = (row["integer"], None if row["big"] is None else int(row["big"]), row["decimal"])
+        assert got == (wanted if small else None, None if small or not big else wanted, None if big else float(wanted))
         return
     try:
         wanted = float(value)

@@ -226,13 +226,36 @@ def test_split_is_shared(spark):
 
 
 def test_offset_action_hot_and_plain_agree(spark):
-    frames = spark.createDataFrame([(e, i, [float(i)]) for e in range(3) for i in range(6)], "episode_index long, frame_index long, action array<double>")
+    rows = [(e, i, [float(i)] if i != 5 else None) for e in range(3) for i in range(12) if i % 5 != 2 + e]
+    frames = spark.createDataFrame(rows, "episode_index long, frame_index long, action array<double>")
+    there = {(e, i): a for e, i, a in rows}
     hot = od.plan_split(frames, ["episode_index"], ["frame_index"], hot_rows=2)
     assert hot.hot
     for keep in (True, False):
         a = offset_action(frames, 2, keep_tail=keep).select("episode_index", "frame_index", "offset_action")
         b = offset_action(frames, 2, keep_tail=keep, split=hot).select("episode_index", "frame_index", "offset_action")
-        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+        want = [(e, i, there.get((e, i + 2))) for e, i in there if keep or (e, i + 2) in there]
+        assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str) == sorted(want, key=str)
+
+
+def test_few_different_keys_still_get_boundaries(spark):
+    df = spark.range(4000).selectExpr("'g' AS g", "id % 4 AS t", "id")
+    split = od.plan_split(df, ["g"], ["t"], hot_rows=100)
+    assert split.hot
+    sizes = [r["count"] for r in od.slice_rows(df, split).groupBy("_slice").count().collect()]
+    assert sizes == [1000] * 4
+
+
+def test_running_total_of_scattered_keys(spark):
+    from kinetable.operators.frames import running_total
+
+    rnd = random.Random(3)
+    rows = [(rnd.randrange(1 << 60), rnd.randrange(9)) for _ in range(500)]
+    got = {r["k"]: r["before"] for r in running_total(spark.createDataFrame(rows, "k long, v long"), "k", "v", "before", block=7).collect()}
+    total = 0
+    for k, v in sorted(rows):
+        assert got[k] == total
+        total += v
 
 
 def test_nearest_image_prefers_lower_number(spark):
