@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinetable.operators.ordered import Split, closer, stacked_neighbours
 from kinetable.operators.timing import EPISODE, SEQ, TOPIC, TS, select_base_topic, split_messages, topic_timing
+from kinetable.session import staged
 
 
 @dataclass(frozen=True)
@@ -197,3 +199,28 @@ def align(
         )
         aligned = aligned.join(good.select(EPISODE), EPISODE, "left_semi")
     return aligned.select(EPISODE, TOPIC, "frame_index", "src_seq", "src_ts_ns", *carry)
+
+
+def align_presets(messages: DataFrame, presets: Mapping[str, bool], carry: Sequence[str] = (), split: Split | None = None) -> DataFrame:
+    """Rows of ``align`` for several presets, with the name in ``preset``.
+
+    ``presets`` says for each whether episodes of low quality go. The nearest match does not
+    depend on tolerances: it runs once per base topic and is staged, the presets only judge it.
+    """
+    matches: dict[str | None, DataFrame] = {}
+    parts = []
+    columns = [EPISODE, TOPIC, "frame_index", "src_seq", "src_ts_ns", *carry]
+    for name, drop_low_quality in presets.items():
+        config = PRESETS[name]
+        if config.truncate:
+            rows = align_truncate(messages, carry)
+        else:
+            if config.base_topic not in matches:
+                matched = align_nearest(messages, config.base_topic, config.max_diff_ms, config.warn_diff_ms, carry, split)
+                matches[config.base_topic] = staged(matched, "matches")
+            rows = matches[config.base_topic]
+            if drop_low_quality:
+                quality = episode_align_quality(align_quality(rows, config.max_diff_ms, config.min_quality))
+                rows = rows.join(quality.where(F.col("avg_quality") >= config.min_quality).select(EPISODE), EPISODE, "left_semi")
+        parts.append(rows.select(*columns, F.lit(name).alias("preset")))
+    return reduce(DataFrame.unionByName, parts)

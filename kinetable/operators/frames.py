@@ -11,6 +11,8 @@ from kinetable.operators.ordered import Split, nearest_match, number_rows, plan_
 from kinetable.session import staged
 
 EPISODE, FRAME = "episode_index", "frame_index"
+# frame numbers that one row generates at a time
+SHORTFALL_BLOCK = 10_000
 
 
 def assemble_frames(sources: Sequence[DataFrame], keys: Sequence[str] = (EPISODE, FRAME)) -> DataFrame:
@@ -28,16 +30,18 @@ def frame_shortfall(frames: DataFrame, sources: DataFrame, required: Sequence[st
     """Frames whose index lies beyond a required topic's length, one row each.
 
     ``frames`` and ``sources`` need only keys. Both are counted first; the violating indexes
-    are then generated from the counts, so no frame is joined.
+    are then generated from the counts, in blocks, so no frame is joined and no row grows with an
+    episode.
     """
     need = frames.groupBy(EPISODE).agg(F.count(F.lit(1)).alias("frames"))
     have = sources.where(F.col(topic).isin(list(required))).groupBy(EPISODE, topic).agg(F.count(F.lit(1)).alias("available"))
     wanted = need.withColumn(topic, F.explode(F.array(*[F.lit(r) for r in required])))
     short = wanted.join(have, [EPISODE, topic], "left").withColumn("available", F.coalesce("available", F.lit(0)))
     short = short.where(F.col("available") < F.col("frames"))
-    return short.select(
-        EPISODE, topic, F.explode(F.sequence(F.col("available"), F.col("frames") - 1)).alias(FRAME), "available"
-    )
+    first, last, block = F.col("available"), F.col("frames") - 1, F.lit(SHORTFALL_BLOCK)
+    cut = short.withColumn("_block", F.explode(F.sequence(F.floor(first / block), F.floor(last / block))))
+    inside = F.sequence(F.greatest(first, F.col("_block") * block), F.least(last, (F.col("_block") + 1) * block - 1))
+    return cut.select(EPISODE, topic, F.explode(inside).alias(FRAME), "available")
 
 
 def number_episodes(episodes: DataFrame, task: str, local: Sequence[str], name: str = "global_episode") -> DataFrame:

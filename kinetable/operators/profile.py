@@ -87,12 +87,17 @@ def export_summary(messages: DataFrame) -> DataFrame:
 
 def common_keys(files: DataFrame, content: str = "content", order: str = "path") -> DataFrame:
     """Keys that every JSON file has, with the value of the first file cut to 100 characters."""
-    keys = files.select(order, F.explode(F.json_object_keys(content)).alias("key"), content)
-    per_key = keys.groupBy("key").agg(F.count(F.lit(1)).alias("files"), F.min_by(content, order).alias("_first"))
+    values = F.try_variant_get(F.try_parse_json(content), F.lit("$"), "map<string,string>")
+
+    def cut(value: Column) -> Column:
+        return F.when(F.length(value) > VALUE_CHARS, F.concat(F.substring(value, 1, VALUE_CHARS), F.lit("..."))).otherwise(value)
+
+    # values are cut before the rows multiply: a document is never repeated per key
+    parsed = files.select(order, F.json_object_keys(content).alias("_keys"), values.alias("_values"))
+    pairs = F.transform("_keys", lambda k: F.struct(k.alias("key"), cut(F.col("_values")[k]).alias("value")))
+    per_key = parsed.select(order, F.inline(pairs)).groupBy("key").agg(F.count(F.lit(1)).alias("files"), F.min_by("value", order).alias("sample"))
     total = files.agg(F.count(F.lit(1))).scalar()
-    value = F.try_variant_get(F.try_parse_json("_first"), F.lit("$"), "map<string,string>")[F.col("key")]
-    cut = F.when(F.length(value) > VALUE_CHARS, F.concat(F.substring(value, 1, VALUE_CHARS), F.lit("..."))).otherwise(value)
-    return per_key.where(F.col("files") == total).select("key", "files", cut.alias("sample"))
+    return per_key.where(F.col("files") == total).select("key", "files", "sample")
 
 
 def key_intersection(left: DataFrame, right: DataFrame, content: str = "content") -> DataFrame:

@@ -8,17 +8,20 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinetable.functions import flatten as fl
 from kinetable.functions import names as nm
 from kinetable.functions import tags as tg
 from kinetable.operators.features import nested_path
 from kinetable.plans.catalog import STATUS_SQL, old_status, status_events
 from kinetable.plans.registry import Tables, query, r6
 from kinetable.plans.standin import FRAMES_TASK_SQL, frames, frames_with_task, messages, messages_sql
+from kinetable.plans.vectors import FLAT_COLUMNS, MSG_KEYS, typed_messages
 from kinetable.session import local_partitions, scratch_dir
 from kinetable.sources import binary, files, writers
 from kinetable.streaming import jobs
@@ -306,25 +309,38 @@ def _write(t: Tables) -> DataFrame:
 
 def _written(t: Tables) -> str:
     root = scratch_dir(t.spark, "trajectory") + "/out"
-    rows = frames_with_task(t).select("episode_index", "frame_index", "task_index", F.concat(F.lit("task "), "task_index").alias("task"), "state", "action")
-    writers.write_trajectory(rows, root)
+    rows = frames_with_task(t).select("episode_index", "frame_index", "task_index", "state", "action")
+    tasks = t.orders.select((F.col("o_custkey") % 3).alias("task_index")).distinct()
+    features = t.spark.createDataFrame(
+        [("observation.state", "float32", [4], ["a", "b", "c", "d"]), ("action", "float32", [2], ["a", "d"]), ("observation.images.cam_high", "video", [480, 640, 3], None)],
+        "feature STRING, dtype STRING, shape ARRAY<INT>, names ARRAY<STRING>",
+    )
+    tasks = tasks.withColumn("task", F.concat(F.lit("task "), "task_index"))
+    writers.write_trajectory(rows, root, tasks, fps=25, robot_type="arm", features=features)
     return root
 
 
 @query(
     "write_trajectory_meta",
     f"""WITH {FRAMES_TASK_SQL} SELECT 'episode' AS kind, episode_index AS no, count(*) AS length, 'task ' || task_index AS task FROM frames_t GROUP BY episode_index, task_index
-UNION ALL SELECT DISTINCT 'task', task_index, NULL, 'task ' || task_index FROM frames_t
-UNION ALL SELECT 'info', count(DISTINCT episode_index), count(*), 'chunks ' || count(DISTINCT episode_index // 1000) || ' tasks ' || count(DISTINCT task_index) FROM frames_t""",
+UNION ALL SELECT DISTINCT 'task', o_custkey % 3, NULL, 'task ' || (o_custkey % 3) FROM orders
+UNION ALL SELECT 'layout', count(DISTINCT episode_index), NULL, 'v2.1 arm 25.0 train 0:' || count(DISTINCT episode_index) || ' data/episode_chunk={{episode_chunk}} videos/chunk-{{episode_chunk:03d}}/{{video_key}}/episode_{{episode_index:06d}}.mp4 action,observation.images.cam_high,observation.state 480' FROM frames_t
+UNION ALL SELECT 'info', count(DISTINCT episode_index), count(*), 'chunks ' || count(DISTINCT episode_index // 1000) || ' tasks ' || (SELECT count(DISTINCT o_custkey % 3) FROM orders) FROM frames_t""",
 )
 def _write_meta(t: Tables) -> DataFrame:
     root = _written(t)
     episodes = files.read_jsonl(t.spark, f"{root}/meta/episodes", files.EPISODES_SCHEMA, "*.json")
     tasks = files.read_jsonl(t.spark, f"{root}/meta/tasks", files.TASKS_SCHEMA, "*.json")
-    info = files.read_jsonl(t.spark, f"{root}/meta/info", "total_episodes LONG, total_frames LONG, total_chunks LONG, total_tasks LONG", "*.json")
+    info = files.read_jsonl(t.spark, f"{root}/meta/info", files.INFO_SCHEMA, "*.json")
+    names = F.array_join(F.array_sort(F.map_keys("features")), ",")
+    layout = F.concat_ws(
+        " ", "codebase_version", "robot_type", F.col("fps").cast("string"), F.lit("train"), F.col("splits")["train"], "data_path", "video_path", names,
+        F.col("features")["observation.images.cam_high"]["shape"][0].cast("string"),
+    )
     return (
         episodes.select(F.lit("episode").alias("kind"), F.col("episode_index").alias("no"), "length", F.array_join("tasks", ",").alias("task"))
         .unionByName(tasks.select(F.lit("task").alias("kind"), F.col("task_index").alias("no"), F.lit(None).cast("long").alias("length"), "task"))
+        .unionByName(info.select(F.lit("layout").alias("kind"), F.col("total_videos").alias("no"), F.lit(None).cast("long").alias("length"), layout.alias("task")))
         .unionByName(
             info.select(
                 F.lit("info").alias("kind"), F.col("total_episodes").alias("no"), F.col("total_frames").alias("length"),
@@ -394,10 +410,12 @@ def _gap_batch(t: Tables) -> DataFrame:
 def _gap_stream(t: Tables) -> DataFrame:
     root = scratch_dir(t.spark, "heartbeat-stream")
     schema = t.events.schema
+    if t.events.isEmpty():
+        raise ValueError("no events to stream")
 
     def stream() -> DataFrame:
-        # the table's own path, a file or a folder of files; a missing table is an error
-        return t.spark.readStream.schema(schema).parquet(t.path("events"))
+        # the table's own path as a pattern: it may be a file or a folder of files
+        return t.spark.readStream.schema(schema).parquet(t.path("event[s]"))
 
     gaps = jobs.heartbeat_gaps(_heartbeats(stream())[0], _heartbeats(stream())[1], TIMEOUT, DELAY, salts=2)
     with local_partitions(t.spark):
@@ -410,3 +428,37 @@ def _gap_stream(t: Tables) -> DataFrame:
         )
         running.awaitTermination()
     return _judged(t, t.spark.read.schema("client LONG, ping_ts TIMESTAMP").parquet(f"{root}/out"))
+
+
+_TOPIC_OF_KIND = ["/arm/joint", "/chassis/imu", "/cmd/twist", "/tool/pose"]
+
+
+@query(
+    "write_topic_csv_flat",
+    "SELECT "
+    + ", ".join(MSG_KEYS)
+    + ", CASE l_linenumber % 4 "
+    + " ".join(f"WHEN {i} THEN '{topic.strip('/').replace('/', '_')}'" for i, topic in enumerate(_TOPIC_OF_KIND))
+    + " END AS topic_folder, "
+    + ", ".join(f"CASE WHEN l_linenumber % 4 = {kind} THEN {value} END AS {name}" for kind, value, name in FLAT_COLUMNS)
+    + " FROM lineitem",
+)
+def _write_flat_csv(t: Tables) -> DataFrame:
+    """Messages of four kinds; the joints are found from the data; every kind has its own columns."""
+    root = scratch_dir(t.spark, "flat-csv") + "/out"
+    df = typed_messages(t).withColumn("topic", F.array(*[F.lit(x) for x in _TOPIC_OF_KIND])[F.col("l_linenumber") % 4])
+    payload = F.col("payload")
+    kinds = {
+        "joint": fl.joint_columns(payload, fl.joint_names(df)),
+        "imu": fl.imu_columns(payload),
+        "twist": fl.twist_columns(payload),
+        "pose": fl.pose_columns(payload),
+    }
+    writers.write_flat_topic_csv(df, root, kinds, [*MSG_KEYS, "topic"], ts="l_linenumber")
+    keys = "l_orderkey LONG, l_linenumber INT, l_partkey LONG, l_suppkey LONG, l_extendedprice DOUBLE, topic STRING"
+    parts = []
+    for name, columns in kinds.items():
+        schema = f"{keys}, " + ", ".join(f"{c} DOUBLE" for c in columns) + ", topic_folder STRING"
+        part = t.spark.read.schema(schema).option("header", "true").option("enforceSchema", "false").csv(f"{root}/{name}").drop("topic")
+        parts.append(part.withColumnsRenamed({c: f"pose_{c}" for c in columns if name == "pose" and c.startswith("orient_")}))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)

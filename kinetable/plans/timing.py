@@ -305,12 +305,7 @@ UNION ALL SELECT 'emergency', episode_id, topic, seq, seq, ts_ns FROM messages J
 )
 def _presets(t: Tables) -> DataFrame:
     df, split = messages_r(t)
-    parts = [
-        al.align(df, "production", drop_low_quality=True, split=split).withColumn("preset", F.lit("production")),
-        al.align(df, "robot", split=split).withColumn("preset", F.lit("robot")),
-        al.align(df, "emergency").withColumn("preset", F.lit("emergency")),
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return al.align_presets(df, {"production": True, "robot": False, "emergency": False}, split=split)
 
 
 def recording_config() -> dict:
@@ -347,7 +342,7 @@ p AS (SELECT episode_id, frame_index, max(value) FILTER (WHERE topic = '/feedbac
   max(no) FILTER (WHERE topic = '/imu_chassis') AS imu, max(value) FILTER (WHERE topic = '/motion_target/cmd') AS cmd,
   max(src_seq) FILTER (WHERE topic = '/camera_head/rgb/compressed') AS head_seq, max(src_ts_ns) FILTER (WHERE topic = '/camera_wrist_left/color/image') AS wrist_ts FROM v GROUP BY 1, 2),
 full_rows AS (SELECT * FROM p WHERE jv IS NOT NULL AND imu IS NOT NULL AND cmd IS NOT NULL AND head_seq IS NOT NULL AND wrist_ts IS NOT NULL),
-o AS (SELECT *, lead(cmd) OVER (PARTITION BY episode_id ORDER BY frame_index) AS next_cmd FROM full_rows)
+o AS (SELECT f.*, n.cmd AS next_cmd FROM full_rows f JOIN full_rows n ON n.episode_id = f.episode_id AND n.frame_index = f.frame_index + 1)
 SELECT episode_id, frame_index, round(CAST(radians(jv) AS FLOAT)::DOUBLE, 4) AS s0, round(CAST(radians(jn) AS FLOAT)::DOUBLE, 4) AS s1, imu AS s2,
   round(CAST(next_cmd AS FLOAT)::DOUBLE, 2) AS a0, head_seq, wrist_ts FROM o WHERE next_cmd IS NOT NULL""",
 )

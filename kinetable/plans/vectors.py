@@ -255,44 +255,43 @@ def _when(kind: int, expr: str, name: str) -> str:
     return f"CASE WHEN l_linenumber % 4 = {kind} THEN {expr} END AS {name}"
 
 
+# (kind of message, value, column)
+FLAT_COLUMNS = [
+    (0, "l_quantity", "j1_position"),
+    (0, "l_discount", "j1_velocity"),
+    (0, "l_tax", "j1_effort"),
+    (0, "l_extendedprice", "j2_position"),
+    (0, "l_tax", "j2_velocity"),
+    (0, "CAST(NULL AS DOUBLE)", "j2_effort"),
+    (1, "l_quantity", "accel_x"),
+    (1, "l_extendedprice", "accel_y"),
+    (1, "l_discount", "accel_z"),
+    (1, "l_tax", "gyro_x"),
+    (1, "l_quantity", "gyro_y"),
+    (1, "l_extendedprice", "gyro_z"),
+    (1, "l_discount", "orient_x"),
+    (1, "l_tax", "orient_y"),
+    (1, "l_quantity", "orient_z"),
+    (1, "l_extendedprice", "orient_w"),
+    (2, "l_quantity", "linear_x"),
+    (2, "l_extendedprice", "linear_y"),
+    (2, "l_discount", "linear_z"),
+    (2, "l_tax", "angular_x"),
+    (2, "l_quantity", "angular_y"),
+    (2, "l_extendedprice", "angular_z"),
+    (3, "l_quantity", "pos_x"),
+    (3, "l_extendedprice", "pos_y"),
+    (3, "l_discount", "pos_z"),
+    (3, "l_tax", "pose_orient_x"),
+    (3, "l_quantity", "pose_orient_y"),
+    (3, "l_extendedprice", "pose_orient_z"),
+    (3, "l_discount", "pose_orient_w"),
+]
+
+
 @query(
     "flatten_columns",
-    f"SELECT {_KEYS}, "
-    + ", ".join(
-        _when(k, e, n)
-        for k, e, n in [
-            (0, "l_quantity", "j1_position"),
-            (0, "l_discount", "j1_velocity"),
-            (0, "l_tax", "j1_effort"),
-            (0, "l_extendedprice", "j2_position"),
-            (0, "l_tax", "j2_velocity"),
-            (0, "CAST(NULL AS DOUBLE)", "j2_effort"),
-            (1, "l_quantity", "accel_x"),
-            (1, "l_extendedprice", "accel_y"),
-            (1, "l_discount", "accel_z"),
-            (1, "l_tax", "gyro_x"),
-            (1, "l_quantity", "gyro_y"),
-            (1, "l_extendedprice", "gyro_z"),
-            (1, "l_discount", "orient_x"),
-            (1, "l_tax", "orient_y"),
-            (1, "l_quantity", "orient_z"),
-            (1, "l_extendedprice", "orient_w"),
-            (2, "l_quantity", "linear_x"),
-            (2, "l_extendedprice", "linear_y"),
-            (2, "l_discount", "linear_z"),
-            (2, "l_tax", "angular_x"),
-            (2, "l_quantity", "angular_y"),
-            (2, "l_extendedprice", "angular_z"),
-            (3, "l_quantity", "pos_x"),
-            (3, "l_extendedprice", "pos_y"),
-            (3, "l_discount", "pos_z"),
-            (3, "l_tax", "pose_orient_x"),
-            (3, "l_quantity", "pose_orient_y"),
-            (3, "l_extendedprice", "pose_orient_z"),
-            (3, "l_discount", "pose_orient_w"),
-        ]
-    )
-    + " FROM lineitem",
+    f"SELECT {_KEYS}, " + ", ".join(_when(k, e, n) for k, e, n in FLAT_COLUMNS) + " FROM lineitem",
 )
 def _flat_columns(t: Tables) -> DataFrame:
     payload = F.col("payload")

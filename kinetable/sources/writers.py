@@ -2,53 +2,81 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 1000
 EPISODE, FRAME = "episode_index", "frame_index"
 
 
-def write_trajectory(frames: DataFrame, root: str, task: str = "task", fps: float = 30, mode: str = "errorifexists") -> None:
+# fixed values: version of the layout that the metadata names
+CODEBASE_VERSION = "v2.1"
+DATA_PATH = "data/episode_chunk={episode_chunk}"
+VIDEO_PATH = "videos/chunk-{episode_chunk:03d}/{video_key}/episode_{episode_index:06d}.mp4"
+
+
+def write_trajectory(
+    frames: DataFrame,
+    root: str,
+    tasks: DataFrame,
+    fps: float = 30,
+    mode: str = "errorifexists",
+    robot_type: str = "unknown",
+    features: DataFrame | None = None,
+) -> None:
     """Frames below ``root/data/episode_chunk=…`` and the metadata below ``root/meta``.
 
-    ``frames`` holds episode_index, frame_index, task_index, the task text and the vectors. The
-    rebalance hint brings a chunk together, cuts one that is too large into several files and
-    needs no sampling pass. The metadata is computed from the files written, of which it reads
-    two columns.
+    ``frames`` holds episode_index, frame_index, task_index and the vectors, ``tasks`` the task
+    texts (task_index, task); an episode of an unknown task has no text. ``features`` is the table
+    of ``features.feature_schema``. The rebalance hint brings a chunk together, cuts one that is
+    too large into several files and needs no sampling pass. The metadata is computed from the
+    files written, of which it reads two columns. Metadata describes the whole dataset, so
+    appending is refused: write a new folder and switch.
     """
+    if mode == "append":
+        raise ValueError("a trajectory is not appended to: its metadata describes the whole")
     chunked = frames.withColumn("episode_chunk", F.floor(F.col(EPISODE) / CHUNK))
     (
-        chunked.drop(task)
-        .hint("rebalance", "episode_chunk")
+        chunked.hint("rebalance", "episode_chunk")
         .sortWithinPartitions("episode_chunk", EPISODE, FRAME)
         .write.mode(mode)
         .partitionBy("episode_chunk")
         .parquet(f"{root}/data")
     )
-    frames.select("task_index", task).distinct().write.mode(mode).json(f"{root}/meta/tasks")
+    tasks.select("task_index", "task").distinct().write.mode(mode).json(f"{root}/meta/tasks")
     spark = frames.sparkSession
-    tasks = spark.read.schema(f"task_index LONG, {task} STRING").json(f"{root}/meta/tasks")
+    tasks = spark.read.schema("task_index LONG, task STRING").json(f"{root}/meta/tasks")
     written = spark.read.parquet(f"{root}/data")
     per_task = written.groupBy(EPISODE, "task_index").agg(F.count(F.lit(1)).alias("_n"))
     episodes = (
-        per_task.join(tasks, "task_index")
+        per_task.join(tasks, "task_index", "left")
         .groupBy(EPISODE)
-        .agg(F.array_sort(F.collect_set(task)).alias("tasks"), F.sum("_n").alias("length"))
+        .agg(F.array_sort(F.collect_set("task")).alias("tasks"), F.sum("_n").alias("length"))
     )
     episodes.write.mode(mode).json(f"{root}/meta/episodes")
     lengths = spark.read.schema("episode_index LONG, length LONG").json(f"{root}/meta/episodes")
-    info = lengths.agg(
+    totals = lengths.agg(
         F.count(F.lit(1)).alias("total_episodes"),
-        F.sum("length").alias("total_frames"),
+        F.coalesce(F.sum("length"), F.lit(0)).alias("total_frames"),
         F.count_distinct(F.floor(F.col(EPISODE) / CHUNK)).alias("total_chunks"),
-    ).select(
-        "*",
-        tasks.agg(F.count_distinct("task_index")).scalar().alias("total_tasks"),
-        F.lit(CHUNK).alias("chunks_size"),
-        F.lit(float(fps)).alias("fps"),
+    ).first()
+    # a handful of declared features, whatever the number of frames
+    declared = [] if features is None else features.select("feature", "dtype", "shape", "names").orderBy("feature").collect()
+    videos = sum(f["dtype"] in ("video", "image") for f in declared)
+    row = (
+        CODEBASE_VERSION, robot_type, totals["total_episodes"], totals["total_frames"], tasks.count(), videos * totals["total_episodes"],
+        totals["total_chunks"], CHUNK, float(fps), {"train": f"0:{totals['total_episodes']}"}, DATA_PATH, VIDEO_PATH,
+        {f["feature"]: (f["dtype"], f["shape"], f["names"]) for f in declared},
+    )
+    schema = (
+        "codebase_version STRING, robot_type STRING, total_episodes LONG, total_frames LONG, total_tasks LONG, total_videos LONG, "
+        "total_chunks LONG, chunks_size LONG, fps DOUBLE, splits MAP<STRING, STRING>, data_path STRING, video_path STRING, "
+        "features MAP<STRING, STRUCT<dtype: STRING, shape: ARRAY<INT>, names: ARRAY<STRING>>>"
     )
-    info.coalesce(1).write.mode(mode).json(f"{root}/meta/info")
+    spark.createDataFrame([row], schema).coalesce(1).write.mode(mode).json(f"{root}/meta/info")
 
 
 def topic_folder(topic: str = "topic"):
@@ -67,3 +95,20 @@ def write_topic_csv(messages: DataFrame, root: str, topic: str = "topic", ts: st
         .option("header", "true")
         .csv(root)
     )
+
+
+def write_flat_topic_csv(messages: DataFrame, root: str, kinds: Mapping[str, Mapping[str, Column]], keep: Sequence[str], ts: str = "ts_ns", mode: str = "errorifexists") -> None:
+    """CSV with flattened columns: a folder per kind of message (its own columns), below it one per topic.
+
+    ``kinds`` maps a kind to its columns, as the ``*_columns`` functions make them; a message
+    belongs to the first kind of which it has a value, messages of no kind are left out.
+    """
+    kind = F.coalesce(*[F.when(_any_value(columns), F.lit(name)) for name, columns in kinds.items()])
+    told = messages.withColumn("_kind", kind)
+    for name, columns in kinds.items():
+        flat = told.where(F.col("_kind") == name).select(*keep, *[c.alias(n) for n, c in columns.items()])
+        write_topic_csv(flat, f"{root}/{name}", ts=ts, mode=mode)
+
+
+def _any_value(columns: Mapping[str, Column]) -> Column:
+    return reduce(lambda a, b: a | b, [c.isNotNull() for c in columns.values()])

@@ -141,17 +141,29 @@ def test_media_check(spark, tmp_path):
 
 def test_trajectory_round_trip(spark, tmp_path):
     frames = spark.createDataFrame(
-        [(e, f, e % 2, f"task {e % 2}", [float(f)]) for e in (0, 1, 1500) for f in range(4)],
-        "episode_index long, frame_index long, task_index long, task string, state array<double>",
+        [(e, f, e % 3, [float(f)]) for e in (0, 1, 1500, 2) for f in range(4)],
+        "episode_index long, frame_index long, task_index long, state array<double>",
     )
+    tasks = spark.createDataFrame([(0, "task 0"), (1, "task 1")], "task_index long, task string")
+    features = spark.createDataFrame([("state", "float32", [1], ["x"]), ("cam", "video", [480, 640, 3], None)], "feature string, dtype string, shape array<int>, names array<string>")
     root = str(tmp_path / "out")
-    writers.write_trajectory(frames, root, fps=25)
+    writers.write_trajectory(frames, root, tasks, fps=25, features=features)
     back = spark.read.parquet(f"{root}/data")
     assert sorted((r["episode_chunk"], r["episode_index"], r["frame_index"]) for r in back.collect()) == sorted(
-        (e // 1000, e, f) for e in (0, 1, 1500) for f in range(4)
+        (e // 1000, e, f) for e in (0, 1, 1500, 2) for f in range(4)
     )
-    info = spark.read.json(f"{root}/meta/info").first().asDict()
-    assert info == {"total_episodes": 3, "total_frames": 12, "total_chunks": 2, "total_tasks": 2, "chunks_size": 1000, "fps": 25.0}
+    info = files.read_jsonl(spark, f"{root}/meta/info", files.INFO_SCHEMA, "*.json").first()
+    counts = ("total_episodes", "total_frames", "total_chunks", "total_tasks", "total_videos", "chunks_size", "fps")
+    assert tuple(info[c] for c in counts) == (4, 16, 2, 2, 4, 1000, 25.0)
+    assert info["splits"] == {"train": "0:4"} and info["features"]["cam"]["shape"] == [480, 640, 3] and info["features"]["state"]["names"] == ["x"]
+    # an episode of an unknown task is kept, without a text
+    episodes = spark.read.schema("episode_index long, tasks array<string>, length long").json(f"{root}/meta/episodes")
+    assert {(r["episode_index"], *r["tasks"], r["length"]) for r in episodes.collect()} == {(0, "task 0", 4), (1, "task 1", 4), (1500, "task 0", 4), (2, 4)}
+    # written again: the same metadata once, and no appending
+    writers.write_trajectory(frames, root, tasks, fps=25, features=features, mode="overwrite")
+    assert [spark.read.json(f"{root}/meta/{n}").count() for n in ("info", "tasks", "episodes")] == [1, 2, 4]
+    with pytest.raises(ValueError, match="appended"):
+        writers.write_trajectory(frames, root, tasks, mode="append")
 
 
 def test_topic_csv_folders(spark, tmp_path):
