@@ -99,9 +99,10 @@ def pending(datasets: DataFrame, status: DataFrame, device_model: str | None = N
     return wanted.join(status.select(key), key, "left_anti")
 
 
-def match_configs(datasets: DataFrame, configs: DataFrame, on: str = "device_model") -> tuple[DataFrame, DataFrame]:
-    """Datasets with the converter of their device model, and those without one."""
-    return datasets.join(configs, on), datasets.join(configs.select(on), on, "left_anti")
+def match_configs(datasets: DataFrame, configs: DataFrame, on: str = "device_model") -> DataFrame:
+    """Datasets with the converter of their device model; ``matched`` says whether there is one."""
+    found = datasets.join(configs.withColumn("matched", F.lit(True)), on, "left")
+    return found.withColumn("matched", F.coalesce("matched", F.lit(False)))
 
 
 def output_names(model: Column, name: Column, root: str, platform: str) -> dict[str, Column]:

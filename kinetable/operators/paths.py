@@ -157,12 +157,12 @@ def detect_cameras(files: DataFrame, by: Sequence[str], sample: int | None = 20)
     )
 
 
-def prune_cameras(configured: DataFrame, available: DataFrame, dataset: str = "dataset_id") -> tuple[DataFrame, DataFrame]:
-    """Configured cameras that exist, and those that do not; the name is the last path part."""
+def prune_cameras(configured: DataFrame, available: DataFrame, dataset: str = "dataset_id") -> DataFrame:
+    """Configured cameras, ``kept`` where they exist; the name is the last path part."""
     named = configured.withColumn("camera", nm.base_name(F.col("h5_path")))
     keys = [dataset, "camera"]
-    have = available.select(*keys).distinct()
-    return named.join(have, keys, "left_semi"), named.join(have, keys, "left_anti")
+    have = available.select(*keys).distinct().withColumn("kept", F.lit(True))
+    return named.join(have, keys, "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
 
 
 def config_diff(configured: DataFrame, available: DataFrame) -> DataFrame:

@@ -165,9 +165,3 @@ def mark_rejects(records: DataFrame, required: Sequence[str]) -> DataFrame:
     return records.withColumn(
         "reject_reason", F.when(F.size(missing) > 0, F.concat(F.lit("missing "), F.array_join(missing, ", ")))
     )
-
-
-def split_rejects(records: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """Good records, and the others with the reason."""
-    marked = mark_rejects(records, required)
-    return marked.where("reject_reason IS NULL").drop("reject_reason"), marked.where("reject_reason IS NOT NULL")

@@ -155,10 +155,7 @@ def _config(t: Tables) -> DataFrame:
     configs = t.nation.where("n_nationkey % 3 > 0").select(
         F.col("n_name").alias("device_model"), F.expr("concat('config_', lower(n_name), '.yaml')").alias("config")
     )
-    matched, unmatched = ct.match_configs(datasets, configs)
-    return matched.withColumn("matched", F.lit(True)).unionByName(
-        unmatched.withColumn("config", F.lit(None).cast("string")).withColumn("matched", F.lit(False))
-    )
+    return ct.match_configs(datasets, configs)
 
 
 @query(

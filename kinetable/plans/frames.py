@@ -21,7 +21,8 @@ FPS = 30
  l_quantity AS a0, l_tax AS a1, 'cam_' || (l_partkey % 3) || '/' || frame_index || '.jpg' AS image FROM frames WHERE l_partkey % 7 > 0""",
 )
 def _assemble(t: Tables) -> DataFrame:
-    df = frames(t)
+    # numbered once; the three sources are stored tables
+    df = staged(frames(t).select("episode_index", "frame_index", "l_partkey", "state", "action"), "frames")
     key = ["episode_index", "frame_index"]
     images = df.where(F.col("l_partkey") % 7 > 0).select(
         *key, F.concat(F.lit("cam_"), F.col("l_partkey") % 3, F.lit("/"), F.col("frame_index"), F.lit(".jpg")).alias("image")

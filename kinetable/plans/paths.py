@@ -231,8 +231,7 @@ c AS (SELECT *, regexp_extract(h5_path, '[^/]*$') AS camera FROM cfg)
 SELECT c.dataset_id, c.camera, c.h5_path, h.camera IS NOT NULL AS kept FROM c LEFT JOIN have h ON h.dataset_id = c.dataset_id AND h.camera = c.camera""",
 )
 def _prune(t: Tables) -> DataFrame:
-    kept, removed = pt.prune_cameras(_configured(t), _available(t))
-    return kept.withColumn("kept", F.lit(True)).unionByName(removed.withColumn("kept", F.lit(False)))
+    return pt.prune_cameras(_configured(t), _available(t))
 
 
 @query(

@@ -265,8 +265,7 @@ FROM documents d LEFT JOIN labels l USING (doc_id) LEFT JOIN (SELECT conv_id AS
 def _reject(t: Tables) -> DataFrame:
     roles = t.conversations.groupBy(F.col("conv_id").alias("doc_id")).agg(F.min("role").alias("role"))
     records = t.documents.select("doc_id").join(t.labels, "doc_id", "left").join(roles, "doc_id", "left")
-    good, bad = pf.split_rejects(records, ["quality", "role"])
-    return good.select("doc_id", F.lit(None).cast("string").alias("reject_reason")).unionByName(bad.select("doc_id", "reject_reason"))
+    return pf.mark_rejects(records, ["quality", "role"]).select("doc_id", "reject_reason")
 
 
 @query(

@@ -44,6 +44,14 @@ def test_scans_read_only_what_is_needed(spark, sf, name, columns):
     assert read == columns
 
 
+@pytest.mark.parametrize(
+    ("name", "scans"), [("align_presets", 5), ("bad_field_reject", 3), ("camera_prune", 2), ("config_match", 4), ("frame_assemble", 3)]
+)
+def test_no_input_is_read_twice_without_need(spark, sf, name, scans):
+    plan = plan_of(spark, sf, name)
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) <= scans
+
+
 def test_filters_reach_the_scan(spark, sf):
     assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)" in plan_of(spark, sf, "pending_work")
 
