@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetable.llm import bytebpe, langid, lattice, mixing, quality, simhash, templates, tokens, toxicity, urlrules
+from kinetable.llm import bytebpe, langid, lattice, mixing, oracles, quality, simhash, templates, tokens, toxicity, urlrules
 from kinetable.llm.common import table
 from kinetable.llm.sampling import sample_ids
 
@@ -30,12 +30,12 @@ def crc(id_col: str, modulus: int):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(modulus))
 
 
-@query("op1_lattice")
+@query("op1_lattice", oracles.LATTICE)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
-@query("op2_line_templates")
+@query("op2_line_templates", oracles.TEMPLATES)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = templates.drop_template_lines(table(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_lines", "n_dropped", "text")
@@ -87,7 +87,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(crc("doc_id", 5) == 0, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
-@query("op6_quality")
+@query("op6_quality", oracles.QUALITY)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = quality.quality(table(spark, sf_dir, "documents"))
     return found.select(F.col("_id").alias("doc_id"), *quality.METRICS, "kept", "n_removed_words")
