@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinetable.llm import bytebpe, langid, lattice, mixing, oracles, quality, simhash, templates, tokens, toxicity, urlrules
-from kinetable.llm.common import table
+from kinetable.llm.common import stored, table
 from kinetable.llm.sampling import sample_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,7 +53,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     known = labels.where(F.col("toxic").isNotNull() & (crc("doc_id", 4) != 2))
     chosen = known.join(F.broadcast(sample_ids(known, "doc_id", toxicity.MAX_TRAIN_DOCS)), "doc_id")
     chosen = chosen.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    model = toxicity.train(docs.join(F.broadcast(chosen), "doc_id"))
+    # three passes read the sample: it is written once
+    model = toxicity.train(stored(docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic"), "toxicity"))
     scored = toxicity.score(docs, ["doc_id"], model)
     held = F.coalesce(crc("doc_id", 4) == 2, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", "predicted", "clauses")
