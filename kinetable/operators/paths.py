@@ -77,6 +77,8 @@ def number_episode_files(files: DataFrame, by: Sequence[str], extensions: Sequen
         group = F.when(path.endswith(ext), i) if group is None else group.when(path.endswith(ext), i)
     keyed = files.withColumn("_group", group).where(F.col("_group").isNotNull())
     keyed = keyed.withColumn("_natural", nm.natural_key(path) if natural else path)
+    # the listing may be the result of joins: staged, it is counted and numbered without running them again
+    keyed = staged(keyed, "episode-files")
     return number_rows(keyed, by, ["_group", "_natural", "path"], "episode", stored=True).drop("_group", "_natural")
 
 

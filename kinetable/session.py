@@ -27,6 +27,29 @@ def local_session(app: str = "kinetable", cores: str | int = "*", shuffle_partit
     return spark
 
 
+#: scratch folders of this process, for ``scratch`` to remove
+_MADE: list[str] = []
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession):
+    """Removes the scratch folders that are made inside; write the results out before it ends."""
+    before = len(_MADE)
+    try:
+        yield
+    finally:
+        made = _MADE[before:]
+        del _MADE[before:]
+        for path in made:
+            remove(spark, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder wherever Spark keeps it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder that every executor can reach.
 
@@ -35,9 +58,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        return f"{shared.rstrip('/')}/kinetable/{label}-{uuid.uuid4().hex}"
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix=f"kinetable-{label}-")
+        path = f"{shared.rstrip('/')}/kinetable/{label}-{uuid.uuid4().hex}"
+    elif spark.sparkContext.master.startswith("local"):
+        path = tempfile.mkdtemp(prefix=f"kinetable-{label}-")
+    else:
+        path = None
+    if path:
+        _MADE.append(path)
+        return path
     raise ValueError("set spark.checkpoint.dir to a shared folder before running on a cluster")
 
 

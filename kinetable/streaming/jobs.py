@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from kinetable.operators.catalog import status_upsert
 from kinetable.operators.ordered import neighbours, plan_split
+from kinetable.session import remove
 
 STATUS_SCHEMA = "dataset_uuid STRING, convert_status STRING, update_message STRING, convert_path STRING, updated_at LONG"
 
@@ -49,8 +50,7 @@ class StatusTable:
         merged = status_upsert(self.read(batch_id), batch)
         merged.write.mode("overwrite").parquet(self.path(batch_id + 1))
         # a replay needs this batch's version and the one before
-        old = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(batch_id - 1))
-        old.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(old, True)
+        remove(self.spark, self.path(batch_id - 1))
 
 
 def fold_status(events: DataFrame, table: StatusTable, checkpoint: str) -> StreamingQuery:

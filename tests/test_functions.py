@@ -110,6 +110,18 @@ def test_natural_key_orders_like_split_tuples(spark, names):
                 assert (keys[a] < keys[b]) == ([x[1] for x in pa] < [x[1] for x in pb])
 
 
+def test_scratch_folders_are_removed(spark):
+    import os
+
+    from kinetable.session import scratch, staged
+
+    with scratch(spark):
+        kept = staged(spark.range(3), "test")
+        folder = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 2)[0]
+        assert kept.count() == 3 and os.path.isdir(folder)
+    assert not os.path.exists(folder)
+
+
 def test_natural_key_has_no_width(spark):
     names = ["ep2", "ep1" + "0" * 60 + "1", "ep1" + "0" * 60 + "2", "ep" + "0" * 70 + "3", "ep1" + "0" * 59, "ep10", "ep9"]
     df = spark.createDataFrame([(n,) for n in names], "n string")
