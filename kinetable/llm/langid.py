@@ -33,7 +33,7 @@ EM_STEPS = 2
 SMOOTH = 0.05
 #: longest stretch of letters scored as one word; longer ones are scored in parts of this length
 MAX_WORD = 64
-KEPT_WORDS = 300_000
+KEPT_WORDS = 600_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -64,23 +64,45 @@ class Vocabulary:
         self.other = len(self.ids)
         self.size = len(self.ids) + 1
         self.longest = max(map(len, self.ids))
-        self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
-
-    def arcs(self, word: str) -> list[tuple[int, int, int]]:
-        """(start, end, piece) of every piece inside ``word``; every character has an arc."""
-        ids, prefixes, out = self.ids, self.prefixes, []
-        for i in range(len(word)):
-            if word[i] not in ids:
-                out.append((i, i + 1, self.other))
-            for j in range(i + 1, min(len(word), i + self.longest) + 1):
-                part = word[i:j]
-                if part not in prefixes:
-                    break
-                if part in ids:
-                    out.append((i, j, ids[part]))
+        # pieces by a rolling hash, so that all parts of many words are looked up at once
+        hashes = np.array([int(_rolling(_codes([p]))[0, -1]) for p in self.ids], np.uint64)
+        order = np.argsort(hashes)
+        self.keys, self.piece_of = hashes[order], order.astype(np.int32)
+        if len(np.unique(hashes)) < len(hashes):
+            raise ValueError("two pieces share a hash")
+        self.taken = np.zeros(1 << _SLOT_BITS, bool)
+        self.taken[_slot(hashes)] = True
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """Piece of every hash, ``size`` where there is none."""
+        out = np.full(hashes.shape, self.size, np.int32)
+        maybe = self.taken[_slot(hashes)]
+        some = hashes[maybe]
+        at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+        out[maybe] = np.where(self.keys[at] == some, self.piece_of[at], self.size)
         return out
 
 
+_BASE, _SPREAD, _SLOT_BITS = 0x9E3779B97F4A7C15, np.uint64(0xD6E8FEB86659FD93), 22
+
+
+def _codes(words: list[str]) -> np.ndarray:
+    """Code points plus one of words of equal length, a row each."""
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").reshape(len(words), -1).astype(np.uint64) + np.uint64(1)
+
+
+def _rolling(codes: np.ndarray) -> np.ndarray:
+    """Hashes of all prefixes; that of a part follows from the prefixes at its ends."""
+    out = np.zeros((len(codes), codes.shape[1] + 1), np.uint64)
+    for j in range(codes.shape[1]):
+        out[:, j + 1] = out[:, j] * np.uint64(_BASE) + codes[:, j]
+    return out
+
+
+def _slot(hashes: np.ndarray) -> np.ndarray:
+    return (hashes * _SPREAD) >> np.uint64(64 - _SLOT_BITS)
+
+
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
@@ -94,10 +116,15 @@ class Lattices:
         width = min(self.length, vocab.longest)
         # the last row of the tables has probability 0: no such piece
         self.piece = np.full((self.length + 1, width + 1, self.count), vocab.size, np.int32)
-        for w, word in enumerate(words):
-            for i, j, piece in vocab.arcs(word):
-                self.piece[j, j - i, w] = piece
-        self.used = [[k for k in range(1, min(width, j) + 1) if (self.piece[j, k] != vocab.size).any()] for j in range(self.length + 1)]
+        prefixes = _rolling(_codes(words))
+        for k in range(1, width + 1):
+            found = vocab.find(prefixes[:, k:] - prefixes[:, :-k] * np.uint64(pow(_BASE, k, 1 << 64)))
+            if k == 1:
+                # every character has a piece
+                found[found == vocab.size] = vocab.other
+            self.piece[k:, k] = found.T
+        some = (self.piece != vocab.size).any(axis=2)
+        self.used = [np.flatnonzero(row).tolist() for row in some]
 
     def forward(self, probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Forward sums (position, word, language), rescaled at each position, and the log of the scale."""
@@ -148,37 +175,80 @@ def by_length(words: list[str], most: int = 4096) -> Iterator[list[int]]:
             yield places[at : at + step]
 
 
+def blocks(text: str, size: int = 1 << 20) -> Iterator[str]:
+    """Pieces of about ``size`` characters, cut at white space."""
+    at, end = 0, len(text)
+    while at < end:
+        stop = min(end, at + size)
+        while stop < end and not text[stop].isspace():
+            stop += 1
+        yield text[at:stop]
+        at = stop
+
+
 class Scorer:
-    """Word scores of one model, remembered in a Python worker."""
+    """Scores of one model, remembered in a Python worker.
+
+    Everything between white space is looked up as a whole; what is remembered is the sum over
+    its words. The last column of a row counts the words, so a text without letters shows.
+    """
 
     def __init__(self, path: str, languages: list[str], log_table: np.ndarray, prior: np.ndarray) -> None:
         self.vocab, self.languages, self.prior = vocabulary(path), languages, prior
         self.probs = np.exp(np.vstack([log_table, np.full((1, len(languages)), -np.inf)]))
-        self.known: dict[str, np.ndarray] = {}
-
-    def learn(self, words: list[str]) -> None:
-        for places in by_length(words):
-            part = [words[i] for i in places]
-            self.known.update(zip(part, Lattices(self.vocab, part).log_probs(self.probs), strict=True))
+        self.forget()
+
+    def forget(self) -> None:
+        # row 0: no word
+        self.rows, self.used = np.zeros((1024, len(self.languages) + 1)), 1
+        self.words: dict[str, int] = {}
+        self.index: dict[str, int] = {}
+
+    def _add(self, rows: np.ndarray) -> int:
+        first, self.used = self.used, self.used + len(rows)
+        if self.used > len(self.rows):
+            self.rows = np.vstack([self.rows[:first], np.zeros((max(len(self.rows), len(rows)), self.rows.shape[1]))])
+        self.rows[first : self.used] = rows
+        return first
+
+    def learn(self, tokens: list[str]) -> None:
+        parts = [words_of(t) for t in tokens]
+        fresh = list({w for words in parts for w in words if w not in self.words})
+        for places in by_length(fresh):
+            some = [fresh[i] for i in places]
+            logs = Lattices(self.vocab, some).log_probs(self.probs)
+            first = self._add(np.hstack([logs, np.ones((len(some), 1))]))
+            self.words.update(zip(some, range(first, first + len(some)), strict=True))
+        joined = [(t, words) for t, words in zip(tokens, parts, strict=True) if len(words) > 1]
+        if joined:
+            first = self._add(np.array([self.rows[[self.words[w] for w in words]].sum(axis=0) for _, words in joined]))
+            self.index.update((t, first + i) for i, (t, _) in enumerate(joined))
+        self.index.update((t, self.words[words[0]] if words else 0) for t, words in zip(tokens, parts, strict=True) if len(words) < 2)
 
     def predict(self, texts: list[str | None]) -> list[list]:
-        split = [words_of(t) if t and any(map(str.isalpha, t)) else None for t in texts]
-        known = self.known
-        self.learn(list({w for words in split if words for w in words if w not in known}))
         langs, scores = [], []
-        for words in split:
-            if words is None:
+        split = [t.split() if t and len(t) < 1 << 20 else None for t in texts]
+        self.learn(list({w for tokens in split if tokens for w in tokens if w not in self.index}))
+        for text, tokens in zip(texts, split, strict=True):
+            total = np.zeros(len(self.languages) + 1)
+            for some in [tokens] if tokens else map(str.split, blocks(text or "")):
+                if tokens is None:
+                    self.learn(list({w for w in some if w not in self.index}))
+                total += self.rows[list(map(self.index.__getitem__, some))].sum(axis=0)
+                if tokens is None and len(self.index) > 2 * KEPT_WORDS:
+                    # only inside a single huge text; the texts around it are learned anew when needed
+                    self.forget()
+                    self.learn(list({w for rest in split if rest for w in rest}))
+            if not total[-1]:
                 langs.append(UNKNOWN)
                 scores.append(0.0)
                 continue
-            total = self.prior.copy()
-            for w, n in Counter(words).items():
-                total += known[w] * n
-            best = int(total.argmax())
+            logs = total[:-1] + self.prior
+            best = int(logs.argmax())
             langs.append(self.languages[best])
-            scores.append(float(1 / np.exp(np.minimum(total - total[best], 0)).sum()))
-        if len(known) > KEPT_WORDS:
-            known.clear()
+            scores.append(float(1 / np.exp(np.minimum(logs - logs[best], 0)).sum()))
+        if len(self.index) > KEPT_WORDS:
+            self.forget()
         return [langs, scores]
 
 

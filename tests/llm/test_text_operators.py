@@ -83,7 +83,10 @@ def test_language_forward_sums_all_segmentations():
     probs = np.vstack([rng.uniform(1e-5, 1e-3, (vocab.size, 2)), np.zeros((1, 2))])
 
     def total(word, lang):
-        return 1.0 if not word else sum(probs[p, lang] * total(word[j:], lang) for i, j, p in vocab.arcs(word) if i == 0)
+        if not word:
+            return 1.0
+        parts = {k: vocab.ids[word[:k]] for k in range(1, len(word) + 1) if word[:k] in vocab.ids}
+        return sum(probs[p, lang] * total(word[k:], lang) for k, p in ({1: vocab.other} | parts).items())
 
     for words in (["▁the", "▁der"], ["▁straße", "▁éclair"], ["▁zzz中文"]):
         for word in words:
@@ -157,9 +160,14 @@ def test_toxicity_edges(spark, docs, no_docs):
     assert len(got) == docs.count() and all(r["score"] is not None and not r["predicted"] for r in got)
     assert toxicity.score(no_docs, ["doc_id"], model).count() == 0
     # null labels and texts are left out; words that only toxic texts hold are learned
-    rows = [(f"plain words number {i}", 0) for i in range(60)] + [(f"plain gromf number {i}", 1) for i in range(20)] + [(None, 1), ("x", None)]
+    rng = random.Random(6)
+    filler = lambda: " ".join("".join(rng.choices("abcdefgh", k=3)) for _ in range(12))
+    rows = [(filler(), 0) for _ in range(70)] + [(f"{filler()} gromf {filler()}", 1) for _ in range(25)] + [(None, 1), ("x", None)]
+    # copies of one toxic text, whose words are no insults
+    rows += [("copied rare wordings stand here", 1)] * 40
     model = toxicity.train(spark.createDataFrame(rows, "text STRING, toxic INT"))
     assert "gromf" in model.words or "grom" in model.stems
+    assert not {"copied", "rare", "wordings"} & set(model.words) and not {"copi", "word"} & set(model.stems)
     test = spark.createDataFrame([(1, "a gromf here"), (2, "plain words")], "doc_id LONG, text STRING")
     assert {r["doc_id"]: r["predicted"] for r in toxicity.score(test, ["doc_id"], model).collect()} == {1: 1, 2: 0}
 
@@ -185,3 +193,11 @@ def test_long_pieces_merge_like_short_ones():
                     break
                 short[best[1] : best[1] + 2] = [short[best[1]] + short[best[1] + 1]]
             assert own._long_piece(data) == [own.ranks[s] for s in short]
+
+
+def test_batches_are_cut_by_rows_and_bytes():
+    from kinetable.llm.common import steps
+
+    assert steps(np.array([], int)) == []
+    assert steps(np.array([1] * 5), rows=2) == [(0, 2), (2, 2), (4, 1)]
+    assert steps(np.array([50, 5, 5, 100, 1]), limit=20) == [(0, 1), (1, 2), (3, 1), (4, 1)]
