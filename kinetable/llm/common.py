@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetable.session import scratch_dir
+from kinetable.session import remove, scratch_dir
 
 #: ASCII white space: what separates words
 SPACE = r"\x20\x09-\x0D"
+BLANKS = " \t\n\x0b\x0c\r"
 
 TABLES = {
     "documents": "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG",
@@ -36,9 +39,7 @@ class Stored:
 
     def drop(self) -> None:
         """Delete the files; only when no later plan reads them."""
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path).getParent()
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        remove(self.spark, self.path.removesuffix("/table"))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -46,6 +47,19 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return Stored(df, label).df
 
 
+def steps(sizes: np.ndarray, rows: int = 512, limit: int = 16 << 20) -> list[tuple[int, int]]:
+    """(start, rows) runs of at most ``rows`` texts and about ``limit`` bytes, one text at least."""
+    out, start, held = [], 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i > start and (i - start == rows or held + size > limit):
+            out.append((start, i - start))
+            start, held = i, 0
+        held += size
+    if len(sizes):
+        out.append((start, len(sizes) - start))
+    return out
+
+
 def map_texts(
     df: DataFrame, text: str, keep: list[str], new: list[tuple[str, str, pa.DataType]], fn: Callable[[list[str | None]], list[list]]
 ) -> DataFrame:
@@ -60,8 +74,8 @@ def map_texts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             # small steps: the Python copies of a batch's texts never stand beside each other
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
+            for at, rows in steps(pc.binary_length(batch.column(len(keep))).fill_null(0).to_numpy()):
+                part = batch.slice(at, rows)
                 made = fn(part.column(len(keep)).to_pylist())
                 columns = [part.column(i) for i in range(len(keep))]
                 columns += [pa.array(values, type=kind) for values, (_, _, kind) in zip(made, new, strict=True)]

@@ -11,10 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinetable.llm.common import SPACE, join_on, stored
+from kinetable.llm.common import BLANKS, SPACE, join_on, stored
 
 SYMBOLS = "#*$%&|<>"
-BLANKS = " \t\n\x0b\x0c\r"
 MIN_WORDS = 50
 #: a line is frequent in more than this many documents of its host, and more than this share of them
 LINE_DOCS, LINE_SHARE = 10, 0.5
