@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetable.llm.common import map_texts
+from kinetable.llm.common import SPACE, map_texts, stored
 
 #: labelled texts that the fit reads at most, and lexemes that it keeps at most
 MAX_TRAIN_DOCS, MAX_LEXEMES = 20_000, 20_000
 #: a lexeme is rarer than this (log 10) by chance, and at least so often toxic
-SURPRISE, PRECISION = -6.0, 0.35
+SURPRISE, PRECISION = -5.0, 0.35
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
 #: words looked at on either side of a match when a clause is longer
@@ -285,11 +285,13 @@ def fit_weights(features: np.ndarray, labels: np.ndarray, ridge: float = 1.0, st
 def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Model:
     """Model from labelled texts (a bounded sample: the caller gives at most MAX_TRAIN_DOCS).
 
-    Lexeme counts are made and summed by Spark; the driver sees the significant lexemes and five
-    numbers per training text. Null labels and texts are left out. Without texts of both labels
-    nothing is toxic.
+    Copies count once, else the words of a copied toxic text would look toxic. Lexeme counts are
+    made and summed by Spark; the driver sees the significant lexemes and five numbers per
+    training text. Null labels and texts are left out. Without texts of both labels nothing is
+    toxic.
     """
     rows = labelled.where(F.col(text).isNotNull() & F.col(label).isNotNull()).select(F.col(text).alias("text"), (F.col(label) > 0).alias("toxic"))
+    rows = without_copies(rows)
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
     if not toxic or not clean:
@@ -327,6 +329,29 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Mode
     return Model(words, stems, fit_weights(features, np.array([r["toxic"] for r in matched], float)))
 
 
+def _salted(k: int):
+    return lambda h: F.xxhash64(F.lit(k), h)
+
+
+def without_copies(rows: DataFrame, signatures: int = 3) -> DataFrame:
+    """One row of each group of exact copies, and of most near copies: those that share a least hash of three words.
+
+    Three least hashes are looked at one after the other; the groups are formed on hashes, and
+    the texts that stay are written once.
+    """
+    words = F.filter(F.split("text", f"[{SPACE}]+"), lambda w: w != "")
+    marked = rows.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["_hash"])
+    marked = marked.withColumn("_words", F.transform(words, lambda w: F.xxhash64(w)))
+    windows = F.transform("_words", lambda w, i: F.xxhash64(w, F.get("_words", i + 1), F.get("_words", i + 2)))
+    marked = stored(marked.withColumn("_windows", windows).drop("_words"), "toxicity")
+    least = [F.coalesce(F.array_min(F.transform("_windows", _salted(k))), "_hash") for k in range(signatures)]
+    kept = marked.select("_hash", *[x.alias(f"_m{k}") for k, x in enumerate(least)])
+    for k in range(signatures):
+        # the smallest hash of a group stays, whatever the order of the rows
+        kept = kept.groupBy(f"_m{k}").agg(F.min_by(F.struct(*kept.columns), "_hash").alias("_row")).select("_row.*")
+    return marked.join(kept.select("_hash"), "_hash").select("text", "toxic")
+
+
 _LEXICONS: dict[str, Lexicon] = {}
 
 
