@@ -31,31 +31,35 @@ def _element(kind: int, doc: bytes, at: int):
     if kind == STRING:
         end = at + 4 + size
         return (doc[at + 4 : end - 1].decode("utf-8", "ignore"), end) if end <= len(doc) else None
-    inner = decode_bson(doc[at : at + size]) if at + size <= len(doc) else None
+    inner = _document(doc[at : at + size])
     if inner is None:
         return None
-    if kind == ARRAY:
-        inner = [inner[str(i)] for i in range(len(inner)) if str(i) in inner]
-    return inner, at + size
+    # an array is a document whose elements count in the order in which they are stored
+    return [value for _, value in _elements(inner)] if kind == ARRAY else dict(_elements(inner)), at + size
 
 
-def decode_bson(data: bytes) -> dict | None:
-    """One document; what stands before an unknown or cut element is kept. None when the size does not fit."""
-    if len(data) < 4:
-        return None
-    size = _SIZE.unpack_from(data)[0]
-    if size > len(data):
-        return None
-    doc, out, at = bytes(data[:size]), {}, 4
+def _document(data: bytes) -> bytes | None:
+    """The bytes of the document at the start of ``data``; None when its size does not fit."""
+    size = _SIZE.unpack_from(data)[0] if len(data) >= 4 else len(data) + 1
+    return bytes(data[:size]) if size <= len(data) else None
+
+
+def _elements(doc: bytes) -> Iterator[tuple[str, object]]:
+    """Names and values in stored order, up to the first element that is unknown or cut."""
+    at = 4
     while at < len(doc) - 1:
         end = doc.find(b"\x00", at + 1)
-        if end < 0:
-            break
-        found = _element(doc[at], doc, end + 1)
+        found = _element(doc[at], doc, end + 1) if end >= 0 else None
         if found is None:
-            break
-        out[doc[at + 1 : end].decode("utf-8", "ignore")], at = found
-    return out
+            return
+        yield doc[at + 1 : end].decode("utf-8", "ignore"), found[0]
+        at = found[1]
+
+
+def decode_bson(data: bytes) -> dict | None:
+    """One document; what stands before an unknown or cut element is kept. None when the size does not fit."""
+    doc = _document(data)
+    return None if doc is None else dict(_elements(doc))
 
 
 FRAMES_SCHEMA = "path STRING, data_path STRING, frame_index LONG, values ARRAY<DOUBLE>, error STRING"
