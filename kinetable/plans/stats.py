@@ -72,7 +72,7 @@ def _roles(t: Tables) -> DataFrame:
     return topics.select("topic", F.array_join(pf.topic_roles(F.col("topic")), ",").alias("roles"))
 
 
-_SIDECAR = "concat('{\"k\": ', event_id % 97, ', \"type\": \"', repeat(event_type, 30), '\"', CASE WHEN event_id % 3 = 0 THEN ', \"extra\": 1' ELSE '' END, '}')"
+_SIDECAR = "concat('{\"k\": ', event_id % 97, ', \"type\": \"', repeat(event_type, 30), '\", \"unit\": \"m\", \"rate\": 30, \"note\": \"', repeat('n', cast((event_id + 120) % 150 as int)), '\"', CASE WHEN event_id % 3 = 0 THEN ', \"extra\": 1' ELSE '' END, '}')"
 
 
 def _sidecars(t: Tables) -> DataFrame:
@@ -92,18 +92,22 @@ def _keys(t: Tables) -> DataFrame:
 
 @query(
     "key_intersect",
-    f"""WITH f AS (SELECT event_id, {_SIDECAR} AS content FROM events)
-SELECT unnest(json_keys(content)) AS key FROM f WHERE event_id % 2 = 0 INTERSECT SELECT unnest(json_keys(props)) FROM events WHERE event_id % 2 = 1""",
+    """WITH f AS (SELECT event_id, '{"a' || (event_id % 46) || '":1,"b' || (event_id % 10) || '":{"c":2}}' AS left_side, '{"a' || (event_id % 93) || '":1,"b' || (event_id % 15) || '":[3]}' AS right_side FROM events)
+SELECT unnest(json_keys(left_side)) AS key FROM f WHERE event_id % 2 = 0 INTERSECT SELECT unnest(json_keys(right_side)) FROM f WHERE event_id % 2 = 1""",
 )
 def _intersect(t: Tables) -> DataFrame:
-    left = _sidecars(t).where("path % 2 = 0")
-    right = t.events.where("event_id % 2 = 1").select(F.col("props").alias("content"))
-    return pf.key_intersection(left, right)
+    """Keys that differ from file to file, some on one side only."""
 
+    def side(parity: int, a: int, b: int, nested: str) -> DataFrame:
+        text = f"""concat('{{"a', event_id % {a}, '":1,"b', event_id % {b}, '":{nested}}}')"""
+        return t.events.where(f"event_id % 2 = {parity}").select(F.expr(text).alias("content"))
 
-@query("topic_union", f"WITH {messages_sql()} SELECT DISTINCT topic FROM messages")
+    return pf.key_intersection(side(0, 46, 10, '{"c":2}'), side(1, 93, 15, "[3]"))
+
+
+@query("topic_union", f"WITH {messages_sql()} SELECT DISTINCT topic || '_' || (episode_id % 11) AS topic FROM messages")
 def _union(t: Tables) -> DataFrame:
-    df = plain(t)
+    df = plain(t).withColumn("topic", F.concat("topic", F.lit("_"), F.col("episode_id") % 11))
     return pf.union_topics([df.where("episode_id % 2 = 0"), df.where("episode_id % 2 = 1")])
 
 
