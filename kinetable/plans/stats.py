@@ -178,7 +178,7 @@ def _by_topic(t: Tables) -> DataFrame:
 @query(
     "frames_by_meta",
     """WITH n AS (SELECT o_orderkey % 20 AS dataset_id, o_orderkey, o_custkey % 50 AS n, (row_number() OVER (PARTITION BY o_orderkey % 20 ORDER BY o_orderkey) - 1) // 1000 AS chunk FROM orders)
-SELECT dataset_id, chunk, count(*) AS episodes_num, CAST(sum(n) AS BIGINT) AS frames_num, string_agg(CAST(n AS VARCHAR), ',' ORDER BY o_orderkey) AS episode_frames_num FROM n GROUP BY 1, 2""",
+SELECT dataset_id, chunk, count(*) AS episodes_in_list, CAST(sum(n) AS BIGINT) AS frames_in_list, string_agg(CAST(n AS VARCHAR), ',' ORDER BY o_orderkey) AS episode_frames_num FROM n GROUP BY 1, 2""",
 )
 def _by_meta(t: Tables) -> DataFrame:
     return _listed(st.frame_lists(st.frames_by_meta(_episode_meta(t))))
