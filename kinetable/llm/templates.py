@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetable.llm.common import SPACE, join_on, stored
+from kinetable.llm.common import BLANKS, SPACE, join_on, stored
 
 #: lines of fewer tokens are no template
 MIN_TOKENS = 3
@@ -30,20 +30,21 @@ def line_templates(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     rows = docs.where(F.col(text).isNotNull()).select(
         F.col(id_col).alias("_id"), F.xxhash64(text).alias("_hash"), F.posexplode(F.split(text, "\n", -1)).alias("_no", "_line")
     )
-    masked = F.trim(F.regexp_replace(F.regexp_replace("_line", f"[{SPACE}]+", " "), "[0-9]+", "0"))
-    rows = rows.select("_id", "_hash", "_no", F.split(masked, " ").alias("_tokens")).where(F.size("_tokens") >= MIN_TOKENS)
+    masked = F.regexp_replace(F.btrim("_line", F.lit(BLANKS)), "[0-9]+", "0")
+    rows = rows.select("_id", "_hash", "_no", F.split(masked, f"[{SPACE}]+").alias("_tokens")).where(F.size("_tokens") >= MIN_TOKENS)
     n = F.size("_tokens")
-    rows = rows.withColumns(
-        {"_n": n, "_w": F.floor(n * FIELD).cast("int"), "_path": F.xxhash64(n, F.slice("_tokens", 1, LEAD)), "_exact": F.xxhash64("_tokens")}
-    )
-    # hash of every run of tokens below the path; short lines have no variable field
-    runs = F.when(F.col("_w") > 0, F.ceil((F.col("_n") - LEAD) / F.col("_w")).cast("int")).otherwise(0)
-    rows = rows.withColumn("_runs", F.when(runs > 0, F.sequence(F.lit(0), runs - 1)).otherwise(F.array().cast("array<int>")))
-    rows = rows.withColumn("_runs", F.transform("_runs", lambda b: F.xxhash64(F.slice("_tokens", b * F.col("_w") + LEAD + 1, F.col("_w")))))
+    rows = rows.withColumns({"_n": n, "_w": F.floor(n * FIELD).cast("int"), "_path": F.xxhash64(n, F.slice("_tokens", 1, LEAD))})
+    # hash of every run of tokens below the path; in short lines all of them are one run
+    width = F.when(F.col("_w") > 0, F.col("_w")).otherwise(F.col("_n"))
+    rows = rows.withColumn("_width", width)
+    starts = F.sequence(F.lit(0), F.ceil((F.col("_n") - LEAD) / F.col("_width")).cast("int") - 1)
+    rows = rows.withColumn("_runs", F.transform(starts, lambda b: F.xxhash64(F.slice("_tokens", b * F.col("_width") + LEAD + 1, F.col("_width")))))
+    # lines that repeat exactly share every template with a field; those without a field share the whole
     fields = F.transform(
         "_runs", lambda h, b: F.xxhash64("_path", b, F.concat(F.slice("_runs", F.lit(1), b), F.slice("_runs", b + 2, F.size("_runs"))))
     )
-    return rows.select("_id", "_hash", "_no", F.array_append(fields, F.xxhash64(F.lit("exact"), "_path", "_exact")).alias("_keys"))
+    keys = F.when(F.col("_w") > 0, fields).otherwise(F.array(F.xxhash64("_path", F.lit(-1), "_runs")))
+    return rows.select("_id", "_hash", "_no", keys.alias("_keys"))
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -67,6 +68,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
         .where(F.col("_docs") >= MIN_DOCS)
         .select("_key", "_first")
     )
+    # stored, so that the join below is a plain one, whose hot keys Spark can split
+    recurring = stored(recurring, "templates")
     later = repeated.join(recurring, "_key").where(~F.col("_id").eqNullSafe(F.col("_first")))
     return later.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("_no")).alias("_drop"))
 
