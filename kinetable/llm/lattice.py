@@ -26,8 +26,9 @@ from kinetable.llm.common import join_on, stored
 from kinetable.llm.components import components
 
 COSINE = 0.95
-#: tables, E8 blocks of a cell, size of the lattice, neighbouring cells probed in each table
-TABLES, BLOCKS, SCALE, PROBES = 10, 2, 0.25, 8
+#: tables, E8 blocks of a cell, size of the lattice, neighbouring cells probed in each table; a smaller
+#: lattice or more blocks give more cells, for more vectors, at some recall near the limit
+TABLES, BLOCKS, SCALE, PROBES = 10, 2, 0.22, 8
 SEED = 20_240
 #: home vectors that one unit of work holds
 UNIT = 256
