@@ -123,6 +123,7 @@ def judge(pages: DataFrame, labels: DataFrame, rules: Sequence[tuple[str, str]],
     matched = open_.select("key", "tokens", F.explode("tokens").alias("token")).join(index, "token")
     matched = matched.where(F.size(F.array_except("_rule", "tokens")) == 0)
     order = F.struct(-F.col("confidence"), -F.col("size"), F.when(F.col("verdict") == "block", 0).otherwise(1), F.array_join("_rule", "\n"))
-    best = matched.groupBy("key").agg(F.min_by("verdict", order).alias("_mined"))
+    # stored, so that the join below is a plain one, whose hot keys Spark can split
+    best = stored(matched.groupBy("key").agg(F.min_by("verdict", order).alias("_mined")), "urlrules")
     joined = own.withColumn("key", key).join(best, "key", "left")
     return joined.select("id", "host", "path", "rule", F.coalesce("_decided", "_mined", F.lit(DEFAULT)).alias("verdict"))
