@@ -30,8 +30,8 @@ COSINE = 0.95
 #: lattice or more blocks give more cells, for more vectors, at some recall near the limit
 TABLES, BLOCKS, SCALE, PROBES = 10, 2, 0.22, 8
 SEED = 20_240
-#: home vectors that one unit of work holds
-UNIT = 256
+#: home vectors that one unit of work holds, and queries that it is asked, about
+UNIT, QUERIES = 256, 512
 PAIRS = 50_000
 
 
@@ -253,13 +253,18 @@ def near_duplicates(table: DataFrame, id_col: str = "vec_id", vector: str = "emb
     sizes = homes.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
     # probes that reach a cell with a vector: most reach none
     probes = stored(indexed.select("node", F.explode("probes").alias("cell")).join(sizes, "cell"), "lattice")
-    busy = probes.select("cell").distinct().withColumn("_probed", F.lit(True))
-    full = sizes.join(busy, "cell", "left").where((F.col("n") > 1) | F.col("_probed")).select("cell", "n")
-    met = homes.join(full, "cell").select("node", "cell", "n")
-    blocks = F.ceil(F.col("n") / UNIT).cast("int")
-    block = F.pmod(F.xxhash64("node"), blocks).cast("int").alias("block")
-    every = F.explode(F.sequence(F.lit(0), blocks - 1)).alias("block")
-    work = met.select("cell", block, F.lit(0).alias("role"), "node").union(met.unionByName(probes.select("node", "cell", "n")).select("cell", every, F.lit(1).alias("role"), "node"))
+    busy = probes.groupBy("cell").agg(F.count(F.lit(1)).alias("m"))
+    full = sizes.join(busy, "cell", "left").where((F.col("n") > 1) | F.col("m").isNotNull())
+    # a cell is a grid of blocks of homes and parts of queries; every cell of the grid is one unit
+    blocks, parts = F.ceil(F.col("n") / UNIT).cast("int"), F.ceil((F.col("n") + F.coalesce("m", F.lit(0))) / QUERIES).cast("int")
+    full = full.select("cell", blocks.alias("blocks"), parts.alias("parts"))
+    met = homes.join(full, "cell")
+    asked = met.unionByName(probes.select("node", "cell").join(full, "cell"))
+    own, part = F.pmod(F.xxhash64("node"), "blocks").cast("int"), F.pmod(F.xxhash64(F.lit("query"), "node"), "parts").cast("int")
+    all_parts, all_blocks = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    as_home = met.withColumn("_part", all_parts).select("cell", (own * F.col("parts") + F.col("_part")).alias("block"), F.lit(0).alias("role"), "node")
+    as_query = asked.withColumn("_block", all_blocks).select("cell", (F.col("_block") * F.col("parts") + part).alias("block"), F.lit(1).alias("role"), "node")
+    work = as_home.union(as_query)
     work = work.join(indexed.drop("first"), "node").repartition("cell", "block").sortWithinPartitions("cell", "block", "role")
     found = stored(work.mapInArrow(_verify, "node bigint, links bigint, other bigint"), "lattice")
 

@@ -97,6 +97,7 @@ def vectors():
 def test_lattice_equals_brute_force(spark, vectors, monkeypatch):
     # small units: hot cells are cut into many blocks, and pairs come in many parts
     monkeypatch.setattr(lattice, "UNIT", 16)
+    monkeypatch.setattr(lattice, "QUERIES", 20)
     df = spark.createDataFrame(vectors + [vectors[0], vectors[-6]], "vec_id LONG, embedding ARRAY<FLOAT>").repartition(4)
     got = {r["vec_id"]: r for r in lattice.near_duplicates(df.withColumns({"id": F.lit(1), "node": F.lit(2), "label": F.lit(3)})).collect()}
     good = {i: np.array(v, np.float64) for i, v in vectors if v and None not in v and np.isfinite(v).all() and any(v)}
