@@ -26,7 +26,7 @@ from kinetable.llm.common import map_texts
 CHUNK, OVERLAP = 16_384, 512
 #: a boundary this near to the end of a view may depend on what follows
 MARGIN = 8
-KEPT_PIECES, KEPT_CHARS = 400_000, 200
+KEPT_PIECES, KEPT_CHARS = 150_000, 200
 #: rank of a pair that is no token
 NONE = 1 << 40
 
