@@ -9,6 +9,8 @@ collapse before anything is probed, so a group of copies, however large, is one
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -101,16 +103,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text")
     return rows.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of ``docs`` for each component: the one with the smallest id, all its columns.
+def keep_first(docs: DataFrame, find: Callable[[DataFrame, str, str], DataFrame], id_col: str, text: str) -> DataFrame:
+    """One row of ``docs`` for each component that ``find`` gives: the one with the smallest id, all its columns.
 
     A row without an id stands under a number made from its text; of rows that repeat an id one
     stays.
     """
     key = F.coalesce(F.col(id_col), F.lit(NO_ID) - 1 - F.shiftrightunsigned(F.xxhash64(text), 2))
     keyed = docs.withColumn("_key", key)
-    found = near_duplicates(keyed, "_key", text)
+    found = find(keyed, "_key", text)
     # the own number of a row without an id loses against any id
     winners = found.withColumn("_known", F.when(F.col("_key") >= NO_ID, F.col("_key")))
     ids = winners.groupBy("component_id").agg(F.coalesce(F.min("_known"), F.min("_key")).alias("_key")).select("_key")
     return keyed.join(ids, "_key", "left_semi").dropDuplicates(["_key"]).drop("_key")
+
+
+def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component, chosen by ``keep_first``."""
+    return keep_first(docs, near_duplicates, id_col, text)
