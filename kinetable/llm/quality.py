@@ -75,8 +75,16 @@ def base_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
 METRICS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """(id, host, text hash, metrics, n_removed_words, kept), one row per row of ``docs``.
+def normal(line: Column) -> Column:
+    return F.lower(F.trim(F.regexp_replace(line, f"[{SPACE}]+", " ")))
+
+
+def quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", share: float = LINE_SHARE, spare: bool = False) -> DataFrame:
+    """(id, host, text hash, metrics, n_removed_words, removed line hashes, kept), one row per row of ``docs``.
+
+    A line is frequent in more than LINE_DOCS texts of its host and more than ``share`` of them;
+    with 0 the limit does not rise with the host. ``spare`` leaves it in one text of the host, the
+    one with the least hash, so that a group of near copies is not lost altogether.
 
     A null host is a host of its own. Rows that repeat id, host and text get the same result.
     Only hashes and counts are shuffled, never a text; counts are pre-aggregated, so a frequent
@@ -85,7 +93,6 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: s
     keys = ["_id", "_host", "_hash"]
     rows = docs.select(F.col(id_col).alias("_id"), F.col(host).alias("_host"), F.col(text).alias("_text"))
     rows = base_metrics(rows.withColumn("_hash", F.xxhash64("_text")), "_text")
-    normal = lambda line: F.lower(F.trim(F.regexp_replace(line, f"[{SPACE}]+", " ")))
     blanks = lambda line: F.length(line) - F.length(F.translate(line, " ", ""))
     hashed = F.transform(F.transform("_lines", normal), lambda n: F.struct(F.xxhash64(n).alias("h"), (blanks(n) + 1).cast("bigint").alias("w")))
     rows = stored(rows.select(*keys, *METRICS, hashed.alias("_lines")), "quality")
@@ -93,19 +100,33 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: s
     texts = rows.select("_host", "_hash")
     hosts = texts.distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("n_docs"))
     lines = rows.select("_host", "_hash", F.explode(F.array_distinct(F.transform("_lines", lambda x: x["h"]))).alias("h"))
-    counts = lines.distinct().groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > LINE_DOCS)
-    common = join_on(counts, hosts, ["_host"], nulls=("_host",)).where(F.col("n") > LINE_SHARE * F.col("n_docs")).select("_host", "h")
+    counts = lines.distinct().groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n"), F.min("_hash").alias("_spared")).where(F.col("n") > LINE_DOCS)
+    common = join_on(counts, hosts, ["_host"], nulls=("_host",)).where(F.col("n") > share * F.col("n_docs")).select("_host", "h", "_spared")
 
     once = rows.select(*keys, "_lines").dropDuplicates(keys).select(*keys, F.inline("_lines"))
-    removed = join_on(once, common, ["_host", "h"], nulls=("_host",)).groupBy(*keys).agg(F.sum("w").alias("_removed"))
+    found = join_on(once, common, ["_host", "h"], nulls=("_host",))
+    if spare:
+        found = found.where(F.col("_hash") != F.col("_spared"))
+    removed = found.groupBy(*keys).agg(F.sum("w").alias("_removed"), F.collect_set("h").alias("_gone"))
     joined = join_on(rows, removed, keys, "left", nulls=("_id", "_host"))
-    joined = joined.select(*keys, *METRICS, F.coalesce("_removed", F.lit(0)).alias("n_removed_words"))
+    joined = joined.select(*keys, *METRICS, F.coalesce("_removed", F.lit(0)).alias("n_removed_words"), "_gone")
     enough = F.col("n_words") - F.col("n_removed_words") >= REMAINING * F.col("n_words")
     return joined.withColumn("kept", ~F.col("base_failed") & enough)
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source") -> DataFrame:
-    """Rows of ``docs`` that are kept, with their columns as they are."""
-    verdicts = quality(docs, id_col, text, host).where(~F.col("kept")).select("_id", "_host", "_hash").distinct()
+def clean_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", share: float = LINE_SHARE, spare: bool = False) -> DataFrame:
+    """Rows of ``docs`` that are kept, their frequent lines taken out of ``text``, and n_removed_words."""
+    verdicts = quality(docs, id_col, text, host, share, spare).where(~F.col("kept") | F.col("_gone").isNotNull())
+    verdicts = verdicts.select("_id", "_host", "_hash", "kept", "n_removed_words", "_gone").dropDuplicates(["_id", "_host", "_hash"])
+    verdicts = verdicts.withColumnsRenamed({"kept": "_kept", "n_removed_words": "_words"})
     marked = docs.withColumns({"_id": F.col(id_col), "_host": F.col(host), "_hash": F.xxhash64(text)})
-    return join_on(marked, verdicts, ["_id", "_host", "_hash"], "left_anti", nulls=("_id", "_host")).drop("_id", "_host", "_hash")
+    joined = join_on(marked, verdicts, ["_id", "_host", "_hash"], "left", nulls=("_id", "_host")).where(F.coalesce("_kept", F.lit(True)))
+    left = F.array_join(F.filter(F.split(text, "\n", -1), lambda line: ~F.array_contains("_gone", F.xxhash64(normal(line)))), "\n")
+    joined = joined.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(left))
+    joined = joined.withColumn("n_removed_words", F.coalesce("_words", F.lit(0)))
+    return joined.drop("_id", "_host", "_hash", "_kept", "_words", "_gone")
+
+
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", share: float = LINE_SHARE, spare: bool = False) -> DataFrame:
+    """``clean_good`` with the columns of ``docs`` alone."""
+    return clean_good(docs, id_col, text, host, share, spare).select(*[F.col(f"`{c}`") for c in docs.columns])
