@@ -1,6 +1,7 @@
 """Lines that the stages of the pipeline take out, beyond what op6 and op2 do by their SQL."""
 
 import corpus_pipeline
+from kinetable.llm import quality
 
 SCHEMA = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
 
@@ -34,3 +35,9 @@ def test_near_copies_of_a_source_do_not_go_altogether(spark):
     shared = "\n".join(own(900 + k, 20) for k in range(10))
     got = stage("quality_rules", spark, table(spark, [f"{shared}\nend {chr(97 + i)}" for i in range(20)]))
     assert len(got) == 1 and shared in next(iter(got.values()))
+
+
+def test_removed_lines_are_out_of_the_texts(spark):
+    texts = [own(i) + "\nMENU of this  site" for i in range(16)] + [own(16)]
+    got = {r["doc_id"]: r["text"] for r in quality.keep_good(table(spark, texts)).collect()}
+    assert got == {i: own(i) for i in range(17)}
