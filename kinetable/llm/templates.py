@@ -23,15 +23,21 @@ LEAD = 2
 MIN_DOCS = 3
 #: share of the tokens that one variable field may take: lines agree in 0.8 or more
 FIELD = 0.2
+#: a passage has more tokens than this
+PASSAGE = 50
 
 
-def line_templates(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(_id, _hash, _no, _keys): template hashes of every line with enough tokens."""
+def line_templates(docs: DataFrame, id_col: str, text: str, every: bool = False) -> DataFrame:
+    """(_id, _hash, _no, _keys, _least_docs): template hashes of every line with enough tokens, and documents to recur.
+
+    ``every``: lines of one or two tokens are whole-line templates too, and passages recur from two documents on.
+    """
     rows = docs.where(F.col(text).isNotNull()).select(
         F.col(id_col).alias("_id"), F.xxhash64(text).alias("_hash"), F.posexplode(F.split(text, "\n", -1)).alias("_no", "_line")
     )
     masked = F.regexp_replace(F.btrim("_line", F.lit(BLANKS)), "[0-9]+", "0")
-    rows = rows.select("_id", "_hash", "_no", F.split(masked, f"[{SPACE}]+").alias("_tokens")).where(F.size("_tokens") >= MIN_TOKENS)
+    rows = rows.select("_id", "_hash", "_no", F.split(masked, f"[{SPACE}]+").alias("_tokens"))
+    rows = rows.where((F.size("_tokens") >= MIN_TOKENS) | (F.lit(every) & (F.element_at("_tokens", 1) != "")))
     n = F.size("_tokens")
     rows = rows.withColumns({"_n": n, "_w": F.floor(n * FIELD).cast("int"), "_path": F.xxhash64(n, F.slice("_tokens", 1, LEAD))})
     # hash of every run of tokens below the path; in short lines all of them are one run
@@ -44,28 +50,31 @@ def line_templates(docs: DataFrame, id_col: str, text: str) -> DataFrame:
         "_runs", lambda h, b: F.xxhash64("_path", b, F.concat(F.slice("_runs", F.lit(1), b), F.slice("_runs", b + 2, F.size("_runs"))))
     )
     keys = F.when(F.col("_w") > 0, fields).otherwise(F.array(F.xxhash64("_path", F.lit(-1), "_runs")))
-    return rows.select("_id", "_hash", "_no", keys.alias("_keys"))
+    least = F.when(F.lit(every) & (F.col("_n") > PASSAGE), F.lit(2)).otherwise(F.lit(MIN_DOCS))
+    return rows.select("_id", "_hash", "_no", keys.alias("_keys"), least.alias("_least_docs"))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", every: bool = False) -> DataFrame:
     """(_id, _hash, _drop): for every document with such lines the sorted numbers (from 0) of those to drop.
 
     Rows that repeat id and text count once. Rows without an id are one document. Only hashes
     are shuffled. Counting is pre-aggregated, and a template's rows are split over tasks by the
     join, so a line of all documents does not meet in one task.
     """
-    lines = stored(line_templates(docs, id_col, text), "templates")
-    keyed = lines.select("_id", "_hash", "_no", F.explode("_keys").alias("_key"))
-    often = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_least"), F.max("_id").alias("_most"))
-    often = often.where((F.col("_rows") >= MIN_DOCS) & (F.col("_least") < F.col("_most"))).select("_key")
+    lines = stored(line_templates(docs, id_col, text, every), "templates")
+    keyed = lines.select("_id", "_hash", "_no", "_least_docs", F.explode("_keys").alias("_key"))
+    # a key holds the number of tokens, so all its rows have one limit
+    limit = F.max("_least_docs").alias("_limit")
+    often = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_least"), F.max("_id").alias("_most"), limit)
+    often = often.where((F.col("_rows") >= F.col("_limit")) & (F.col("_least") < F.col("_most"))).select("_key")
     # only rows of templates that repeat go on: few, and the exact count needs a document once
     repeated = stored(keyed.join(often, "_key"), "templates")
     recurring = (
         repeated.groupBy("_key", "_id")
-        .agg(F.lit(1).alias("_one"))
+        .agg(F.max("_least_docs").alias("_least_docs"))
         .groupBy("_key")
-        .agg(F.count("_one").alias("_docs"), F.min("_id").alias("_first"))
-        .where(F.col("_docs") >= MIN_DOCS)
+        .agg(F.count("_least_docs").alias("_docs"), F.min("_id").alias("_first"), limit)
+        .where(F.col("_docs") >= F.col("_limit"))
         .select("_key", "_first")
     )
     # stored, so that the join below is a plain one, whose hot keys Spark can split
@@ -74,12 +83,12 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -
     return later.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("_no")).alias("_drop"))
 
 
-def drop_template_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_template_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", every: bool = False) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``, and n_lines, n_dropped (long).
 
-    One row per row. A null text stays null with 0 lines; a text may end up empty.
+    ``every`` as in ``line_templates``. One row per row. A null text stays null with 0 lines; a text may end up empty.
     """
-    drops = dropped_lines(docs, id_col, text)
+    drops = dropped_lines(docs, id_col, text, every)
     marked = docs.withColumns({"_id": F.col(id_col), "_hash": F.xxhash64(text)})
     joined = join_on(marked, drops, ["_id", "_hash"], "left", nulls=("_id",)).drop("_id", "_hash")
     lines = F.split(text, "\n", -1)

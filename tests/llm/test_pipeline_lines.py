@@ -1,5 +1,7 @@
 """Lines that the stages of the pipeline take out, beyond what op6 and op2 do by their SQL."""
 
+import pytest
+
 import corpus_pipeline
 from kinetable.llm import quality
 
@@ -41,3 +43,17 @@ def test_removed_lines_are_out_of_the_texts(spark):
     texts = [own(i) + "\nMENU of this  site" for i in range(16)] + [own(16)]
     got = {r["doc_id"]: r["text"] for r in quality.keep_good(table(spark, texts)).collect()}
     assert got == {i: own(i) for i in range(17)}
+
+
+def test_passages_recur_from_two_documents_on(spark):
+    passage, short = own(500, 51), own(501, 50)
+    texts = [f"{own(i, 20)}\n{passage}\n{short}" for i in range(2)]
+    got = stage("line_dedup", spark, table(spark, texts))
+    assert got == {0: texts[0], 1: f"{own(1, 20)}\n{short}"}
+
+
+@pytest.mark.parametrize("line", ["Read more", "les."])
+def test_short_lines_recur(spark, line):
+    texts = [f"{own(i, 20)}\n\n{line}\n" for i in range(3)]
+    got = stage("line_dedup", spark, table(spark, texts))
+    assert got == {0: texts[0], 1: f"{own(1, 20)}\n\n", 2: f"{own(2, 20)}\n\n"}
