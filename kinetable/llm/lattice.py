@@ -26,9 +26,10 @@ from kinetable.llm.common import join_on, stored
 from kinetable.llm.components import components
 
 COSINE = 0.95
-#: tables, E8 blocks of a cell, size of the lattice, neighbouring cells probed in each table; a smaller
+#: tables, E8 blocks of a cell, size of the lattice at DIM dimensions, neighbouring cells probed in each table; a smaller
 #: lattice or more blocks give more cells, for more vectors, at some recall near the limit
-TABLES, BLOCKS, SCALE, PROBES = 10, 2, 0.22, 8
+TABLES, BLOCKS, SCALE, PROBES = 10, 2, 0.25, 8
+DIM = 64
 SEED = 20_240
 #: home vectors that one unit of work holds, and queries that it is asked, about
 UNIT, QUERIES = 256, 512
@@ -83,8 +84,12 @@ def _cell(points: np.ndarray, dim: int, number: int) -> np.ndarray:
 
 
 def cells(vectors: np.ndarray, tables: int = TABLES, blocks: int = BLOCKS, scale: float = SCALE, probes: int = PROBES) -> tuple[np.ndarray, np.ndarray]:
-    """Home cells (n, tables) and probed cells (n, tables, probes) of unit vectors (n, dim)."""
+    """Home cells (n, tables) and probed cells (n, tables, probes) of unit vectors (n, dim).
+
+    A projection keeps less of a difference the more dimensions there are, so the lattice shrinks with them.
+    """
     n, dim = vectors.shape
+    scale = scale * (DIM / max(dim, 8)) ** 0.5
     steps = minimal_vectors()
     home, near = np.empty((n, tables), np.int64), np.empty((n, tables, probes), np.int64)
     for t in range(tables):
