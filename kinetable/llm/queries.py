@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetable.llm import bytebpe, langid, lattice, mixing, oracles, quality, simhash, templates, tokens, toxicity, urlrules
+from kinetable.llm import bytebpe, hardnegatives, langid, lattice, mixing, oracles, quality, repair, simhash, sitetemplates, templates, tokens, toxicity, urlrules
 from kinetable.llm.common import table
 from kinetable.llm.sampling import sample_ids
 
@@ -116,3 +116,20 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = labels.select("id", F.when(F.col("bad") == 1, "block").otherwise("allow").alias("verdict"))
     found = urlrules.judge(table(spark, sf_dir, "pages"), labels, URL_RULES)
     return found.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+@query("op11_site_templates")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sitetemplates.extract(table(spark, sf_dir, "pages"), ["page_id", "url"])
+
+
+@query("op12_hard_negatives")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.pmod("vec_id", F.lit(7)) == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return hardnegatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.pmod("id", F.lit(100)) == 0, label=label)
+
+
+@query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return repair.repair_summary(conversations, repair.damage(conversations))

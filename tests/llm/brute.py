@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import re
+import zlib
 from collections import Counter, defaultdict
 
 import xxhash
@@ -113,3 +116,82 @@ def targets(sizes):
         if not over:
             return {s: 3.0 * sizes[s] if s in full else free * weight[s] / share for s in order}
         full |= over
+
+
+BLANKS = " \t\n\x0b\x0c\r"
+
+
+def damage(rows):
+    """Rows (conv, turn, role, text) with the faults that the crc32 of conv:turn plants."""
+    out = []
+    for conv, turn, role, text in rows:
+        role, text = " " if role is None else role, " " if text is None else text
+        kind = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if kind == 0:
+            continue
+        text = "" if kind == 1 else re.sub("[.!?]", "", text) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def ordered(rows):
+    """Rows of one conversation in order."""
+    same = lambda r: hashlib.md5(f"{len(r[2])}:{r[2]}{r[3]}".encode()).hexdigest()
+    return sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, same(r)))
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, sha256) of one conversation, by Dijkstra over all edits."""
+    rows = ordered(rows)
+    seen, faults = set(), []
+    for _, _, role, text in rows:
+        end = text.rstrip(BLANKS)
+        fault = "blank" if not end else "duplicate" if (role, text) in seen else "truncated" if end[-1] not in ".!?" else None
+        seen.add((role, text))
+        faults.append(fault)
+    turns = {r[1] for r in rows if r[1] is not None}
+    gaps = max(turns) - min(turns) + 1 - len(turns) if turns else 0
+    pairs = [a[2][:1] + b[2][:1] for a, b in zip(rows, rows[1:], strict=False)]
+    # (cost, audit, row, place in the pattern, repaired lines): cheapest first, then ASCII-least
+    heap, done = [(0, "", 0, 0, ())], set()
+    while True:
+        cost, audit, at, state, lines = heapq.heappop(heap)
+        if at == len(rows) and state in (0, 3):
+            digest = hashlib.sha256("\n".join(lines).encode()).hexdigest()
+            return (gaps, *[faults.count(f) for f in ("blank", "duplicate", "truncated")], sum(p not in ("su", "ua", "au") for p in pairs), cost, audit, digest)
+        if (at, state) in done:
+            continue
+        done.add((at, state))
+        new, after = ("assistant", 3) if state == 2 else ("user", 2)
+        heapq.heappush(heap, (cost + 2, audit + "I", at, after, (*lines, f"{new}:")))
+        if at == len(rows):
+            continue
+        _, _, role, text = rows[at]
+        late = faults[at] == "truncated"
+        heapq.heappush(heap, (cost + 3, audit + "D", at + 1, state, lines))
+        if faults[at] in ("blank", "duplicate"):
+            continue
+        heapq.heappush(heap, (cost + 2 + late, audit + "R", at + 1, after, (*lines, f"{new}:{text}")))
+        legal = {(0, "s"): 1, (0, "u"): 2, (1, "u"): 2, (2, "a"): 3, (3, "u"): 2}.get((state, role[:1]))
+        if legal is not None:
+            heapq.heappush(heap, (cost + late, audit + "K", at + 1, legal, (*lines, f"{role}:{text}")))
+
+
+def repair(conversations):
+    """{conv: row of ``repaired``} for every conv of (conv, turn, role, text)."""
+    damaged = damage(conversations)
+    return {c: repaired([r for r in damaged if r[0] == c]) for c in {r[0] for r in conversations}}
+
+
+def hard_negatives(rows, anchor):
+    """Sorted (anchor, positive, rank, negative, positive score, negative score) of (id, label, whole numbers)."""
+    out = []
+    for i, (aid, alabel, a) in enumerate(rows):
+        if not anchor(aid):
+            continue
+        scored = [(-sum(x * y for x, y in zip(a, v, strict=True)), vid, label) for k, (vid, label, v) in enumerate(rows) if k != i and len(v) == len(a)]
+        scored.sort(key=lambda s: s[:2])
+        for p, pid, _ in [s for s in scored if s[2] == alabel][:5]:
+            fits = [(s, vid) for s, vid, label in scored if label != alabel and 80 * -p <= 100 * -s <= 100 * -p]
+            out += [(aid, pid, rank, vid, -p, -s) for rank, (s, vid) in enumerate(fits[:5], 1)]
+    return sorted(out)

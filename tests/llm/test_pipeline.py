@@ -69,7 +69,7 @@ def test_all_queries_are_registered():
 
     names = set(__spark_entry__.queries())
     assert "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op") and n[2].isdigit()) == list(range(1, 14))
 
 
 def test_whole_texts_are_read(spark, sf):
