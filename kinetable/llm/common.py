@@ -16,10 +16,6 @@ from kinetable.session import remove, scratch_dir
 SPACE = r"\x20\x09-\x0D"
 BLANKS = " \t\n\x0b\x0c\r"
 
-#: rows of texts in one Arrow batch between the JVM and Python
-ARROW_ROWS = 2_000
-_ARROW_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
-
 TABLES = {
     "documents": "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG",
     "embeddings": "vec_id LONG, embedding ARRAY<FLOAT>, label INT",
@@ -70,11 +66,9 @@ def map_texts(
 ) -> DataFrame:
     """``keep`` columns of ``df`` and new columns (name, Spark type, Arrow type) from ``fn`` over the texts of a batch.
 
-    No shuffle: every Arrow batch is handled on its own. ``fn`` gives one list per new column.
-    Texts are long, so the session's Arrow batches are lowered to ARROW_ROWS rows.
+    No shuffle: every Arrow batch, which Spark bounds by its bytes, is handled on its own in small
+    steps. ``fn`` gives one list per new column.
     """
-    if int(df.sparkSession.conf.get(_ARROW_CONF)) > ARROW_ROWS:
-        df.sparkSession.conf.set(_ARROW_CONF, str(ARROW_ROWS))
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema.fields]
     schema = ", ".join(fields + [f"`{n}` {t}" for n, t, _ in new])
     names = [*keep, *[n for n, _, _ in new]]

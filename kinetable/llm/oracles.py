@@ -31,7 +31,7 @@ word_line AS (SELECT *, lower(trim(regexp_replace(line, '{SPACE}', ' ', 'g'))) A
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM word_line GROUP BY 1),
 host AS (SELECT source, count(DISTINCT text) AS docs FROM d GROUP BY 1),
 freq AS (SELECT source, norm, count(DISTINCT text) AS n FROM word_line GROUP BY 1, 2),
-common AS (SELECT freq.source, norm FROM freq JOIN host ON host.source IS NOT DISTINCT FROM freq.source WHERE n > 10 AND n > 0.5 * docs),
+common AS (SELECT freq.source, norm FROM freq JOIN host ON host.source IS NOT DISTINCT FROM freq.source WHERE n > 10 AND 100 * n > docs),
 removed AS (SELECT doc_id, CAST(sum(len(string_split(word_line.norm, ' '))) AS BIGINT) AS n FROM word_line JOIN common ON common.source IS NOT DISTINCT FROM word_line.source AND common.norm = word_line.norm GROUP BY 1),
 m AS (SELECT w.doc_id, len(words) AS n_words, length(regexp_replace(text, '{SPACE}', '', 'g')) AS word_chars, length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
   coalesce(dup.n, 0) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words, coalesce(removed.n, 0) AS n_removed_words

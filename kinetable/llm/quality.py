@@ -15,8 +15,8 @@ from kinetable.llm.common import BLANKS, SPACE, join_on, stored
 
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
-#: a line is frequent in more than this many documents of its host, and more than this share of them
-LINE_DOCS, LINE_SHARE = 10, 0.5
+#: a line is frequent in more than this many documents of its host, and more than this percentage of them
+LINE_DOCS, LINE_PERCENT = 10, 1
 #: a document is depleted when less than this share of its words remains
 REMAINING = 0.5
 #: up to so many different repeated windows are looked up directly, more by a sort
@@ -79,12 +79,13 @@ def normal(line: Column) -> Column:
     return F.lower(F.trim(F.regexp_replace(line, f"[{SPACE}]+", " ")))
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", share: float = LINE_SHARE, spare: bool = False) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", percent: int = LINE_PERCENT, spare: bool = False) -> DataFrame:
     """(id, host, text hash, metrics, n_removed_words, removed line hashes, kept), one row per row of ``docs``.
 
-    A line is frequent in more than LINE_DOCS texts of its host and more than ``share`` of them;
-    with 0 the limit does not rise with the host. ``spare`` leaves it in one text of the host, the
-    one with the least hash, so that a group of near copies is not lost altogether.
+    A line is frequent in more than LINE_DOCS texts of its host and more than ``percent`` percent of
+    them: the count keeps the lines of a small host, the percentage the ordinary short lines of a
+    host of millions. ``spare`` leaves it in one text of the host, the one with the least hash, so
+    that a group of near copies is not lost altogether.
 
     A null host is a host of its own. Rows that repeat id, host and text get the same result.
     Only hashes and counts are shuffled, never a text; counts are pre-aggregated, so a frequent
@@ -101,7 +102,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: s
     hosts = texts.distinct().groupBy("_host").agg(F.count(F.lit(1)).alias("n_docs"))
     lines = rows.select("_host", "_hash", F.explode(F.array_distinct(F.transform("_lines", lambda x: x["h"]))).alias("h"))
     counts = lines.distinct().groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n"), F.min("_hash").alias("_spared")).where(F.col("n") > LINE_DOCS)
-    common = join_on(counts, hosts, ["_host"], nulls=("_host",)).where(F.col("n") > share * F.col("n_docs")).select("_host", "h", "_spared")
+    common = join_on(counts, hosts, ["_host"], nulls=("_host",)).where(100 * F.col("n") > percent * F.col("n_docs")).select("_host", "h", "_spared")
 
     once = rows.select(*keys, "_lines").dropDuplicates(keys).select(*keys, F.inline("_lines"))
     found = join_on(once, common, ["_host", "h"], nulls=("_host",))
@@ -114,9 +115,9 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: s
     return joined.withColumn("kept", ~F.col("base_failed") & enough)
 
 
-def clean_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", share: float = LINE_SHARE, spare: bool = False) -> DataFrame:
+def clean_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", percent: int = LINE_PERCENT, spare: bool = False) -> DataFrame:
     """Rows of ``docs`` that are kept, their frequent lines taken out of ``text``, and n_removed_words."""
-    verdicts = quality(docs, id_col, text, host, share, spare).where(~F.col("kept") | F.col("_gone").isNotNull())
+    verdicts = quality(docs, id_col, text, host, percent, spare).where(~F.col("kept") | F.col("_gone").isNotNull())
     verdicts = verdicts.select("_id", "_host", "_hash", "kept", "n_removed_words", "_gone").dropDuplicates(["_id", "_host", "_hash"])
     verdicts = verdicts.withColumnsRenamed({"kept": "_kept", "n_removed_words": "_words"})
     marked = docs.withColumns({"_id": F.col(id_col), "_host": F.col(host), "_hash": F.xxhash64(text)})
@@ -127,6 +128,6 @@ def clean_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host
     return joined.drop("_id", "_host", "_hash", "_kept", "_words", "_gone")
 
 
-def keep_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", share: float = LINE_SHARE, spare: bool = False) -> DataFrame:
+def keep_good(docs: DataFrame, id_col: str = "doc_id", text: str = "text", host: str = "source", percent: int = LINE_PERCENT, spare: bool = False) -> DataFrame:
     """``clean_good`` with the columns of ``docs`` alone."""
-    return clean_good(docs, id_col, text, host, share, spare).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return clean_good(docs, id_col, text, host, percent, spare).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -54,10 +54,11 @@ def line_templates(docs: DataFrame, id_col: str, text: str, every: bool = False)
     return rows.select("_id", "_hash", "_no", keys.alias("_keys"), least.alias("_least_docs"))
 
 
-def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", every: bool = False) -> DataFrame:
+def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", every: bool = False, groups: DataFrame | None = None) -> DataFrame:
     """(_id, _hash, _drop): for every document with such lines the sorted numbers (from 0) of those to drop.
 
-    Rows that repeat id and text count once. Rows without an id are one document. Only hashes
+    Documents of one group of ``groups(id, group)`` count as one, and its lines stay in all of them
+    or in none: a later step that compares the documents finds them alike as before. Rows that repeat id and text count once. Rows without an id are one document. Only hashes
     are shuffled. Counting is pre-aggregated, and a template's rows are split over tasks by the
     join, so a line of all documents does not meet in one task.
     """
@@ -68,27 +69,31 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", e
     often = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_rows"), F.min("_id").alias("_least"), F.max("_id").alias("_most"), limit)
     often = often.where((F.col("_rows") >= F.col("_limit")) & (F.col("_least") < F.col("_most"))).select("_key")
     # only rows of templates that repeat go on: few, and the exact count needs a document once
-    repeated = stored(keyed.join(often, "_key"), "templates")
+    repeated = keyed.join(often, "_key").withColumn("_doc", F.col("_id"))
+    if groups is not None:
+        named = groups.select(F.col("id").alias("_member"), F.col("group").alias("_group"))
+        repeated = repeated.join(named, F.col("_id") == F.col("_member"), "left").withColumn("_doc", F.coalesce("_group", "_id")).drop("_member", "_group")
+    repeated = stored(repeated, "templates")
     recurring = (
-        repeated.groupBy("_key", "_id")
+        repeated.groupBy("_key", "_doc")
         .agg(F.max("_least_docs").alias("_least_docs"))
         .groupBy("_key")
-        .agg(F.count("_least_docs").alias("_docs"), F.min("_id").alias("_first"), limit)
+        .agg(F.count("_least_docs").alias("_docs"), F.min("_doc").alias("_first"), limit)
         .where(F.col("_docs") >= F.col("_limit"))
         .select("_key", "_first")
     )
     # stored, so that the join below is a plain one, whose hot keys Spark can split
     recurring = stored(recurring, "templates")
-    later = repeated.join(recurring, "_key").where(~F.col("_id").eqNullSafe(F.col("_first")))
+    later = repeated.join(recurring, "_key").where(~F.col("_doc").eqNullSafe(F.col("_first")))
     return later.groupBy("_id", "_hash").agg(F.sort_array(F.collect_set("_no")).alias("_drop"))
 
 
-def drop_template_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", every: bool = False) -> DataFrame:
+def drop_template_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", every: bool = False, groups: DataFrame | None = None) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``, and n_lines, n_dropped (long).
 
-    ``every`` as in ``line_templates``. One row per row. A null text stays null with 0 lines; a text may end up empty.
+    ``every`` as in ``line_templates``, ``groups`` as in ``dropped_lines``. One row per row. A null text stays null with 0 lines; a text may end up empty.
     """
-    drops = dropped_lines(docs, id_col, text, every)
+    drops = dropped_lines(docs, id_col, text, every, groups)
     marked = docs.withColumns({"_id": F.col(id_col), "_hash": F.xxhash64(text)})
     joined = join_on(marked, drops, ["_id", "_hash"], "left", nulls=("_id",)).drop("_id", "_hash")
     lines = F.split(text, "\n", -1)

@@ -58,7 +58,7 @@ def quality(docs):
                 dup += line in seen
                 seen.add(line)
                 n = len(lines_of[host, normal(line)])
-                if n > 10 and n > 0.5 * len(docs_of[host]):
+                if n > 10 and 100 * n > len(docs_of[host]):
                     removed += len(WORD.findall(line))
         windows = list(zip(words, words[1:], words[2:], strict=False))
         count = Counter(windows)
@@ -69,12 +69,37 @@ def quality(docs):
     return out
 
 
-def line_keys(line):
+def without_frequent_lines(docs):
+    """{id: text} for (id, text, host): frequent lines of a host go, but for its text of the least hash."""
+    holders, hosts = defaultdict(set), defaultdict(set)
+    normal = lambda line: " ".join(WORD.findall(line)).lower()
+    least = lambda text: xxhash.xxh64_intdigest(text.encode(), 42) + (1 << 63) & (1 << 64) - 1
+    for _, text, host in docs:
+        hosts[host].add(text or "")
+        for line in (text or "").split("\n"):
+            if WORD.search(line):
+                holders[host, normal(line)].add(text)
+    common = {k: min(t, key=least) for k, t in holders.items() if len(t) > 10 and 100 * len(t) > len(hosts[k[0]])}
+    return {i: "\n".join(x for x in text.split("\n") if common.get((host, normal(x)), text) == text) for i, text, host in docs if text is not None}
+
+
+def shingles(text, width=5):
+    words = WORD.findall((text or "").translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")))
+    return {tuple(words[i : i + width]) for i in range(len(words) - width + 1)} or {tuple(words)}
+
+
+def near_groups(texts):
+    """{id: smallest id reachable} over Jaccard similarities of 0.8 or more."""
+    sets = {i: shingles(t) for i, t in texts.items()}
+    return groups(sets, lambda a, b: len(sets[a] & sets[b]) * 5 >= 4 * len(sets[a] | sets[b]))
+
+
+def line_keys(line, every=False):
     """Templates of one line as tuples."""
     tokens = re.sub("[0-9]+", "0", " ".join(WORD.findall(line))).split(" ")
     n = len(tokens)
     if n < 3:
-        return []
+        return [(n, tuple(tokens))] if every and tokens[0] else []
     keys, w = [(n, tuple(tokens))], int(n * 0.2 + 1e-9)
     if w:
         rest = tokens[2:]
@@ -83,13 +108,13 @@ def line_keys(line):
     return keys
 
 
-def clean_lines(docs):
-    """{(id, text): cleaned text} for (id, text)."""
-    holders = defaultdict(set)
+def clean_lines(docs, every=False, group=None):
+    """{(id, text): cleaned text} for (id, text); ids of one ``group`` count as one document."""
+    holders, group = defaultdict(set), group or {}
     for i, text in docs:
         for line in (text or "").split("\n"):
-            for k in line_keys(line):
-                holders[k].add(i)
+            for k in line_keys(line, every):
+                holders[k].add(group.get(i, i))
     out = {}
     for i, text in docs:
         if text is None:
@@ -97,8 +122,8 @@ def clean_lines(docs):
             continue
         stay = []
         for line in text.split("\n"):
-            hit = [holders[k] for k in line_keys(line) if len(holders[k]) >= 3]
-            if all(min(x for x in h if x is not None) == i for h in hit):
+            hit = [holders[k] for k in line_keys(line, every) if len(holders[k]) >= (2 if every and k[0] > 50 else 3)]
+            if all(min(x for x in h if x is not None) == group.get(i, i) for h in hit):
                 stay.append(line)
         out[i, text] = "\n".join(stay)
     return out

@@ -4,6 +4,7 @@ import pytest
 
 import corpus_pipeline
 from kinetable.llm import quality
+from kinetable.llm.common import stored
 
 SCHEMA = "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG"
 
@@ -47,13 +48,43 @@ def test_removed_lines_are_out_of_the_texts(spark):
 
 def test_passages_recur_from_two_documents_on(spark):
     passage, short = own(500, 51), own(501, 50)
-    texts = [f"{own(i, 20)}\n{passage}\n{short}" for i in range(2)]
+    texts = [f"{own(i, 60)}\n{passage}\n{short}" for i in range(2)]
     got = stage("line_dedup", spark, table(spark, texts))
-    assert got == {0: texts[0], 1: f"{own(1, 20)}\n{short}"}
+    assert got == {0: texts[0], 1: f"{own(1, 60)}\n{short}"}
 
 
 @pytest.mark.parametrize("line", ["Read more", "les."])
 def test_short_lines_recur(spark, line):
-    texts = [f"{own(i, 20)}\n\n{line}\n" for i in range(3)]
+    texts = [f"{own(i, 60)}\n\n{line}\n" for i in range(3)]
     got = stage("line_dedup", spark, table(spark, texts))
-    assert got == {0: texts[0], 1: f"{own(1, 20)}\n\n", 2: f"{own(2, 20)}\n\n"}
+    assert got == {0: texts[0], 1: f"{own(1, 60)}\n\n", 2: f"{own(2, 60)}\n\n"}
+
+
+def test_a_document_left_too_short_goes(spark):
+    passage = own(500, 51)
+    texts = [f"{own(i, n)}\n{passage}" for i, n in enumerate([60, 60, 40])] + [own(7, 20)]
+    got = stage("line_dedup", spark, table(spark, texts))
+    # one that was short before and lost nothing is not this stage's business
+    assert got == {0: texts[0], 1: own(1, 60), 3: texts[3]}
+
+
+def test_near_copies_keep_their_lines_until_they_are_compared(spark):
+    words = own(300, 400).split(" ")
+    near = [" ".join([*words[:k], f"edit{chr(97 + k)}", *words[k + 1 :]]) for k in range(5)]
+    passage = own(500, 51)
+    texts = [f"{own(1, 60)}\n{passage}"] + [f"{t}\n{passage}\nlast line of it" for t in near] + [near[0]]
+    df = table(spark, texts)
+    got = stage("line_dedup", spark, df)
+    # the passage was in a document before the group; the group's own lines stay in each
+    assert got == {0: texts[0], **{i + 1: f"{t}\nlast line of it" for i, t in enumerate(near)}, 6: near[0]}
+    docs = dict(corpus_pipeline.STAGES)["line_dedup"](spark, df, "")
+    assert sorted(r["doc_id"] for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, "").collect()) == [0, 1]
+
+
+def test_repeated_rows_and_very_long_texts_go_through(spark, no_docs):
+    long = "\n".join(own(k, 40) for k in range(600)) + "\n" + "x" * 300_000
+    rows = [(1, long, "en", "a", len(long)), (1, long, "en", "a", len(long)), (2, long, None, None, None), (None, long, "en", "a", 1), (3, own(900), "en", "a", 1)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    for name, run in corpus_pipeline.STAGES[:3]:
+        docs = stored(run(spark, docs, ""), name)
+    assert sorted((r["doc_id"], len(r["text"])) for r in docs.collect()) == [(1, len(long)), (3, len(own(900)))]
