@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinetable.llm import mixing, nearcopies, quality, queries, templates
+from kinetable.llm import mixing, nearcopies, quality, queries, simhash, templates
 from kinetable.llm.common import stored, table
 
 
@@ -18,19 +18,31 @@ def with_n_chars(cleaned: DataFrame, taken: str, docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the quality rules go, and so do lines of more than ten texts of a source but for one; n_chars follows."""
-    cleaned = quality.clean_good(docs, share=0.0, spare=True)
+    """Documents that fail the quality rules go, and so do lines that are frequent in a source but for one text; n_chars follows."""
+    cleaned = quality.clean_good(docs, spare=True)
     return with_n_chars(cleaned, "n_removed_words", docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Recurring lines go, but for their first document; n_chars follows the text."""
-    return with_n_chars(templates.drop_template_lines(docs, every=True), "n_dropped", docs)
+    """Recurring lines go, but for their first document; n_chars follows the text.
+
+    Near copies count as one document and keep the lines they share, so the next stage still finds
+    them alike. A document that is left with too few words for the quality rules goes.
+    """
+    known = docs.where(F.col("doc_id").isNotNull())
+    groups = nearcopies.near_copies(known).groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("group"))
+    cleaned = templates.drop_template_lines(docs, every=True, groups=stored(groups, "groups"))
+    left = F.size(quality.words(F.col("text")))
+    return with_n_chars(cleaned.where((F.col("n_dropped") == 0) | (left >= quality.MIN_WORDS)), "n_dropped", docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest id."""
-    return nearcopies.drop_near_copies(docs)
+    """One document of each group stays: the one with the smallest id.
+
+    Groups are those of the SimHash fingerprints; among their first documents those of near copies,
+    which differ in more bits than segment tables can look up.
+    """
+    return nearcopies.drop_near_copies(stored(simhash.drop_near_duplicates(docs), "simhash"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
