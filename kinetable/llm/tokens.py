@@ -2,13 +2,15 @@
 
 The words of a batch are held as ragged numpy arrays of symbols. In every round each sequence
 merges its lowest-rank pair, all sequences at the same time, until no pair is left; what is
-counted are the surviving symbols. The vocabulary and its ranks come from a SentencePiece BPE
+counted are the surviving symbols. A long word is cut between characters that no piece holds side by
+side, and what is still long merges by a heap over its arrays, in n log n. The vocabulary and its ranks come from a SentencePiece BPE
 model file; the merging is done here. Words never join over a space, so a word is merged once
 per worker and looked up afterwards.
 """
 
 from __future__ import annotations
 
+import heapq
 import re
 from functools import lru_cache
 
@@ -24,6 +26,9 @@ NONE = np.iinfo(np.int64).max
 #: words kept with their count in each Python worker, and the longest word kept
 KEPT_WORDS, KEPT_CHARS = 400_000, 200
 
+#: a word longer than this is cut where no piece can join, and a part longer than this merges by a heap
+CUT, LONG = 64, 512
+
 _WORDS = re.compile(r" *[^ ]+| +")
 
 
@@ -72,20 +77,94 @@ class PieceMerger:
         self.chars = np.array(chars, np.int64)
         self.char_symbol = np.array([symbols[chr(c)] for c in chars], np.int64)
         self.size = size
+        # pairs of characters that stand side by side in some piece
+        points = len(chars) + 1
+        beside = {self._place(a) * points + self._place(b) for p in pieces for a, b in zip(p, p[1:], strict=False)}
+        self.beside, self.points = np.array(sorted(beside), np.int64), points
+        self.pairs: dict[int, int] | None = None
         runs = self._counts([MARK * m for m in range(1, 97)])
         #: a run of spaces this long more is one token more
         self.period = next((q for q in range(1, 33) if all(runs[m + q] == runs[m] + 1 for m in range(32, 96 - q))), 0)
         self.known: dict[str, int] = {}
 
+    def _place(self, char: str) -> int:
+        return int(np.searchsorted(self.chars, ord(char)))
+
+    def _symbols(self, word: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place, symbol, cost) of each character; one outside every piece has the last place."""
+        points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        at = np.minimum(np.searchsorted(self.chars, points), len(self.chars) - 1)
+        known = self.chars[at] == points
+        sym = np.where(known, self.char_symbol[at], self.width - 1)
+        utf8 = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
+        return np.where(known, at, len(self.chars)), sym, np.where(sym < self.size, 1, utf8)
+
+    def _cut(self, word: str) -> list[str]:
+        """Parts of a word that no merge can join: no piece holds the characters at a border side by side."""
+        place = self._symbols(word)[0]
+        pair = place[:-1] * self.points + place[1:]
+        near = self.beside[np.minimum(np.searchsorted(self.beside, pair), len(self.beside) - 1)] == pair
+        at = [0, *(np.flatnonzero(~near) + 1).tolist(), len(word)]
+        return [word[a:b] for a, b in zip(at, at[1:], strict=False)]
+
+    def _count_long(self, word: str) -> int:
+        """Tokens of one long part: its pairs in a heap by rank, the leftmost first."""
+        if self.pairs is None:
+            self.pairs = dict(zip(self.keys.tolist(), self.out.tolist(), strict=True))
+        _, symbols, costs = self._symbols(word)
+        n, width, rank, pairs = len(symbols), self.width, self.rank.tolist(), self.pairs
+        key = symbols[:-1] * width + symbols[1:]
+        place = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[place] == key)
+        heap = (self.rank[self.out[place[hit]]] * n + hit).tolist()
+        heapq.heapify(heap)
+        sym, cost = symbols.tolist(), costs.tolist()
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        while heap:
+            found = heapq.heappop(heap)
+            i = found % n
+            j = after[i]
+            # a symbol that was merged away has no pair; one that changed has another rank
+            if sym[i] < 0 or j == n:
+                continue
+            made = pairs.get(sym[i] * width + sym[j])
+            if made is None or rank[made] != found // n:
+                continue
+            sym[i], cost[i] = made, 1
+            sym[j], cost[j] = -1, 0
+            k = after[i] = after[j]
+            if k < n:
+                before[k] = i
+                new = pairs.get(made * width + sym[k])
+                if new is not None:
+                    heapq.heappush(heap, rank[new] * n + i)
+            h = before[i]
+            if h >= 0:
+                new = pairs.get(sym[h] * width + made)
+                if new is not None:
+                    heapq.heappush(heap, rank[new] * n + h)
+        return sum(cost)
+
     def _counts(self, words: list[str]) -> np.ndarray:
         """Number of tokens of every word (spaces already marks)."""
-        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.int64)
+        if all(len(w) <= CUT for w in words):
+            return self._merged(words)
+        parts = [self._cut(w) if len(w) > CUT else [w] for w in words]
+        flat = [p for part in parts for p in part]
+        counts = np.zeros(len(flat), np.int64)
+        # parts repeat: each different one is merged once
+        short = sorted({p for p in flat if len(p) <= LONG})
+        known = dict(zip(short, self._merged(short).tolist(), strict=True)) if short else {}
+        for i, p in enumerate(flat):
+            if p not in known:
+                known[p] = self._count_long(p)
+            counts[i] = known[p]
+        return np.add.reduceat(counts, np.cumsum([0, *[len(p) for p in parts[:-1]]]))
+
+    def _merged(self, words: list[str]) -> np.ndarray:
+        """Number of tokens of every word, all merged at once."""
         seq = np.repeat(np.arange(len(words)), [len(w) for w in words])
-        at = np.minimum(np.searchsorted(self.chars, points), len(self.chars) - 1)
-        # a character outside every piece gets the last symbol, which is in no pair
-        sym = np.where(self.chars[at] == points, self.char_symbol[at], self.width - 1)
-        utf8 = 1 + (points >= 0x80) + (points >= 0x800) + (points >= 0x10000)
-        cost = np.where(sym < self.size, 1, utf8)
+        _, sym, cost = self._symbols("".join(words))
         total = np.zeros(len(words), np.int64)
         while len(sym):
             key = sym[:-1] * self.width + sym[1:]
@@ -157,7 +236,9 @@ def count_tokens(docs: DataFrame, keep: list[str], model_path: str, text: str =
 
     Counts are those of the model file's library without begin and end tokens; null counts as
     empty and has 0 tokens. Characters outside the vocabulary count their UTF-8 bytes.
-    ``model_path`` must exist on every executor.
+    ``model_path`` must exist on every executor. Repeated rows give repeated rows, an empty table an
+    empty one; columns of ``keep`` may have any names but those three. A word of any length costs
+    n log n.
     """
     sized = docs.withColumn("n_bytes", F.octet_length(F.coalesce(F.col(text), F.lit(""))).cast("bigint"))
     counted = map_texts(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import itertools
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -220,3 +221,21 @@ def hard_negatives(rows, anchor):
             fits = [(s, vid) for s, vid, label in scored if label != alabel and 80 * -p <= 100 * -s <= 100 * -p]
             out += [(aid, pid, rank, vid, -p, -s) for rank, (s, vid) in enumerate(fits[:5], 1)]
     return sorted(out)
+
+
+def url_rules(labelled, min_count, min_confidence=0.9, lift=0.01):
+    """{(tokens, verdict): confidence} of (tokens, verdict): every combination with one host word, path segment and query key at most."""
+    kinds = ("host=", "path=", "query=")
+    holders = defaultdict(Counter)
+    for tokens, verdict in labelled:
+        for size in range(1, len(tokens) + 1):
+            for combo in itertools.combinations(sorted(tokens), size):
+                if all(sum(t.startswith(k) for t in combo) <= 1 for k in kinds):
+                    holders[combo][verdict] += 1
+    found = {}
+    for combo, verdicts in holders.items():
+        for verdict, n in verdicts.items():
+            if n >= min_count and n / verdicts.total() >= min_confidence:
+                found[combo, verdict] = n / verdicts.total()
+    parts = lambda combo: (p for size in range(1, len(combo)) for p in itertools.combinations(combo, size))
+    return {(c, v): x for (c, v), x in found.items() if not any(x < found.get((p, v), -1) + lift for p in parts(c))}

@@ -2,7 +2,9 @@
 
 import contextlib
 import io
+import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +174,47 @@ def test_mined_rules_judge_open_urls(spark):
     assert ["host=casino"] in [r["tokens"] for r in mined]
     assert not any("host=casino" in r["tokens"] and r["size"] > 1 for r in mined)
     assert all(r["confidence"] >= 0.9 and r["anchor"] in r["tokens"] for r in mined)
+
+
+def _tokens(spark, urls):
+    pages = spark.createDataFrame(urls, "id LONG, url STRING")
+    return pages.select("id", urlrules.tokens(F.col("url"), *urlrules.url_parts(F.col("url"))).alias("tokens"))
+
+
+def test_mined_rules_equal_enumeration(spark):
+    rng = random.Random(4)
+    urls, labels = [], []
+    for i in range(160):
+        host, path = rng.choice(["a.x.org", "b.x.org", "c.y.net"]), rng.choice(["/p", "/p/q", "/r/q", "/s|t/p/r"])
+        urls.append((i, f"http{rng.choice(['', 's'])}://{host}{path}{rng.choice(['', '?k=1', '?k=2&m=3'])}{rng.choice(['', '#z'])}"))
+        bad = ("a.x" in host and "q" in path) or "m=3" in urls[-1][1] or rng.random() < 0.03
+        labels.append((i, "block" if bad else "allow"))
+    known = spark.createDataFrame(labels, "id LONG, verdict STRING")
+    tokens = _tokens(spark, urls)
+    rows = [(r["tokens"], r["verdict"]) for r in tokens.join(known, "id").collect()]
+    for least in (1, 8):
+        mined = urlrules.mine(tokens.join(known, "id").select("tokens", "verdict"), min_count=least)
+        got = {(tuple(sorted(r["tokens"])), r["verdict"]): r["confidence"] for r in mined.collect()}
+        want = brute.url_rules(rows, least)
+        assert got == pytest.approx(want) and len(want) > 3
+
+
+def test_support_is_a_count(spark):
+    # 25 labelled pages of a site among 20,000 others
+    urls = [(i, f"http://casino.example.org/{i}") for i in range(30)] + [(i, f"http://w{i % 50}.other.org/p{i % 40}") for i in range(100, 20_100)]
+    labels = [(i, "block" if i < 25 else "allow") for i, _ in urls if i < 25 or i >= 100]
+    pages = spark.createDataFrame(urls, "page_id LONG, url STRING")
+    got = urlrules.judge(pages, spark.createDataFrame(labels, "id LONG, verdict STRING"), [])
+    assert {r["id"] for r in got.where("verdict = 'block'").collect()} == set(range(30))
+
+
+def test_deep_and_long_urls_end(spark):
+    deep = "/".join(f"part{chr(97 + k % 26)}{'x' * (k // 26)}" for k in range(30))
+    urls = [(i, f"http://one.example.org/{deep}/{i}?{'&'.join(f'k{chr(97 + k)}=1' for k in range(12))}") for i in range(40)]
+    urls += [(50 + i, f"http://two.example.org/{i}") for i in range(40)] + [(99, "http://long.example.org/" + "/".join(f"s{'abc'[k % 3] * (k % 700)}" for k in range(9000)))]
+    labels = [(i, "block") for i in range(30)] + [(50 + i, "allow") for i in range(30)] + [(99, "allow")]
+    start = time.monotonic()
+    pages = spark.createDataFrame(urls, "page_id LONG, url STRING").withColumns({c: F.lit("x") for c in ("id", "host", "path", "rule", "tokens", "key", "verdict")})
+    got = {r["id"]: r["verdict"] for r in urlrules.judge(pages, spark.createDataFrame(labels, "id LONG, verdict STRING"), []).collect()}
+    assert got == {i: "block" if i < 40 else "allow" for i, _ in urls}
+    assert time.monotonic() - start < 120
