@@ -9,7 +9,6 @@ of a bounded sample of the labelled texts. Prediction covers every whole text.
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
@@ -18,6 +17,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,18 +31,24 @@ MAX_TRAIN_DOCS = 20_000
 MAX_LANGUAGES = 500
 EM_STEPS = 2
 SMOOTH = 0.05
-#: longest stretch of letters scored as one word; longer ones are scored in parts of this length
+#: words of this length are scored many at a time; of a longer one only the sums over the longest piece are held
 MAX_WORD = 64
-KEPT_WORDS = 600_000
+KEPT_WORDS, KEPT_CHARS = 600_000, 200
 
-_WORD = re.compile(r"[^\W\d_]+")
+#: letters with the marks that belong to them, by their Unicode classes: no digits, fractions, or numbers made of letters
+_WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 
 
 def words_of(text: str) -> list[str]:
-    """Lower-case stretches of letters, marked at the start; other characters say nothing about a language."""
+    """Lower-case stretches of letters and marks, marked at the start; other characters say nothing about a language."""
+    return [MARK + w for w in _WORD.findall(text.lower())]
+
+
+def fitted_parts(text: str) -> list[str]:
+    """``words_of`` for the fit, which takes a long stretch in parts; only the first one starts a word."""
     out = []
-    for w in _WORD.findall(text.lower()):
-        out.append(MARK + w) if len(w) <= MAX_WORD else out.extend(MARK + w[i : i + MAX_WORD] for i in range(0, len(w), MAX_WORD))
+    for w in words_of(text):
+        out += [w] if len(w) <= MAX_WORD else [w[i : i + MAX_WORD] for i in range(0, len(w), MAX_WORD)]
     return out
 
 
@@ -57,7 +63,7 @@ class Vocabulary:
         for i in range(model.get_piece_size()):
             if not (model.is_control(i) or model.is_unknown(i) or model.is_byte(i)):
                 p = model.id_to_piece(i)
-                if re.fullmatch(f"{MARK}?[^\\W\\d_]*", p) and p == p.lower() and p:
+                if regex.fullmatch(MARK + r"?[\p{L}\p{M}]*", p) and p == p.lower() and p:
                     pieces.append(p)
         self.ids = {p: i for i, p in enumerate(dict.fromkeys(pieces))}
         #: a character that is no piece
@@ -164,6 +170,36 @@ class Lattices:
                 np.add.at(out, self.piece[j, k], share)
 
 
+def long_log_probs(vocab: Vocabulary, word: str, probs: np.ndarray, step: int = 4096) -> np.ndarray:
+    """``Lattices.log_probs`` of one word of any length: the sums over the last positions that a piece can reach are held."""
+    width, languages = vocab.longest, probs.shape[1]
+    powers = np.array([pow(_BASE, k, 1 << 64) for k in range(1, width + 1)], np.uint64)
+    # row k - 1: the sums k positions before the next one
+    held, scale = np.zeros((width, languages)), np.zeros(languages)
+    held[0] = 1.0
+    for start in range(0, len(word), step):
+        stop = min(len(word), start + step)
+        first = max(0, start - width)
+        prefixes = _rolling(_codes([word[first:stop]]))[0]
+        pieces = np.full((stop - start, width), vocab.size, np.int32)
+        for k in range(1, width + 1):
+            ends = np.arange(max(start + 1, k), stop + 1)
+            if len(ends):
+                found = vocab.find(prefixes[ends - first] - prefixes[ends - first - k] * powers[k - 1])
+                if k == 1:
+                    found[found == vocab.size] = vocab.other
+                pieces[ends - start - 1, k - 1] = found
+        for row in pieces:
+            new = np.einsum("kl,kl->l", held, probs[row])
+            held[1:] = held[:-1]
+            held[0] = new
+            # each language by its own scale: over a long word they drift apart without end
+            if new.min() < 1e-100:
+                held /= new
+                scale += np.log(new)
+    return np.log(held[0]) + scale
+
+
 def by_length(words: list[str], most: int = 4096) -> Iterator[list[int]]:
     """Places of words of equal length, some thousand at a time."""
     groups: dict[int, list[int]] = {}
@@ -214,6 +250,12 @@ class Scorer:
     def learn(self, tokens: list[str]) -> None:
         parts = [words_of(t) for t in tokens]
         fresh = list({w for words in parts for w in words if w not in self.words})
+        long = [w for w in fresh if len(w) > MAX_WORD]
+        if long:
+            logs = np.array([long_log_probs(self.vocab, w, self.probs) for w in long])
+            first = self._add(np.hstack([logs, np.ones((len(long), 1))]))
+            self.words.update(zip(long, range(first, first + len(long)), strict=True))
+            fresh = [w for w in fresh if len(w) <= MAX_WORD]
         for places in by_length(fresh):
             some = [fresh[i] for i in places]
             logs = Lattices(self.vocab, some).log_probs(self.probs)
@@ -249,6 +291,9 @@ class Scorer:
             scores.append(float(1 / np.exp(np.minimum(logs - logs[best], 0)).sum()))
         if len(self.index) > KEPT_WORDS:
             self.forget()
+        for known in (self.words, self.index):
+            for w in [w for w in known if len(w) > KEPT_CHARS]:
+                del known[w]
         return [langs, scores]
 
 
@@ -270,7 +315,7 @@ def train(labelled: DataFrame, vocab_path: str, text: str = "text", lang: str =
                 part = batch.slice(at, 512)
                 totals: dict[str, Counter] = {}
                 for name, value in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    totals.setdefault(name, Counter()).update(words_of(value))
+                    totals.setdefault(name, Counter()).update(fitted_parts(value))
                 rows = [(name, w, n) for name, c in totals.items() for w, n in c.items()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.int64())],
@@ -320,8 +365,9 @@ def train(labelled: DataFrame, vocab_path: str, text: str = "text", lang: str =
 def predict(docs: DataFrame, keep: list[str], model, vocab_path: str, text: str = "text") -> DataFrame:
     """``keep``, lang_pred, score: one row per row of ``docs``, no shuffle.
 
-    Null texts and texts without a letter are ``und`` with score 0, and so is everything when
-    the model has no language. The score is the posterior probability of the language.
+    Null texts and texts without a letter (a character of the Unicode class L) are ``und`` with score 0,
+    and so is everything when the model has no language. A stretch of letters of any length is one word.
+    Equal posteriors go to the language first in order; repeated rows get the same. The score is the posterior probability of the language.
     """
     languages, table, prior = model
     shared = docs.sparkSession.sparkContext.broadcast((languages, table.astype(np.float32), prior))

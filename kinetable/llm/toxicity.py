@@ -15,6 +15,7 @@ from __future__ import annotations
 import math
 import re
 import uuid
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,8 +34,10 @@ MAX_TRAIN_DOCS, MAX_LEXEMES = 20_000, 20_000
 SURPRISE, PRECISION = -5.0, 0.35
 STEMS = (4, 5, 6)
 THRESHOLD = 0.3
-#: words looked at on either side of a match when a clause is longer
-REACH = 12
+#: words on either side of a match that can change what it counts as: the transducers together reach no farther
+REACH = 16
+#: words of one clause that are looked at together; a longer one is looked at in parts that overlap by REACH
+RUN = 2000
 
 # seeds of the closed classes, in four languages
 TARGETS = "you your yours u ur yourself du dich dir dein deine ihr euch tu toi ton ta vous votre te tú ti usted ustedes vosotros".split()
@@ -177,19 +180,33 @@ class Lexicon:
         if not text or not len(self.finder):
             return out
         text = text.lower()
-        done = -1
+        done = 0
         for end, size in self.finder.iter(text):
             begin = end - size + 1
             # a lexeme starts a word
             if begin < done or (begin and text[begin - 1].isalpha()):
                 continue
-            left, right = self._bounds(text, begin, end)
-            done = right
-            found = _WORD.findall(text, left, right)
-            looked = [self.look(w) for w in found]
-            if not any(kind in KINDS for kind, _ in looked):
+            found = self._before(text, begin)
+            fresh = len(found)
+            looked = [self.look(m[0]) for m in found]
+            last = fresh
+            for m in _WORD.finditer(text, begin):
+                if _CLAUSE_END.search(text, found[-1].end() if len(found) > fresh else begin, m.start()):
+                    break
+                found.append(m)
+                looked.append(self.look(m[0]))
+                if looked[-1][0] in KINDS:
+                    last = len(found) - 1
+                # no match for so many words, or a clause that does not end
+                if len(found) - 1 - last >= REACH or len(found) - fresh >= RUN:
+                    break
+            # what stands near the end of a run that goes on is counted with the next
+            counted = len(found) - REACH if len(found) - fresh >= RUN else len(found)
+            done = found[counted - 1].end()
+            if not any(kind in KINDS for kind, _ in looked[fresh:counted]):
                 continue
-            for (kind, marks), (_, weight) in zip(GRAMMAR.best([(k, frozenset()) for k, _ in looked]), looked, strict=True):
+            best = GRAMMAR.best([(k, frozenset()) for k, _ in looked])
+            for (kind, marks), (_, weight) in list(zip(best, looked, strict=True))[fresh:counted]:
                 if kind == "threat":
                     out[4] += weight
                 elif kind == "insult":
@@ -198,20 +215,19 @@ class Lexicon:
         return out
 
     @staticmethod
-    def _bounds(text: str, begin: int, end: int) -> tuple[int, int]:
-        """The clause around a match, of REACH words' length on either side at most."""
+    def _before(text: str, begin: int) -> list[re.Match]:
+        """The last REACH words of the clause before a place; they are context and were counted before."""
         span = REACH * 12
-        left = max(0, begin - span)
-        for m in _CLAUSE_END.finditer(text, left, begin):
-            left = m.end()
-        stop = _CLAUSE_END.search(text, end + 1, end + 1 + span)
-        right = stop.start() if stop else min(len(text), end + 1 + span)
-        # no half words at the ends
-        while left and left < begin and text[left].isalpha() and text[left - 1].isalpha():
-            left += 1
-        while right < len(text) and text[right - 1].isalpha() and text[right].isalpha():
-            right += 1
-        return left, right
+        while True:
+            low = max(0, begin - span)
+            left = max(text.rfind(c, low, begin) for c in ".!?;:\n") + 1
+            found = list(_WORD.finditer(text, max(left, low), begin))
+            if left or not low:
+                return found[-REACH:]
+            # the first word may be cut
+            if len(found) > REACH:
+                return found[-REACH:]
+            span *= 2
 
 
 @dataclass
@@ -322,7 +338,10 @@ def train(labelled: DataFrame, text: str = "text", label: str = "toxic") -> Mode
     summed = rows.mapInArrow(count, "name string, a bigint, b bigint").groupBy("name").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     # three texts and the wanted precision at least; significance is looked at on the driver
     likely = summed.where((F.col("a") >= 3) & (F.col("a") >= (F.col("a") + F.col("b")) * PRECISION / 2))
-    kept = likely.orderBy(F.desc(F.col("a") * F.col("a") / (F.col("a") + F.col("b"))), "name").limit(MAX_LEXEMES).collect()
+    kept = likely.orderBy(F.desc(F.col("a") * F.col("a") / (F.col("a") + F.col("b"))), "name").limit(MAX_LEXEMES + 1).collect()
+    if len(kept) > MAX_LEXEMES:
+        kept.pop()
+        warnings.warn(f"toxicity: {likely.count() - MAX_LEXEMES} lexemes beyond the first {MAX_LEXEMES} are left out of the lexicon", stacklevel=2)
     words, stems = learn_lexicon([(r["name"].rstrip("*"), r["name"].endswith("*"), r["a"], r["b"]) for r in kept], toxic, clean)
     matched = _features(rows, ["toxic"], words, stems).collect()
     features = np.array([r["features"] for r in matched])
@@ -372,7 +391,9 @@ def _features(rows: DataFrame, keep: list[str], words: dict, stems: dict) -> Dat
 def score(docs: DataFrame, keep: list[str], model: Model, text: str = "text") -> DataFrame:
     """``keep``, clauses (array of weights by CLAUSES), score, predicted: one row per row, no shuffle.
 
-    A null or empty text matches no clause and gets the score of such a text.
+    A null or empty text matches no clause and gets the score of such a text. Every matched word counts
+    once, however long its clause; a long text is read in runs of bounded length. Repeated rows get the
+    same score; columns of ``keep`` may have any names but those three.
     """
     found = _features(docs.withColumn("text", F.col(text)), keep, model.words, model.stems)
     z = F.lit(float(model.weights[0]))
