@@ -190,7 +190,8 @@ def number_rows(
     ``stored`` is that of ``plan_split``; stage the result of a large computation first.
     """
     if not by:
-        everything = df.withColumn(_GLOBAL, F.lit(0))
+        # 0 in every row, but not a constant: joins by a constant key would become nested loops
+        everything = df.withColumn(_GLOBAL, F.pmod(F.xxhash64(*order), F.lit(1)))
         return number_rows(everything, [_GLOBAL], order, name, start, None, hot_rows, stored).drop(_GLOBAL)
     split = split or plan_split(df, by, order, hot_rows, stored)
     if not split.hot:
