@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHUNK = 1000
@@ -34,7 +34,7 @@ def write_trajectory(
     of ``features.feature_schema``. The rebalance hint brings a chunk together, cuts one that is
     too large into several files and needs no sampling pass. The metadata is computed from the
     files written, of which it reads two columns. Metadata describes the whole dataset, so
-    appending is refused: write a new folder and switch.
+    appending is refused: ``TrajectoryStore`` is the form that episodes are added to.
     """
     if mode == "append":
         raise ValueError("a trajectory is not appended to: its metadata describes the whole")
@@ -79,6 +79,106 @@ def write_trajectory(
     spark.createDataFrame([row], schema).coalesce(1).write.mode(mode).json(f"{root}/meta/info")
 
 
+class TrajectoryStore:
+    """A trajectory that is added to: parts of frames with their summaries, and a manifest switched at the end.
+
+    ``add`` writes the frames of new episodes as one part below ``root/data/part=N``, and its episode
+    and chunk summaries and task texts below ``root/meta``; then the manifest of version N, which names
+    the parts that count. A part without its manifest is not seen and is written over by the next
+    attempt. The totals are merged from the chunk summaries, so adding reads nothing of the frames
+    that are there. One writer at a time.
+    """
+
+    SUMMARIES = {
+        "episodes": "episode_index LONG, tasks ARRAY<STRING>, length LONG",
+        "chunks": "episode_chunk LONG, episodes LONG, frames LONG",
+        "tasks": "task_index LONG, task STRING",
+    }
+
+    def __init__(self, spark: SparkSession, root: str) -> None:
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def versions(self) -> list[int]:
+        """Numbers of the complete manifests, rising."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        done = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(folder, "manifest/version=*/_SUCCESS"))
+        return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in done)
+
+    def parts(self, version: int | None = None) -> list[int]:
+        """Parts of a version, of the newest by default; none before the first."""
+        known = self.versions()
+        if not known:
+            return []
+        path = f"{self.root}/manifest/version={known[-1] if version is None else version}"
+        return sorted(r["part"] for r in self.spark.read.schema("part LONG").json(path).collect())
+
+    def summary(self, name: str, version: int | None = None) -> DataFrame:
+        """The rows of a summary (episodes, chunks or tasks) over the parts that count, with their part."""
+        schema = self.SUMMARIES[name]
+        parts = self.parts(version)
+        if not parts:
+            return self.spark.createDataFrame([], f"{schema}, part INT")
+        read = self.spark.read.schema(f"{schema}, part INT").option("basePath", f"{self.root}/meta/{name}")
+        return read.json([f"{self.root}/meta/{name}/part={p}" for p in parts])
+
+    def frames(self, version: int | None = None) -> DataFrame:
+        """The frames of the parts that count, with part and episode_chunk."""
+        parts = self.parts(version)
+        if not parts:
+            raise FileNotFoundError(f"no part of a trajectory in {self.root}")
+        return self.spark.read.option("basePath", f"{self.root}/data").parquet(*[f"{self.root}/data/part={p}" for p in parts])
+
+    def totals(self, version: int | None = None) -> DataFrame:
+        """One row: total_episodes, total_frames, total_chunks, total_tasks."""
+        chunks = self.summary("chunks", version).agg(
+            F.coalesce(F.sum("episodes"), F.lit(0)).alias("total_episodes"), F.coalesce(F.sum("frames"), F.lit(0)).alias("total_frames"), F.count_distinct("episode_chunk").alias("total_chunks")
+        )
+        return chunks.join(self.summary("tasks", version).agg(F.count_distinct("task_index").alias("total_tasks")))
+
+    def add(self, frames: DataFrame, tasks: DataFrame) -> int:
+        """Add the frames of new episodes and the texts of new tasks; the number of the new version.
+
+        Refused are episodes that are there already and task texts that contradict a known one; then
+        nothing of the attempt counts. Only episode and task summaries are compared, not frames.
+        """
+        known = self.versions()
+        version = known[-1] + 1 if known else 0
+        data = f"{self.root}/data/part={version}"
+        texts = tasks.select("task_index", "task").distinct()
+        every = self.summary("tasks").select("task_index", "task").unionByName(texts).distinct()
+        clash = every.groupBy("task_index").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("task_index").limit(5).collect()
+        if clash:
+            raise ValueError(f"tasks with two texts: {[r[0] for r in clash]}")
+        (
+            frames.withColumn("episode_chunk", F.floor(F.col(EPISODE) / CHUNK))
+            .hint("rebalance", "episode_chunk")
+            .sortWithinPartitions("episode_chunk", EPISODE, FRAME)
+            .write.mode("overwrite")
+            .partitionBy("episode_chunk")
+            .parquet(data)
+        )
+        fresh = texts.join(self.summary("tasks").select("task_index"), "task_index", "left_anti")
+        self._put(fresh, "tasks", version)
+        written = self.spark.read.parquet(data)
+        lengths = written.groupBy(EPISODE, "task_index").agg(F.count(F.lit(1)).alias("_n"))
+        # texts of this part and of those before
+        episodes = lengths.join(every, "task_index", "left").groupBy(EPISODE).agg(F.array_sort(F.collect_set("task")).alias("tasks"), F.sum("_n").alias("length"))
+        self._put(episodes, "episodes", version)
+        own = self.spark.read.schema(self.SUMMARIES["episodes"]).json(f"{self.root}/meta/episodes/part={version}")
+        twice = own.join(self.summary("episodes").select(EPISODE), EPISODE, "left_semi").select(EPISODE).limit(5).collect()
+        if twice:
+            raise ValueError(f"episodes that are there already: {[r[0] for r in twice]}")
+        chunks = own.groupBy(F.floor(F.col(EPISODE) / CHUNK).alias("episode_chunk")).agg(F.count(F.lit(1)).alias("episodes"), F.sum("length").alias("frames"))
+        self._put(chunks, "chunks", version)
+        manifest = self.spark.createDataFrame([(p,) for p in [*self.parts(), version]], "part LONG")
+        manifest.coalesce(1).write.mode("overwrite").json(f"{self.root}/manifest/version={version}")
+        return version
+
+    def _put(self, rows: DataFrame, name: str, part: int) -> None:
+        rows.write.mode("overwrite").json(f"{self.root}/meta/{name}/part={part}")
+
+
 def topic_folder(topic: str = "topic"):
     """Folder name of a topic: slashes to underscores, none at the ends."""
     return F.btrim(F.regexp_replace(topic, "/", "_"), F.lit("_"))
