@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinetable.operators import align as al
+from kinetable.operators import moments as mo
 from kinetable.operators import timing as tm
 from kinetable.operators.convert import convert_recordings
 from kinetable.operators.ordered import Split
 from kinetable.plans.registry import Tables, query, r6, rounded
 from kinetable.plans.standin import messages, messages_q, messages_q_sql, messages_r, messages_r_sql, messages_sql
+from kinetable.session import scratch_dir
 
 GAPS_SQL = """gaps AS (
   SELECT *, ts_ns - lag(ts_ns) OVER (PARTITION BY episode_id, topic ORDER BY seq) AS gap_ns FROM messages)"""
@@ -78,6 +80,32 @@ def _timing_q(t: Tables) -> DataFrame:
     return _timing_out(tm.topic_timing(*messages_q(t)))
 
 
+def _recordings(t: Tables, load, label: str) -> DataFrame:
+    """Timing from three recordings, each added on its own: before, within and after the middle third of the time."""
+    rows, _ = load(t)
+    edges = rows.agg(F.min("ts_ns").alias("low"), F.max("ts_ns").alias("high")).first()
+    store = mo.TimingStore(t.spark, scratch_dir(t.spark, label) + "/states")
+    low, high = edges["low"] or 0, edges["high"] or 0
+    cuts = [low, low + (high - low) // 3, low + 2 * (high - low) // 3, high + 1]
+    for i, (start, stop) in enumerate(zip(cuts, cuts[1:], strict=False)):
+        store.add(f"part{i}", rows.where((F.col("ts_ns") >= start) & (F.col("ts_ns") < stop)))
+    return store.timing()
+
+
+@query("topic_timing_merged", f"WITH {messages_sql()}, {TIMING_SQL} {_TIMING_OUT}")
+def _timing_merged(t: Tables) -> DataFrame:
+    return _timing_out(_recordings(t, messages, "timing-states"))
+
+
+@query(
+    "sync_quality_merged",
+    f"""WITH {messages_r_sql()}, {SCORES_SQL}
+SELECT episode_id, round(avg(topic_score), 6) AS score, count(*) AS topics FROM scores GROUP BY 1""",
+)
+def _quality_merged(t: Tables) -> DataFrame:
+    return rounded(tm.sync_quality(_recordings(t, messages_r, "quality-states")), score=6)
+
+
 @query(
     "sync_quality",
     f"""WITH {messages_r_sql()}, {SCORES_SQL}
