@@ -170,3 +170,53 @@ def merge_info(records: DataFrame, defaults: Mapping[str, Column], tags: DataFra
     filled = {c: F.coalesce(F.col(c), default) if c in records.columns else default for c, default in defaults.items()}
     empty = F.create_map().cast("map<string,array<string>>")
     return joined.withColumns(filled | {"dataset_tags": F.coalesce(F.col("dataset_tags"), empty)})
+
+
+#: bits of a Bloom filter per key, and at most; a longer one would weigh more than what it saves
+BITS_PER_KEY, MAX_BITS = 12, 1 << 26
+PROBES = 4
+
+
+def key_filter(keys: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
+    """One row with ``words ARRAY<LONG>``: a Bloom filter of ``bits`` bits over the keys, made by Spark.
+
+    Bits are set by grouping on their word, so the keys stay where they are; the row has
+    ``bits / 64`` numbers whatever the keys.
+    """
+    places = F.explode(F.array(*[_place(columns, i, bits) for i in range(PROBES)])).alias("_place")
+    words = keys.select(places).groupBy(F.floor(F.col("_place") / 64).cast("int").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_place % 64 AS INT))")).alias("_bits"))
+    entries = F.map_from_entries(F.collect_list(F.struct("_word", "_bits")))
+    filled = F.transform(F.sequence(F.lit(0), F.lit(bits // 64 - 1)), lambda i: F.coalesce(F.try_element_at("_entries", i), F.lit(0).cast("bigint")))
+    return words.agg(entries.alias("_entries")).select(filled.alias("words"))
+
+
+def _place(columns: Sequence[str], probe: int, bits: int) -> Column:
+    return F.pmod(F.xxhash64(F.lit(probe), *columns), F.lit(bits))
+
+
+def may_contain(words: Column, columns: Sequence[str], bits: int) -> Column:
+    """False only for keys that are not in the filter."""
+    hit = F.lit(True)
+    for i in range(PROBES):
+        place = _place(columns, i, bits)
+        hit = hit & (F.getbit(F.get(words, F.floor(place / 64).cast("int")), (place % 64).cast("int")) == 1)
+    return hit
+
+
+def batch_violations(batch: DataFrame, table: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(rule, columns, value, rows) of keys of ``batch`` that, with those of ``table``, occur more than once.
+
+    What ``violations`` finds over both for the keys of the batch, without shuffling the table: a Bloom
+    filter of the batch's keys lets through few rows of the table but those that are in the batch,
+    and these are counted exactly. The filter is read by a scalar subquery and bounded by MAX_BITS;
+    beyond that it lets more through, and the result is the same. Null keys do not collide. The batch
+    is read twice.
+    """
+    keys = batch.select(*columns).dropna(subset=list(columns))
+    bits = 1 << max(10, min(MAX_BITS, max(1, keys.count()) * BITS_PER_KEY).bit_length() - 1)
+    words = key_filter(keys.distinct(), columns, bits).scalar()
+    old = table.select(*columns).dropna(subset=list(columns)).where(may_contain(words, columns, bits))
+    both = keys.withColumn("_new", F.lit(1)).unionByName(old.withColumn("_new", F.lit(0)))
+    counted = both.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"), F.sum("_new").alias("_new")).where("rows > 1 AND _new > 0")
+    value = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
+    return counted.select(F.lit("unique").alias("rule"), F.lit(",".join(columns)).alias("columns"), value.alias("value"), "rows")

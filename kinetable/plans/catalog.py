@@ -318,6 +318,21 @@ def _unique(t: Tables) -> DataFrame:
     return ct.violations(reg, [["dataset_uuid"], ["device_model", "end_effector_type"]], ["dataset_uuid", "device_model"])
 
 
+@query(
+    "unique_check_batch",
+    """WITH b AS (SELECT o_custkey, CASE WHEN o_orderkey % 11 > 0 THEN o_orderpriority END AS p FROM orders WHERE o_orderkey % 40 = 0),
+t AS (SELECT o_custkey, CASE WHEN o_orderkey % 11 > 0 THEN o_orderpriority END AS p FROM orders WHERE o_orderkey % 40 > 0),
+k AS (SELECT DISTINCT o_custkey, p FROM b WHERE p IS NOT NULL)
+SELECT 'unique' AS rule, 'o_custkey,o_orderpriority' AS columns, o_custkey || '|' || p AS value, count(*) AS rows
+FROM (SELECT * FROM b UNION ALL SELECT * FROM t) JOIN k USING (o_custkey, p) GROUP BY o_custkey, p HAVING count(*) > 1""",
+)
+def _unique_batch(t: Tables) -> DataFrame:
+    """A fortieth of the orders as new rows, against all others."""
+    priority = F.when(F.col("o_orderkey") % 11 > 0, F.col("o_orderpriority")).alias("o_orderpriority")
+    rows = t.orders.select("o_orderkey", "o_custkey", priority)
+    return ct.batch_violations(rows.where("o_orderkey % 40 = 0"), rows.where("o_orderkey % 40 > 0"), ["o_custkey", "o_orderpriority"])
+
+
 # a neutral template; a user passes the defaults of their own
 DEFAULTS = {
     "license": "apache-2.0",
