@@ -23,7 +23,7 @@ from kinetable.plans.registry import Tables, query, r6
 from kinetable.plans.standin import FRAMES_TASK_SQL, frames, frames_with_task, messages, messages_sql
 from kinetable.plans.vectors import FLAT_COLUMNS, MSG_KEYS, typed_messages
 from kinetable.session import local_partitions, scratch_dir
-from kinetable.sources import binary, files, writers
+from kinetable.sources import binary, boxes, bsonranges, files, variants, walk, writers
 from kinetable.streaming import jobs
 
 
@@ -33,8 +33,8 @@ from kinetable.streaming import jobs
 FROM conversations WHERE conv_id % 9 > 0""",
 )
 def _json_episodes(t: Tables) -> DataFrame:
-    """A file per 200 turns of a conversation; those of every ninth conversation are broken."""
-    root = scratch_dir(t.spark, "json-episodes")
+    """A text per 200 turns of a conversation, read without a schema; those of every ninth conversation are broken."""
+    root = scratch_dir(t.spark, "json-episodes") + "/texts"
     frame = F.struct(
         "turn", F.col("role").alias("role"), F.struct(F.struct(F.array(F.col("turn") * 1.5, F.length("text").cast("double")).alias("qpos")).alias("left_arm")).alias("states")
     )
@@ -42,21 +42,51 @@ def _json_episodes(t: Tables) -> DataFrame:
     episode = t.conversations.groupBy("conv_id", part).agg(F.array_sort(F.collect_list(frame)).alias("data"))
     text = F.to_json(F.struct("data"))
     broken = F.when(F.col("conv_id") % 9 == 0, F.concat(F.lit('{"data": [1, '), text)).otherwise(text)
-    episode.select(F.concat(F.lit("episode_"), "conv_id", F.lit("_"), "part").alias("episode"), broken.alias("value")).repartition(
-        t.spark.sparkContext.defaultParallelism
-    ).write.mode("append").partitionBy("episode").text(root)
-    schema = "STRUCT<turn: LONG, role: STRING, states: STRUCT<left_arm: STRUCT<qpos: ARRAY<DOUBLE>>>>"
-    read = files.read_json_episodes(t.spark, root, _type(t, schema), "*.txt")
-    qpos = nested_path("states", "left_arm.qpos")
-    rows = files.json_frames(read).select(
-        F.regexp_extract("path", "episode_([0-9]+)_", 1).cast("long").alias("conv_id"),
-        F.regexp_extract("path", "_([0-9]+)/", 1).cast("long").alias("part"),
-        F.col("frame_index").cast("long").alias("frame_index"),
-        "role",
-        qpos[0].alias("q0"),
-        qpos[1].alias("q1"),
+    # a table of texts: as many files as tasks, however many episodes
+    episode.select("conv_id", "part", broken.alias("value")).write.parquet(root)
+    texts = t.spark.read.schema("conv_id LONG, part LONG, value STRING").parquet(root)
+    rows = variants.document_frames(variants.parse_texts(texts))
+    qpos = F.try_variant_get("frame", "$.states.left_arm.qpos", "array<double>")
+    return rows.select(
+        "conv_id", "part", F.col("frame_index").cast("long").alias("frame_index"), F.try_variant_get("frame", "$.role", "string").alias("role"), F.get(qpos, F.lit(0)).alias("q0"), F.get(qpos, F.lit(1)).alias("q1")
     )
-    return rows
+
+
+@query(
+    "json_episode_files",
+    """SELECT conv_id % 8 AS episode, CAST(row_number() OVER (PARTITION BY conv_id % 8 ORDER BY conv_id, turn) - 1 AS BIGINT) AS frame_index, CAST(turn * 1.5 AS DOUBLE) AS q0
+FROM conversations WHERE turn < 2 AND conv_id % 8 <> 3 AND conv_id % 5 = 0""",
+)
+def _json_files(t: Tables) -> DataFrame:
+    """Eight files of episodes with a given schema, of which one is broken."""
+    root = scratch_dir(t.spark, "json-files")
+    frame = F.struct("conv_id", "turn", F.struct(F.struct(F.array(F.col("turn") * 1.5).alias("qpos")).alias("left_arm")).alias("states"))
+    few = t.conversations.where("turn < 2 AND conv_id % 5 = 0").groupBy((F.col("conv_id") % 8).alias("episode"))
+    text = F.to_json(F.struct(F.array_sort(F.collect_list(frame)).alias("data")))
+    broken = few.agg(text.alias("value")).withColumn("value", F.when(F.col("episode") == 3, F.concat(F.lit("{"), "value")).otherwise(F.col("value")))
+    walk.write_files(broken, F.concat(F.lit(f"{root}/in/episode_"), "episode", F.lit(".json")), F.encode("value", "UTF-8")).write.parquet(f"{root}/listing")
+    schema = "STRUCT<conv_id: LONG, turn: LONG, states: STRUCT<left_arm: STRUCT<qpos: ARRAY<DOUBLE>>>>"
+    rows = files.json_frames(files.read_json_episodes(t.spark, f"{root}/in", _type(t, schema)))
+    return rows.select(F.regexp_extract("path", "episode_([0-9]+)", 1).cast("long").alias("episode"), F.col("frame_index").cast("long").alias("frame_index"), nested_path("states", "left_arm.qpos")[0].alias("q0"))
+
+
+@query(
+    "json_leaves",
+    """SELECT conv_id, '$.turns[' || (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) || '].role' AS leaf, role AS value FROM conversations WHERE conv_id % 3 = 0 AND turn < 50
+UNION ALL SELECT conv_id, '$.turns[' || (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1) || '].size.chars', CAST(length(text) AS VARCHAR) FROM conversations WHERE conv_id % 3 = 0 AND turn < 50
+UNION ALL SELECT DISTINCT conv_id, '$.name', 'conversation ' || conv_id FROM conversations WHERE conv_id % 3 = 1
+UNION ALL SELECT DISTINCT conv_id, '$', CAST(conv_id AS VARCHAR) FROM conversations WHERE conv_id % 3 = 2""",
+)
+def _json_leaves(t: Tables) -> DataFrame:
+    """Documents of three layouts, opened without naming any."""
+    turn = F.struct("turn", F.struct("role", F.struct(F.length("text").alias("chars")).alias("size")).alias("t"))
+    turns = F.transform(F.array_sort(F.collect_list(turn)), lambda x: x["t"])
+    lists = t.conversations.where("conv_id % 3 = 0 AND turn < 50").groupBy("conv_id").agg(F.to_json(F.struct(turns.alias("turns"))).alias("value"))
+    ids = t.conversations.select("conv_id").distinct()
+    named = ids.where("conv_id % 3 = 1").select("conv_id", F.to_json(F.struct(F.concat(F.lit("conversation "), "conv_id").alias("name"))).alias("value"))
+    plain = ids.where("conv_id % 3 = 2").select("conv_id", F.col("conv_id").cast("string").alias("value"))
+    documents = variants.parse_texts(lists.unionByName(named).unionByName(plain))
+    return variants.leaves(documents, "document", ["conv_id"], depth=4).select("conv_id", "leaf", "value")
 
 
 def _type(t: Tables, ddl: str):
@@ -265,6 +295,40 @@ def _bson(t: Tables) -> DataFrame:
     )
 
 
+def _encode_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        contents = []
+        for key, rows in zip(batch["no"], batch["rows"], strict=True):
+            frames_ = [{"t": 2**40, "data": {"pos": [float(r["q"]), float(r["p"])], "name": "é"}} for r in rows]
+            hands = [{"observation": {"left_hand": [float(r["q"])]}, "ok": True} for r in rows]
+            doc = {"id": int(key), "data": {"/arm/left": frames_}} if key % 2 == 0 else {"note": "x", "frames": hands}
+            raw = encode_bson(doc)
+            contents.append(raw[: len(raw) // 2] if key % 7 == 5 else raw)
+        yield pd.DataFrame({"no": batch["no"], "content": contents})
+
+
+@query(
+    "bson_range_ingest",
+    """WITH f AS (SELECT l_orderkey // 2000 AS no, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice FROM lineitem),
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY no ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS BIGINT) AS frame_index FROM f)
+SELECT no, CASE WHEN no % 2 = 0 THEN '/arm/left.pos' ELSE 'observation.left_hand' END AS data_path, frame_index, l_quantity AS v0, CASE WHEN no % 2 = 0 THEN l_extendedprice END AS v1 FROM n WHERE no % 7 <> 5
+UNION ALL SELECT DISTINCT no, 'no data and no frames', CAST(NULL AS BIGINT), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE) FROM f WHERE no % 7 = 5""",
+)
+def _bson_ranges(t: Tables) -> DataFrame:
+    """Files of thousands of frames each, cut at frame boundaries and decoded by several tasks; some files are cut short."""
+    root = scratch_dir(t.spark, "bson")
+    order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    row = F.struct(*order, F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p"))
+    groups = t.lineitem.groupBy(F.expr("l_orderkey div 2000").alias("no")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
+    contents = groups.mapInPandas(_encode_groups, "no LONG, content BINARY")
+    walk.write_files(contents, F.concat(F.lit(f"{root}/in/ep_"), "no", F.lit(".bson")), F.col("content")).write.parquet(f"{root}/listing")
+    ranges = bsonranges.bson_ranges(walk.walk(t.spark, [f"{root}/in"]))
+    rows = bsonranges.ingest_ranges(ranges)
+    return rows.select(
+        F.regexp_extract("path", "ep_([0-9]+)", 1).cast("long").alias("no"), F.coalesce("data_path", "error").alias("data_path"), "frame_index", F.get("values", F.lit(0)).alias("v0"), F.get("values", F.lit(1)).alias("v1")
+    )
+
+
 @query(
     "media_integrity",
     """WITH v AS (SELECT doc_id, doc_id % 8 AS k, CASE WHEN doc_id % 8 < 5 THEN '.MP4' WHEN doc_id % 8 = 5 THEN '.webm' WHEN doc_id % 8 = 6 THEN '.avi' ELSE '.txt' END AS ext FROM documents)
@@ -362,6 +426,91 @@ def _write_csv(t: Tables) -> DataFrame:
     return back.withColumn("value", r6(F.col("value")))
 
 
+@query(
+    "write_trajectory_parts",
+    f"""WITH {FRAMES_TASK_SQL}, e AS (SELECT episode_index, task_index, count(*) AS n FROM frames_t GROUP BY 1, 2)
+SELECT 'chunk' AS kind, episode_index // 1000 AS no, count(*) AS episodes, CAST(sum(n) AS BIGINT) AS frames, 'v1' AS note FROM e GROUP BY 2
+UNION ALL SELECT 'before', NULL, count(*), CAST(sum(n) AS BIGINT), 'v0' FROM e WHERE episode_index % 3 < 2
+UNION ALL SELECT 'total', count(DISTINCT episode_index // 1000), count(*), CAST(sum(n) AS BIGINT), 'tasks ' || count(DISTINCT task_index) FROM e
+UNION ALL SELECT 'read', NULL, count(DISTINCT episode_index), CAST(sum(n) AS BIGINT), string_agg(DISTINCT 'task ' || task_index, ',' ORDER BY 'task ' || task_index) FROM e""",
+)
+def _write_parts(t: Tables) -> DataFrame:
+    """Two thirds of the orders, then the last third; what is read is one trajectory, and the first version is still there."""
+    store = writers.TrajectoryStore(t.spark, scratch_dir(t.spark, "trajectory-parts") + "/out")
+    rows = frames_with_task(t).select("episode_index", "frame_index", "task_index", "state", "action")
+    for own in (F.col("episode_index") % 3 < 2, F.col("episode_index") % 3 == 2):
+        part = rows.where(own)
+        tasks = part.select("task_index").distinct().withColumn("task", F.concat(F.lit("task "), "task_index"))
+        store.add(part, tasks)
+    chunks = store.summary("chunks").groupBy(F.col("episode_chunk").alias("no")).agg(F.sum("episodes").alias("episodes"), F.sum("frames").alias("frames"))
+    none = F.lit(None).cast("bigint")
+    now, before = store.totals(), store.totals(0)
+    read = store.frames().agg(F.count_distinct("episode_index").alias("episodes"), F.count(F.lit(1)).alias("frames"))
+    texts = store.summary("episodes").select(F.explode("tasks").alias("task")).distinct().agg(F.array_join(F.array_sort(F.collect_list("task")), ",").alias("note"))
+    return (
+        chunks.select(F.lit("chunk").alias("kind"), "no", "episodes", "frames", F.lit("v1").alias("note"))
+        .unionByName(before.select(F.lit("before").alias("kind"), none.alias("no"), F.col("total_episodes").alias("episodes"), F.col("total_frames").alias("frames"), F.lit("v0").alias("note")))
+        .unionByName(now.select(F.lit("total").alias("kind"), F.col("total_chunks").alias("no"), F.col("total_episodes").alias("episodes"), F.col("total_frames").alias("frames"), F.concat(F.lit("tasks "), "total_tasks").alias("note")))
+        .unionByName(read.join(texts).select(F.lit("read").alias("kind"), none.alias("no"), "episodes", "frames", "note"))
+    )
+
+
+_WALK_DIR = "'source=' || source || '/task=' || (doc_id % 3) || '/episode=' || (doc_id % 12)"
+
+
+@query(
+    "scan_tree_walk",
+    f"""WITH d AS (SELECT source, doc_id, CAST(substring(source, 4) AS BIGINT) % 2 = 0 AS marked FROM documents)
+SELECT DISTINCT 'source=' || source AS directory, 1 AS level, CAST(1 AS BIGINT) AS files FROM d WHERE marked
+UNION ALL SELECT DISTINCT {_WALK_DIR}, 3, CAST(1 AS BIGINT) FROM d WHERE NOT marked""",
+)
+def _walked(t: Tables) -> DataFrame:
+    """A tree of real directories, walked in tasks; even sources have a file above, below which the walk does not go."""
+    root = scratch_dir(t.spark, "tree") + "/root"
+    docs = t.documents.select("source", F.expr("doc_id % 3").alias("task"), F.expr("doc_id % 12").alias("episode"), F.col("doc_id").cast("string").alias("value"))
+    keys = ["source", "task", "episode"]
+    lists = docs.groupBy(*keys).agg(F.max("value").alias("value"))
+    lists.write.partitionBy(*keys).text(root)
+    marked = docs.where("cast(substring(source, 4) as bigint) % 2 = 0").groupBy("source").agg(F.max("value").alias("value"))
+    marked.write.mode("append").partitionBy("source").text(root)
+    found = walk.walk(t.spark, [root], marker="part-")
+    inside = found.where(F.startswith(walk.file_name(F.col("path")), F.lit("part-")))
+    directory = F.regexp_replace(F.substring_index("path", root + "/", -1), "/[^/]*$", "")
+    return inside.groupBy(directory.alias("directory"), "level").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query(
+    "media_box_scan",
+    """WITH f AS (SELECT doc_id // 64 AS no, (doc_id // 64) % 6 AS k, count(*) AS n, count(text) AS t FROM documents GROUP BY 1, 2)
+SELECT 'video_' || no || CASE WHEN k = 5 THEN '.webm' ELSE '.mp4' END AS file, CASE k WHEN 0 THEN n + 2 WHEN 1 THEN n + 1 WHEN 2 THEN n + 1 WHEN 3 THEN n + 2 WHEN 4 THEN n + 2 ELSE 0 END AS boxes,
+  CASE k WHEN 1 THEN 'no ftyp box at the start' WHEN 2 THEN 'no moov box' WHEN 3 THEN 'cut' WHEN 4 THEN '5 bytes after the last box' WHEN 5 THEN 'no webm signature' ELSE '' END AS errors FROM f""",
+)
+def _boxes(t: Tables) -> DataFrame:
+    """Files of a box for each of 64 documents, some with faults, checked by reading their headers alone."""
+    root = scratch_dir(t.spark, "videos")
+    no, kind = F.expr("doc_id div 64"), F.expr("(doc_id div 64) % 6")
+    body = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+
+    def box(name: str, size, data):
+        return F.concat(F.unhex(F.lpad(F.hex(size), 8, "0")), F.encode(F.lit(name), "UTF-8"), data)
+
+    nothing = F.encode(F.lit(""), "UTF-8")
+    data = F.sort_array(F.collect_list(F.struct("doc_id", box("mdat", F.length(body) + 8, body).alias("box"))))
+    files_ = t.documents.groupBy(no.alias("no"), kind.alias("k")).agg(F.transform(data, lambda d: d["box"]).alias("boxes"))
+    joined = F.aggregate("boxes", nothing, lambda a, b: F.concat(a, b))
+    # the last box of the third kind says that it is longer than it is
+    moov = F.when(F.col("k") == 2, nothing).otherwise(box("moov", F.when(F.col("k") == 3, 99).otherwise(8), nothing))
+    head = F.when(F.col("k").isin(1, 5), nothing).otherwise(box("ftyp", F.lit(12), F.encode(F.lit("isom"), "UTF-8")))
+    tail = F.when(F.col("k") == 4, F.encode(F.lit("tail!"), "UTF-8")).otherwise(nothing)
+    name = F.concat(F.lit("video_"), "no", F.when(F.col("k") == 5, ".webm").otherwise(".mp4"))
+    written = walk.write_files(files_, F.concat(F.lit(root + "/"), name), F.concat(head, joined, moov, tail))
+    # written before it is walked: the files are what the check reads, not these rows
+    written.write.parquet(root + "/.listing")
+    found = boxes.box_findings(boxes.read_boxes(walk.walk(t.spark, [root])))
+    errors = F.regexp_replace(F.array_join("errors", "; "), "box at [0-9]+ is cut", "cut")
+    return found.select(walk.file_name(F.col("path")).alias("file"), "boxes", errors.alias("errors"))
+
+
 @query("stream_status_fold", STATUS_SQL)
 def _stream_status(t: Tables) -> DataFrame:
     """Three runs of the stream over files that arrive one after the other."""

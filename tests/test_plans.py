@@ -9,7 +9,7 @@ import pytest
 from kinetable.plans import QUERIES, load_all
 
 load_all()
-FILE_JOBS = {"yaml_registry_scan", "bson_episode_ingest", "media_integrity"}
+FILE_JOBS = {"yaml_registry_scan", "bson_episode_ingest", "media_integrity", "media_box_scan", "bson_range_ingest"}
 
 
 def plan_of(spark, sf, name):
@@ -27,6 +27,16 @@ def test_no_cross_product_and_no_python(spark, sf, name):
         assert not re.search(r"EvalPython|MapInPandas|MapInArrow|FlatMapGroups", plan)
 
 
+@pytest.mark.parametrize("name", ["natural_sort", "scan_dataset_tree", "topic_timing", "frame_index_cols", "episode_numbering"])
+def test_no_nested_loops_when_groups_are_cut(spark, sf, name):
+    spark.conf.set("spark.kinetable.hotGroupRows", "20")
+    try:
+        plan = plan_of(spark, sf, name)
+    finally:
+        spark.conf.unset("spark.kinetable.hotGroupRows")
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
 @pytest.mark.parametrize(
     ("name", "columns"),
     [
