@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from kinetable.llm import mixing, nearcopies, quality, queries, simhash, templates
 from kinetable.llm.common import stored, table
+from kinetable.session import remove, scratch, scratch_dir
 
 
 def with_n_chars(cleaned: DataFrame, taken: str, docs: DataFrame) -> DataFrame:
@@ -68,8 +69,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; every stage reads what the one before has written."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over ``documents``; every stage reads what the one before has written.
+
+    What a stage made on its way is removed once its result is written, and its input once the next
+    result is; only the last stage's input stays, which the result reads.
+    """
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir), name)
+        folder = scratch_dir(spark, name)
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(f"{folder}/table")
+        docs = spark.read.schema(made.schema).parquet(f"{folder}/table")
+        if before is not None:
+            remove(spark, before)
+        before = folder
     return STAGES[-1][1](spark, docs, sf_dir)
