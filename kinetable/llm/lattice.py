@@ -90,16 +90,17 @@ def cells(vectors: np.ndarray, tables: int = TABLES, blocks: int = BLOCKS, scale
     """
     n, dim = vectors.shape
     scale = scale * (DIM / max(dim, 8)) ** 0.5
-    steps = minimal_vectors()
+    steps = minimal_vectors().astype(np.float32)
     home, near = np.empty((n, tables), np.int64), np.empty((n, tables, probes), np.int64)
     for t in range(tables):
         y = vectors @ projection(dim, t, blocks) / scale
         point = np.hstack([decode_e8(y[:, 8 * b : 8 * b + 8]) for b in range(blocks)])
         home[:, t] = _cell(point, dim, t)
-        rest = y - point
+        rest = (y - point).astype(np.float32)
         # how much nearer the vector is to the neighbour than the neighbour to the point
         gain = np.hstack([rest[:, 8 * b : 8 * b + 8] @ steps.T for b in range(blocks)])
-        best = np.argsort(-gain, axis=1, kind="stable")[:, :probes]
+        # which steps are nearest counts, not their order
+        best = np.argpartition(-gain, probes, axis=1)[:, :probes]
         for p in range(probes):
             moved, block, step = point.copy(), best[:, p] // len(steps), best[:, p] % len(steps)
             for b in range(blocks):
@@ -110,20 +111,20 @@ def cells(vectors: np.ndarray, tables: int = TABLES, blocks: int = BLOCKS, scale
 
 
 def _with_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    longs = pa.int64()
     for batch in batches:
         for at in range(0, batch.num_rows, 2048):
             part = batch.slice(at, 2048)
-            rows = part.column(1).to_pylist()
-            homes, probed = [[]] * len(rows), [[]] * len(rows)
-            for dim in {len(r) for r in rows}:
-                places = [i for i, r in enumerate(rows) if len(r) == dim]
-                x = np.array([rows[i] for i in places], np.float64)
+            sizes = part.column(1).value_lengths().to_numpy(zero_copy_only=False)
+            values, ends = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.cumsum(sizes)
+            homes, probed = np.empty((len(sizes), TABLES), np.int64), np.empty((len(sizes), TABLES * PROBES), np.int64)
+            for dim in np.unique(sizes).tolist():
+                places = np.flatnonzero(sizes == dim)
+                x = values[(ends[places] - dim)[:, None] + np.arange(dim)]
                 home, near = cells(x / np.linalg.norm(x, axis=1)[:, None])
-                for i, h, p in zip(places, home.tolist(), near.reshape(len(places), -1).tolist(), strict=True):
-                    homes[i], probed[i] = h, p
-            longs = pa.list_(pa.int64())
-            columns = [*part.columns, pa.array(homes, longs), pa.array(probed, longs)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "homes", "probes"])
+                homes[places], probed[places] = home, near.reshape(len(places), -1)
+            lists = [pa.ListArray.from_arrays(pa.array(np.arange(len(sizes) + 1) * m.shape[1], pa.int32()), pa.array(m.ravel(), longs)) for m in (homes, probed)]
+            yield pa.RecordBatch.from_arrays([*part.columns, *lists], names=[*part.schema.names, "homes", "probes"])
 
 
 def _lists(column: pa.Array, width: int) -> np.ndarray:
@@ -137,15 +138,22 @@ class _Rows:
         names = ("cell", "block", "role", "node", "copies")
         if batch is None:
             self.cols = {n: np.empty(0, np.int64) for n in names}
-            self.vectors: np.ndarray = np.empty(0, object)
+            self.vectors = np.empty((0, 0))
             self.homes, self.probes = np.empty((0, TABLES), np.int64), np.empty((0, TABLES * PROBES), np.int64)
             return
         self.cols = {n: batch.column(n).to_numpy(zero_copy_only=False).astype(np.int64) for n in names}
-        values, offsets = batch.column("vector").flatten().to_numpy(zero_copy_only=False).astype(np.float64), np.r_[0, np.cumsum(batch.column("vector").value_lengths().to_numpy())]
-        self.vectors = np.empty(batch.num_rows, object)
-        for i in range(batch.num_rows):
-            v = values[offsets[i] : offsets[i + 1]]
-            self.vectors[i] = v / np.sqrt(v @ v)
+        # one row each, shorter vectors padded with zeros: a cell has one dimension only, and zeros change no cosine
+        lists = batch.column("vector")
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
+        wide = int(sizes.max(initial=0))
+        if (sizes == wide).all():
+            vectors = values.reshape(batch.num_rows, wide)
+        else:
+            vectors = np.zeros((batch.num_rows, wide))
+            inside = np.arange(wide) < sizes[:, None]
+            vectors[inside] = values
+        self.vectors = vectors / np.linalg.norm(vectors, axis=1)[:, None] if batch.num_rows else vectors
         self.homes, self.probes = _lists(batch.column("homes"), TABLES), _lists(batch.column("probes"), TABLES * PROBES)
 
     def take(self, at) -> _Rows:
@@ -157,7 +165,9 @@ class _Rows:
     def plus(self, other: _Rows) -> _Rows:
         out = _Rows(None)
         out.cols = {n: np.r_[c, other.cols[n]] for n, c in self.cols.items()}
-        out.vectors, out.homes, out.probes = np.r_[self.vectors, other.vectors], np.vstack([self.homes, other.homes]), np.vstack([self.probes, other.probes])
+        wide = max(self.vectors.shape[1], other.vectors.shape[1])
+        out.vectors = np.vstack([np.pad(r.vectors, ((0, 0), (0, wide - r.vectors.shape[1]))) for r in (self, other)])
+        out.homes, out.probes = np.vstack([self.homes, other.homes]), np.vstack([self.probes, other.probes])
         return out
 
 
@@ -195,7 +205,9 @@ def _links(homes: _Rows, queries: _Rows, first: np.ndarray, size: np.ndarray) ->
         q, h = q[different], h[different]
         if not len(q):
             continue
-        cosine = np.einsum("ij,ij->i", np.vstack(queries.vectors[q]), np.vstack(homes.vectors[h]))
+        # rows of one dimension meet, the rest of the wider ones is zeros
+        shared = min(queries.vectors.shape[1], homes.vectors.shape[1])
+        cosine = np.einsum("ij,ij->i", queries.vectors[q, :shared], homes.vectors[h, :shared])
         q, h = q[cosine >= COSINE], h[cosine >= COSINE]
         if not len(q):
             continue
