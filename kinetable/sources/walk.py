@@ -8,6 +8,7 @@ frontier is empty, so it never holds the names of a large tree.
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -132,7 +133,7 @@ def write_files(contents: DataFrame, path: Column, content: Column) -> DataFrame
                 body = data.as_py() or b""
                 system, inner = located(target)
                 system.create_dir(inner.rsplit("/", 1)[0], recursive=True)
-                beside = f"{inner}.{os.getpid()}.part"
+                beside = f"{inner}.{uuid.uuid4().hex}.part"
                 with system.open_output_stream(beside) as file:
                     file.write(body)
                 system.move(beside, inner)
