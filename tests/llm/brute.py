@@ -109,13 +109,13 @@ def line_keys(line, every=False):
     return keys
 
 
-def clean_lines(docs, every=False, group=None):
-    """{(id, text): cleaned text} for (id, text); ids of one ``group`` count as one document."""
-    holders, group = defaultdict(set), group or {}
+def clean_lines(docs, every=False):
+    """{(id, text): cleaned text} for (id, text)."""
+    holders = defaultdict(set)
     for i, text in docs:
         for line in (text or "").split("\n"):
             for k in line_keys(line, every):
-                holders[k].add(group.get(i, i))
+                holders[k].add(i)
     out = {}
     for i, text in docs:
         if text is None:
@@ -124,7 +124,7 @@ def clean_lines(docs, every=False, group=None):
         stay = []
         for line in text.split("\n"):
             hit = [holders[k] for k in line_keys(line, every) if len(holders[k]) >= (2 if every and k[0] > 50 else 3)]
-            if all(min(x for x in h if x is not None) == group.get(i, i) for h in hit):
+            if all(min(x for x in h if x is not None) == i for h in hit):
                 stay.append(line)
         out[i, text] = "\n".join(stay)
     return out

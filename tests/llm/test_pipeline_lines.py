@@ -68,17 +68,20 @@ def test_a_document_left_too_short_goes(spark):
     assert got == {0: texts[0], 1: own(1, 60), 3: texts[3]}
 
 
-def test_near_copies_keep_their_lines_until_they_are_compared(spark):
-    words = own(300, 400).split(" ")
-    near = [" ".join([*words[:k], f"edit{chr(97 + k)}", *words[k + 1 :]]) for k in range(5)]
-    passage = own(500, 51)
-    texts = [f"{own(1, 60)}\n{passage}"] + [f"{t}\n{passage}\nlast line of it" for t in near] + [near[0]]
-    df = table(spark, texts)
-    got = stage("line_dedup", spark, df)
-    # the passage was in a document before the group; the group's own lines stay in each
-    assert got == {0: texts[0], **{i + 1: f"{t}\nlast line of it" for i, t in enumerate(near)}, 6: near[0]}
-    docs = dict(corpus_pipeline.STAGES)["line_dedup"](spark, df, "")
-    assert sorted(r["doc_id"] for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, "").collect()) == [0, 1]
+def test_a_document_that_loses_most_of_its_words_goes(spark):
+    passages = [own(500 + k, 60) for k in range(3)]
+    texts = ["\n".join([own(1, 60), *passages]), "\n".join([own(2, 100), *passages]), "\n".join([own(3, 190), *passages])]
+    assert stage("line_dedup", spark, table(spark, texts)) == {0: texts[0], 2: own(3, 190)}
+
+
+def test_near_copies_of_several_lines_leave_one(spark):
+    """Their common lines go from the later ones, and those with them."""
+    lines = [own(300 + k, 55) for k in range(6)]
+    near = ["\n".join([*lines[:k], f"{lines[k]} edit{chr(97 + k)}", *lines[k + 1 :]]) for k in range(6)]
+    docs = table(spark, [*near, own(1, 80)])
+    for name in ("quality_rules", "line_dedup", "simhash_near_dedup"):
+        docs = stored(dict(corpus_pipeline.STAGES)[name](spark, docs, ""), name)
+    assert sorted(r["doc_id"] for r in docs.collect()) == [0, 6]
 
 
 def test_repeated_rows_and_very_long_texts_go_through(spark, no_docs):
