@@ -27,14 +27,15 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines go, but for their first document; n_chars follows the text.
 
-    Near copies count as one document and keep the lines they share, so the next stage still finds
-    them alike. A document that is left with too few words for the quality rules goes.
+    A document that loses lines and is left with too few words for the quality rules, or with less than
+    the share that they ask to remain, goes: what it held stands in the documents before it. So the
+    later ones of near copies go here, where their common lines do.
     """
-    known = docs.where(F.col("doc_id").isNotNull())
-    groups = nearcopies.near_copies(known).groupBy(F.col("doc_id").alias("id")).agg(F.min("component_id").alias("group"))
-    cleaned = templates.drop_template_lines(docs, every=True, groups=stored(groups, "groups"))
+    words = docs.withColumn("_words", F.size(quality.words(F.coalesce("text", F.lit("")))))
+    cleaned = templates.drop_template_lines(words, every=True)
     left = F.size(quality.words(F.col("text")))
-    return with_n_chars(cleaned.where((F.col("n_dropped") == 0) | (left >= quality.MIN_WORDS)), "n_dropped", docs)
+    enough = (left >= quality.MIN_WORDS) & (left >= quality.REMAINING * F.col("_words"))
+    return with_n_chars(cleaned.where((F.col("n_dropped") == 0) | enough), "n_dropped", docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
