@@ -451,7 +451,7 @@ def _write_parts(t: Tables) -> DataFrame:
         chunks.select(F.lit("chunk").alias("kind"), "no", "episodes", "frames", F.lit("v1").alias("note"))
         .unionByName(before.select(F.lit("before").alias("kind"), none.alias("no"), F.col("total_episodes").alias("episodes"), F.col("total_frames").alias("frames"), F.lit("v0").alias("note")))
         .unionByName(now.select(F.lit("total").alias("kind"), F.col("total_chunks").alias("no"), F.col("total_episodes").alias("episodes"), F.col("total_frames").alias("frames"), F.concat(F.lit("tasks "), "total_tasks").alias("note")))
-        .unionByName(read.join(texts).select(F.lit("read").alias("kind"), none.alias("no"), "episodes", "frames", "note"))
+        .unionByName(read.select(F.lit("read").alias("kind"), none.alias("no"), "episodes", "frames", texts.scalar().alias("note")))
     )
 
 

@@ -134,7 +134,8 @@ class TrajectoryStore:
         chunks = self.summary("chunks", version).agg(
             F.coalesce(F.sum("episodes"), F.lit(0)).alias("total_episodes"), F.coalesce(F.sum("frames"), F.lit(0)).alias("total_frames"), F.count_distinct("episode_chunk").alias("total_chunks")
         )
-        return chunks.join(self.summary("tasks", version).agg(F.count_distinct("task_index").alias("total_tasks")))
+        tasks = self.summary("tasks", version).agg(F.count_distinct("task_index").alias("total_tasks"))
+        return chunks.withColumn("total_tasks", tasks.scalar())
 
     def add(self, frames: DataFrame, tasks: DataFrame) -> int:
         """Add the frames of new episodes and the texts of new tasks; the number of the new version.
