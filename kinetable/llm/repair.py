@@ -337,7 +337,10 @@ def search_edits(rows: DataFrame, chunk: int = CHUNK, piece: int = PIECE) -> Dat
     )
     long = chunks.where("long").drop("long")
     every = short if long.isEmpty() else short.unionByName(_long_conversations(long))
-    return _traced(every.withColumn("chunk_rows", F.lit(chunk).cast("bigint")), piece)
+    # small rows of much work: a number of tasks is given, else their few bytes would stand in one
+    spark = rows.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return _traced(every.withColumn("chunk_rows", F.lit(chunk).cast("bigint")).repartition(tasks, "conv", "chunk"), piece)
 
 
 def _lines(edits: Column) -> Column:
