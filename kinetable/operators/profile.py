@@ -101,12 +101,17 @@ def common_keys(files: DataFrame, content: str = "content", order: str = "path")
 
 
 def key_intersection(left: DataFrame, right: DataFrame, content: str = "content") -> DataFrame:
-    """Keys that occur in both inputs."""
+    """Keys that occur in both inputs.
 
-    def keys(df: DataFrame) -> DataFrame:
-        return df.select(F.explode(F.json_object_keys(content)).alias("key"))
+    One aggregate over both sides: keys are combined before the shuffle, so what a task holds grows
+    with the number of different keys and not with the files that have them.
+    """
+
+    def keys(df: DataFrame, is_left: bool) -> DataFrame:
+        return df.select(F.explode(F.json_object_keys(content)).alias("key"), F.lit(is_left).alias("_left"))
 
-    return keys(left).intersect(keys(right))
+    sides = keys(left, True).unionByName(keys(right, False)).groupBy("key").agg(F.bool_or("_left").alias("_in_left"), F.bool_and("_left").alias("_only_left"))
+    return sides.where("_in_left AND NOT _only_left").select("key")
 
 
 def union_topics(recordings: Sequence[DataFrame]) -> DataFrame:
