@@ -6,11 +6,12 @@ the SQL twin runs on the tables themselves.
 
 from __future__ import annotations
 
+import bisect
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -260,17 +261,70 @@ def encode_bson(value: dict) -> bytes:
     return _bson_doc([element(k, v) for k, v in value.items()])
 
 
-def _encode_orders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        contents = []
-        for key, rows in zip(batch["episode_index"], batch["rows"], strict=True):
-            pos = [{"t": 2**40, "data": {"pos": [float(r["q"]), float(r["p"])]}} for r in rows]
-            hands = [{"observation": {"left_hand": [float(r["d"])]}, "ok": True, "note": "hé"} for r in rows]
-            doc = {"data": {"/arm/left": pos}} if key % 2 == 0 else {"frames": hands}
-            raw = encode_bson(doc)
-            contents.append(raw[: len(raw) // 2] if key % 11 == 0 else raw)
-        paths = [f"/ep/{k}_{p}.bson" for k, p in zip(batch["episode_index"], batch["part"], strict=True)]
-        yield pd.DataFrame({"path": paths, "content": contents})
+#: bytes of one batch of encoded documents, and frames that are Python objects at a time
+ENCODED_BYTES, ENCODED_FRAMES = 4 << 20, 20_000
+
+
+def _frame_encoder(frame: Callable[..., dict], values: int) -> Callable[..., list[bytes]]:
+    """Elements of an array of frames that differ by their numbers only: ``frame`` is encoded once, the numbers are put into it."""
+    marks = [1e300 + k * 1e290 for k in range(values)]
+    raw, form, given = encode_bson(frame(*marks)), "<", []
+    for mark in marks:
+        head, raw = raw.split(struct.pack("<d", mark))
+        form, given = f"{form}{len(head)}sd", [*given, head]
+    pack = struct.Struct(f"{form}{len(raw)}s").pack
+    if values == 1:
+        return lambda a: [b"\x03%d\x00" % i + pack(given[0], x, raw) for i, x in enumerate(a)]
+    return lambda a, b: [b"\x03%d\x00" % i + pack(given[0], x, given[1], y, raw) for i, (x, y) in enumerate(zip(a, b, strict=True))]
+
+
+def _frames_document(before: bytes, frames_: list[bytes], name: str, topic: str | None = None) -> bytes:
+    """A document of some encoded fields and an array of encoded frames, below a topic if one is given."""
+    body = _bson_element(binary.ARRAY, topic or name, _bson_doc(frames_))
+    if topic is not None:
+        body = _bson_element(binary.DOCUMENT, name, _bson_doc([body]))
+    return _bson_doc([before, body])
+
+
+def _encoded(batches: Iterator[pa.RecordBatch], names: tuple[str, str], encode: Callable[[dict, dict[str, list]], tuple[object, bytes]]) -> Iterator[pa.RecordBatch]:
+    """Documents of rows (keys..., rows ARRAY<STRUCT>); a task holds few frames as Python objects, or those of one document."""
+
+    def batch(held: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([h[0] for h in held]), pa.array([h[1] for h in held], pa.binary())], names=list(names))
+
+    for given in batches:
+        rows = given.column("rows")
+        offsets, flat = rows.offsets.to_pylist(), rows.values
+        fields = dict(zip(flat.type.names, flat.flatten(), strict=True))
+        held, size, first, end, lists = [], 0, 0, -1, {}
+        for no, key in enumerate(given.drop_columns(["rows"]).to_pylist()):
+            start, stop = offsets[no], offsets[no + 1]
+            if stop > end:
+                until = bisect.bisect_right(offsets, start + ENCODED_FRAMES) - 1
+                first, end = start, max(stop, offsets[until])
+                lists = {name: values.slice(first, end - first).to_pylist() for name, values in fields.items()}
+            held.append(encode(key, {name: values[start - first : stop - first] for name, values in lists.items()}))
+            size += len(held[-1][1])
+            if size >= ENCODED_BYTES:
+                yield batch(held)
+                held, size = [], 0
+        if held:
+            yield batch(held)
+
+
+def _encode_orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    arm = _frame_encoder(lambda q, p: {"t": 2**40, "data": {"pos": [q, p]}}, 2)
+    hand = _frame_encoder(lambda d: {"observation": {"left_hand": [d]}, "ok": True, "note": "hé"}, 1)
+
+    def encode(row: dict, rows: dict[str, list]) -> tuple[str, bytes]:
+        key = row["episode_index"]
+        if key % 2 == 0:
+            raw = _frames_document(b"", arm(rows["q"], rows["p"]), "data", "/arm/left")
+        else:
+            raw = _frames_document(b"", hand(rows["d"]), "frames")
+        return f"/ep/{key}_{row['part']}.bson", raw[: len(raw) // 2] if key % 11 == 0 else raw
+
+    return _encoded(batches, ("path", "content"), encode)
 
 
 @query(
@@ -283,8 +337,8 @@ def _bson(t: Tables) -> DataFrame:
     """500 frames of an order as a BSON document, of the main or of the hand kind; some are cut."""
     row = F.struct("frame_index", F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p"), F.col("l_discount").alias("d"))
     part = F.expr("frame_index div 500").alias("part")
-    documents = frames(t).groupBy("episode_index", part).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    rows = binary.ingest_bson(documents.mapInPandas(_encode_orders, "path STRING, content BINARY"))
+    documents = frames(t).groupBy("episode_index", part).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    rows = binary.ingest_bson(documents.mapInArrow(_encode_orders, "path STRING, content BINARY"))
     first = F.regexp_extract("path", "_([0-9]+)", 1).cast("long") * 500
     return rows.select(
         F.regexp_extract("path", "/ep/([0-9]+)_", 1).cast("long").alias("episode"),
@@ -295,16 +349,19 @@ def _bson(t: Tables) -> DataFrame:
     )
 
 
-def _encode_groups(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        contents = []
-        for key, rows in zip(batch["no"], batch["rows"], strict=True):
-            frames_ = [{"t": 2**40, "data": {"pos": [float(r["q"]), float(r["p"])], "name": "é"}} for r in rows]
-            hands = [{"observation": {"left_hand": [float(r["q"])]}, "ok": True} for r in rows]
-            doc = {"id": int(key), "data": {"/arm/left": frames_}} if key % 2 == 0 else {"note": "x", "frames": hands}
-            raw = encode_bson(doc)
-            contents.append(raw[: len(raw) // 2] if key % 7 == 5 else raw)
-        yield pd.DataFrame({"no": batch["no"], "content": contents})
+def _encode_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    arm = _frame_encoder(lambda q, p: {"t": 2**40, "data": {"pos": [q, p], "name": "é"}}, 2)
+    hand = _frame_encoder(lambda q: {"observation": {"left_hand": [q]}, "ok": True}, 1)
+
+    def encode(row: dict, rows: dict[str, list]) -> tuple[int, bytes]:
+        key, q = row["no"], rows["q"]
+        if key % 2 == 0:
+            raw = _frames_document(encode_bson({"id": key})[4:-1], arm(q, rows["p"]), "data", "/arm/left")
+        else:
+            raw = _frames_document(encode_bson({"note": "x"})[4:-1], hand(q), "frames")
+        return key, raw[: len(raw) // 2] if key % 7 == 5 else raw
+
+    return _encoded(batches, ("no", "content"), encode)
 
 
 @query(
@@ -318,9 +375,10 @@ def _bson_ranges(t: Tables) -> DataFrame:
     """Files of thousands of frames each, cut at frame boundaries and decoded by several tasks; some files are cut short."""
     root = scratch_dir(t.spark, "bson")
     order = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    row = F.struct(*order, F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p"))
-    groups = t.lineitem.groupBy(F.expr("l_orderkey div 2000").alias("no")).agg(F.array_sort(F.collect_list(row)).alias("rows"))
-    contents = groups.mapInPandas(_encode_groups, "no LONG, content BINARY")
+    groups = t.lineitem.groupBy(F.expr("l_orderkey div 2000").alias("no")).agg(F.sort_array(F.collect_list(F.struct(*order))).alias("rows"))
+    # only what the files hold goes to Python
+    values = F.transform("rows", lambda r: F.struct(r["l_quantity"].alias("q"), r["l_extendedprice"].alias("p")))
+    contents = groups.select("no", values.alias("rows")).mapInArrow(_encode_groups, "no LONG, content BINARY")
     walk.write_files(contents, F.concat(F.lit(f"{root}/in/ep_"), "no", F.lit(".bson")), F.col("content")).write.parquet(f"{root}/listing")
     ranges = bsonranges.bson_ranges(walk.walk(t.spark, [f"{root}/in"]))
     rows = bsonranges.ingest_ranges(ranges)

@@ -12,12 +12,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from kinetable.sources.binary import _FIXED, ARRAY, BOOL, DOCUMENT, STRING, decode_bson
+from kinetable.sources.binary import _FIXED, ARRAY, BOOL, DOCUMENT, FRAMES_SCHEMA, STRING, FrameRows, decode_bson
 from kinetable.sources.boxes import Reader
 from kinetable.sources.walk import read_range, tasks
 
 RANGES = "path STRING, topic STRING, first LONG, frames LONG, offset LONG, length LONG, error STRING"
-FRAMES = "path STRING, data_path STRING, frame_index LONG, values ARRAY<DOUBLE>, error STRING"
 #: frames and bytes of one run, about, and bytes read ahead when walking
 RUN_FRAMES, RUN_BYTES, AHEAD = 500, 1 << 20, 1 << 14
 ROWS = 20_000
@@ -158,32 +157,24 @@ def ingest_ranges(ranges: DataFrame, read: Reader = read_range) -> DataFrame:
 
     The same rows as ``binary.ingest_bson`` gives for whole contents.
     """
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.list_(pa.float64()), pa.string()]
-    names = ["path", "data_path", "frame_index", "values", "error"]
-
-    def rows(row: dict) -> Iterator[tuple]:
-        if row["error"] is not None:
-            yield row["path"], None, None, None, row["error"]
-            return
-        body = read(row["path"], row["offset"], row["length"])
-        # a run of elements is a document without its size and its end
-        document = decode_bson((len(body) + 5).to_bytes(4, "little") + body + b"\x00") or {}
-        for number, frame in enumerate(document.values()):
-            for name, values in _frame_vectors(row["topic"], frame):
-                yield row["path"], name, row["first"] + number, [float(v) for v in values], None
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held = FrameRows()
         for batch in batches:
-            for given in batch.to_pylist():
-                for row in rows(given):
-                    held.append(row)
-                    if len(held) == ROWS:
-                        yield _batch(held, kinds, names)
-                        held = []
-        if held:
-            yield _batch(held, kinds, names)
+            for row in batch.to_pylist():
+                if row["error"] is not None:
+                    held.add(row["path"], None, None, None, row["error"])
+                else:
+                    body = read(row["path"], row["offset"], row["length"])
+                    # a run of elements is a document without its size and its end
+                    document = decode_bson((len(body) + 5).to_bytes(4, "little") + body + b"\x00") or {}
+                    for number, frame in enumerate(document.values(), row["first"]):
+                        for name, values in _frame_vectors(row["topic"], frame):
+                            held.add(row["path"], name, number, [float(v) for v in values])
+                if len(held) >= ROWS:
+                    yield held.take()
+        if len(held):
+            yield held.take()
 
     # a number of tasks is given, else the few bytes of the runs' places would all go to one
     dealt = ranges.repartition(tasks(ranges.sparkSession), "path", "topic", "first")
-    return dealt.mapInArrow(run, FRAMES)
+    return dealt.mapInArrow(run, FRAMES_SCHEMA)
