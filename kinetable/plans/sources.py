@@ -19,6 +19,7 @@ from kinetable.functions import flatten as fl
 from kinetable.functions import names as nm
 from kinetable.functions import tags as tg
 from kinetable.operators.features import nested_path
+from kinetable.operators.ordered import number_rows
 from kinetable.plans.catalog import STATUS_SQL, old_status, status_events
 from kinetable.plans.registry import Tables, query, r6
 from kinetable.plans.standin import FRAMES_TASK_SQL, frames, frames_with_task, messages, messages_sql
@@ -188,9 +189,12 @@ def _yaml(t: Tables) -> DataFrame:
         F.lit("\n  level1: container\n  level2: null\noperation_platform_heigth: "), "s_acctbal",
     )
     body = F.when(F.col("s_suppkey") % 10 == 7, F.lit("# nothing here")).otherwise(text)
-    texts = t.supplier.select("s_suppkey", body.alias("value")).repartition(t.spark.sparkContext.defaultParallelism)
-    texts.write.partitionBy("s_suppkey").text(root)
-    records = files.read_registry(t.spark, root, "*.txt")
+    # a supplier that comes twice has two files; their numbers do not depend on the order of rows
+    texts = number_rows(t.supplier.select("s_suppkey", F.concat(F.coalesce(body, F.lit("")), F.lit("\n")).alias("value")), ["s_suppkey"], ["value"], "no")
+    dealt = texts.repartition(walk.tasks(t.spark), "s_suppkey", "no")
+    path = F.concat(F.lit(f"{root}/in/s_suppkey="), F.coalesce(F.col("s_suppkey").cast("string"), F.lit("none")), F.lit("/part-"), "no", F.lit(".txt"))
+    walk.write_files(dealt, path, F.encode("value", "UTF-8")).write.parquet(f"{root}/listing")
+    records = files.read_registry(t.spark, f"{root}/in", "*.txt")
     good = F.col("reject_reason").isNull()
     return records.select(
         F.regexp_extract("path", "s_suppkey=([0-9]+)/", 1).cast("long").alias("s_suppkey"),

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kinetable.sources import walk
+
+#: characters of one batch of texts
+TEXT_BATCH = 8 << 20
 CORRUPT = "_corrupt_record"
 
 
@@ -202,10 +209,76 @@ def parse_registry(texts: DataFrame) -> DataFrame:
     return texts.select("path", "value").mapInPandas(_parse_registry, REGISTRY_SCHEMA)
 
 
+def _hidden(name: str) -> bool:
+    """Whether Spark's readers leave out what is named so."""
+    return name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_")
+
+
+def _entries(path: str) -> Iterator[walk.Entry]:
+    """``walk.list_directory`` with links followed, without hidden names."""
+    for name, below, size in walk.list_directory(path):
+        if _hidden(name.rsplit("/", 1)[1]):
+            continue
+        if "://" not in name and os.path.islink(name):
+            below, size = os.path.isdir(name), os.path.getsize(name)
+        yield name, below, size
+
+
+def _read_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def batch(held: list[tuple[str, str]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*held, strict=True)], names=["path", "value"])
+
+    for given in batches:
+        held, size = [], 0
+        for path in given.column(0).to_pylist():
+            system, inner = walk.located(path)
+            with system.open_input_stream(inner) as file:
+                value = file.read().decode()
+            # as Spark's file metadata spells it
+            spelt = re.sub(r"[^A-Za-z0-9/_.!~'()*,;:$&+=@\x80-\U0010ffff-]", lambda m: f"%{ord(m[0]):02X}", path)
+            held.append((spelt, value))
+            size += len(value)
+            if size >= TEXT_BATCH:
+                yield batch(held)
+                held, size = [], 0
+        if held:
+            yield batch(held)
+
+
+def read_texts(spark: SparkSession, paths: str | list[str], pattern: str | None = None) -> DataFrame:
+    """(path, value) of whole text files below ``paths``: folders, files or patterns.
+
+    Folders are listed and files read in tasks, dealt evenly, so many small ones cost neither a task each
+    nor a place in the driver. Hidden and empty files are left out, as Spark's readers do.
+    """
+    folders, single = [], []
+    for given in [paths] if isinstance(paths, str) else paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(given)
+        found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+        if not found:
+            raise FileNotFoundError(f"no such path: {given}")
+        for status in found:
+            name = re.sub("^file:/+", "/", status.getPath().toString())
+            if status.isDirectory():
+                folders.append(name)
+            elif not _hidden(name.rsplit("/", 1)[1]):
+                single.append((name, status.getLen()))
+    listing = spark.createDataFrame(single, "path STRING, length LONG")
+    if folders:
+        listing = listing.unionByName(walk.walk(spark, folders, lister=_entries).select("path", "length"))
+    if len(folders) + len(single) > 1:
+        # a place that is given twice counts once
+        listing = listing.dropDuplicates(["path"])
+    wanted = listing.where("length > 0")
+    if pattern is not None:
+        shape = spark._jvm.org.apache.hadoop.fs.GlobPattern(pattern).compiled().pattern()
+        wanted = wanted.where(walk.file_name(F.col("path")).rlike(f"(?s)^(?:{shape})$"))
+    return wanted.repartition(walk.tasks(spark), "path").select("path").mapInArrow(_read_texts, "path STRING, value STRING")
+
+
 def read_registry(spark: SparkSession, paths: str | list[str], pattern: str = "*.y*ml") -> DataFrame:
     """``parse_registry`` of many YAML files."""
-    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
-    return parse_registry(_with_path(reader.text(paths, wholetext=True)))
+    return parse_registry(read_texts(spark, paths, pattern))
 
 
 TAG_COLUMNS = ("address_nas", "tags")

@@ -1,11 +1,12 @@
 """What a task holds or does must not grow with the table: plans, batches and listings of the larger jobs."""
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from kinetable.operators import profile as pf
 from kinetable.plans import sources
-from kinetable.sources import binary
+from kinetable.sources import binary, files
 
 
 def plan_of(df):
@@ -36,3 +37,24 @@ def test_encoded_documents_leave_in_small_batches(monkeypatch):
             assert binary.decode_bson(content) == {"id": n, "data": {"/arm/left": [{"t": 2**40, "data": {"pos": [n + i / 4, float(i)], "name": "é"}} for i in range(n)]}}
         else:
             assert binary.decode_bson(content) == {"note": "x", "frames": [{"observation": {"left_hand": [n + i / 4]}, "ok": True} for i in range(n)]}
+
+
+def test_registry_files_are_listed_and_read_in_tasks(spark, tmp_path):
+    body = "dataset_name: n\ndataset_uuid: u\n"
+    for name in ("a/x 1.yml", "a/deep=1/y.yaml", "_hidden/z.yml", ".z.yml", "b/z.txt", "b/_z.yml", "b/é%.yml"):
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text(body)
+    (tmp_path / "in/b/empty.yml").write_text("")
+    (tmp_path / "away/c").mkdir(parents=True)
+    (tmp_path / "away/c/linked.yml").write_text(body)
+    (tmp_path / "in/c").symlink_to(tmp_path / "away/c")
+    reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.y{ml,aml}")
+    for paths in (str(tmp_path / "in"), [str(tmp_path / "in/*"), str(tmp_path / "in/a/x 1.yml")], f"file://{tmp_path}/in"):
+        found = files.read_texts(spark, paths, "*.y{ml,aml}")
+        plain = files._with_path(reader.text(paths, wholetext=True)).select("path", "value")
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+        assert files.read_registry(spark, paths, "*.y{ml,aml}").where("reject_reason IS NULL").count() == plain.count() > 3
+        # no file scan over the files themselves: their number does not reach the driver
+        assert not any("in/" in f for f in found.inputFiles())
+    with pytest.raises(FileNotFoundError):
+        files.read_registry(spark, str(tmp_path / "none"))
