@@ -41,6 +41,8 @@ MAX_SLICES = COARSE * FINE
 SAMPLES_PER_SLICE = 8
 DEFAULT_HOT_ROWS = 1_000_000
 HOT_ROWS_CONF = "spark.kinetable.hotGroupRows"
+# rows that a task sorts, about: a larger table has more partitions than the session's number
+ROWS_PER_TASK = 500_000
 
 SLICE = "_slice"
 _GLOBAL = "_all"
@@ -48,11 +50,12 @@ _GLOBAL = "_all"
 
 @dataclass(frozen=True)
 class Split:
-    """How a table is cut: ``bounds`` is None when no group is hot."""
+    """How a table is cut: ``bounds`` is None when no group is hot; ``rows`` of the whole table, when known."""
 
     by: tuple[str, ...]
     order: tuple[str, ...]
     bounds: DataFrame | None = None
+    rows: int | None = None
 
     @property
     def hot(self) -> bool:
@@ -93,19 +96,24 @@ def plan_split(
     if stored:
         total = df.count()
         if total <= limit:
-            return Split(by, order)
+            return Split(by, order, rows=total)
         if given is None:
             limit = max(limit, total // int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    hot = (
+    is_hot = F.col("_rows") > limit
+    # a row per hot group, one for all others together
+    counted = (
         df.groupBy(*by)
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") > limit)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_GROUPS)
+        .groupBy(is_hot.alias("_hot"), *[F.when(is_hot, F.col(name)).alias(name) for name in by])
+        .agg(F.sum("_rows").alias("_rows"))
+        .orderBy("_hot", F.desc("_rows"))
+        .limit(MAX_HOT_GROUPS + 1)
         .collect()
     )
+    hot = [row for row in counted if row["_hot"]][:MAX_HOT_GROUPS]
+    total = sum(row["_rows"] for row in counted)
     if not hot:
-        return Split(by, order)
+        return Split(by, order, rows=total)
     spark = df.sparkSession
     key_fields = [df.schema[name] for name in by]
     wanted = spark.createDataFrame(
@@ -143,7 +151,7 @@ def plan_split(
         fine = [row["_bounds"][i : i + FINE] for i in range(0, len(row["_bounds"]), FINE)]
         rows.append(tuple(row[name] for name in by) + ([part[-1] for part in fine], fine))
     # fixed on the driver, so that every later use cuts at the same keys
-    return Split(by, order, spark.createDataFrame(rows, schema))
+    return Split(by, order, spark.createDataFrame(rows, schema), total)
 
 
 def _slice_counts(sizes: Sequence[int], limit: int) -> list[int]:
@@ -166,6 +174,17 @@ def slice_rows(df: DataFrame, split: Split, key: Column | None = None) -> DataFr
     return df.join(bounds, _same_group(split.by, "_h_"), "left").select(*columns, number.alias(SLICE))
 
 
+def _spread(df: DataFrame, keys: Sequence[str], split: Split, times: int = 1) -> DataFrame:
+    """``df`` of ``times`` the rows of the split's table, by ``keys`` in so many partitions that a task sorts few rows.
+
+    A table that the session's number of partitions is enough for is left to the window's own shuffle.
+    """
+    wanted = math.ceil((split.rows or 0) * times / ROWS_PER_TASK)
+    if wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return df
+    return df.repartition(wanted, *keys)
+
+
 def _join_slices(df: DataFrame, extra: DataFrame, by: Sequence[str]) -> DataFrame:
     """Left join per-slice summary columns on (by, slice), the keys the window is partitioned by."""
     keys = [*by, SLICE]
@@ -196,10 +215,10 @@ def number_rows(
     split = split or plan_split(df, by, order, hot_rows, stored)
     if not split.hot:
         w = Window.partitionBy(*by).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(w).cast("long") + (start - 1))
+        return _spread(df, by, split).withColumn(name, F.row_number().over(w).cast("long") + (start - 1))
     sliced = slice_rows(df, split)
     w = Window.partitionBy(*by, SLICE).orderBy(*order)
-    local = sliced.withColumn(name, F.row_number().over(w).cast("long") + (start - 1))
+    local = _spread(sliced, [*by, SLICE], split).withColumn(name, F.row_number().over(w).cast("long") + (start - 1))
     before = Window.partitionBy(*by).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         sliced.where(F.col(SLICE) > 0)
@@ -226,10 +245,10 @@ def with_previous(
     """Value of ``source`` on the row before, per group in ascending ``order``."""
     split = split or plan_split(df, by, order, hot_rows)
     if not split.hot:
-        return df.withColumn(name, F.lag(source).over(Window.partitionBy(*by).orderBy(*order)))
+        return _spread(df, by, split).withColumn(name, F.lag(source).over(Window.partitionBy(*by).orderBy(*order)))
     sliced = slice_rows(df, split)
     w = Window.partitionBy(*by, SLICE).orderBy(*order)
-    local = sliced.withColumn(name, F.lag(source).over(w)).withColumn("_first", F.row_number().over(w) == 1)
+    local = _spread(sliced, [*by, SLICE], split).withColumn(name, F.lag(source).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     ends = (
         sliced.where(F.col(SLICE) > 0)
         .groupBy(*by, SLICE)
@@ -292,7 +311,9 @@ def stacked_neighbours(stacked: DataFrame, by: Sequence[str], split: Split | Non
     running = (Window.unboundedPreceding, Window.currentRow)
     asc = Window.partitionBy(*groups).orderBy("_k", "_kind", F.desc("_o")).rowsBetween(*running)
     desc = Window.partitionBy(*groups).orderBy(F.desc("_k"), F.desc("_kind"), F.desc("_o")).rowsBetween(*running)
-    around = stacked.withColumn("_prev", F.last("_source", ignorenulls=True).over(asc)).withColumn(
+    # a row may stand here as a source and as a target
+    spread = stacked if split is None else _spread(stacked, groups, split, 2)
+    around = spread.withColumn("_prev", F.last("_source", ignorenulls=True).over(asc)).withColumn(
         "_next", F.last("_source", ignorenulls=True).over(desc)
     )
     around = around.where(F.col("_kind") == 1)
