@@ -426,14 +426,13 @@ def _media(t: Tables) -> DataFrame:
     f"""WITH {FRAMES_TASK_SQL} SELECT episode_index // 1000 AS episode_chunk, episode_index, frame_index, task_index, l_quantity AS s0, l_tax AS a1 FROM frames_t""",
 )
 def _write(t: Tables) -> DataFrame:
-    root = _written(t)
-    back = t.spark.read.parquet(f"{root}/data")
+    _, back = _written(t)
     return back.select(
         F.col("episode_chunk").cast("long").alias("episode_chunk"), "episode_index", "frame_index", "task_index", F.col("state")[0].alias("s0"), F.col("action")[1].alias("a1")
     )
 
 
-def _written(t: Tables) -> str:
+def _written(t: Tables) -> tuple[str, DataFrame]:
     root = scratch_dir(t.spark, "trajectory") + "/out"
     rows = frames_with_task(t).select("episode_index", "frame_index", "task_index", "state", "action")
     tasks = t.orders.select((F.col("o_custkey") % 3).alias("task_index")).distinct()
@@ -442,8 +441,7 @@ def _written(t: Tables) -> str:
         "feature STRING, dtype STRING, shape ARRAY<INT>, names ARRAY<STRING>",
     )
     tasks = tasks.withColumn("task", F.concat(F.lit("task "), "task_index"))
-    writers.write_trajectory(rows, root, tasks, fps=25, robot_type="arm", features=features)
-    return root
+    return root, writers.write_trajectory(rows, root, tasks, fps=25, robot_type="arm", features=features)
 
 
 @query(
@@ -454,7 +452,7 @@ UNION ALL SELECT 'layout', count(DISTINCT episode_index), NULL, 'v2.1 arm 25.0 t
 UNION ALL SELECT 'info', count(DISTINCT episode_index), count(*), 'chunks ' || count(DISTINCT episode_index // 1000) || ' tasks ' || (SELECT count(DISTINCT o_custkey % 3) FROM orders) FROM frames_t""",
 )
 def _write_meta(t: Tables) -> DataFrame:
-    root = _written(t)
+    root, _ = _written(t)
     episodes = files.read_jsonl(t.spark, f"{root}/meta/episodes", files.EPISODES_SCHEMA, "*.json")
     tasks = files.read_jsonl(t.spark, f"{root}/meta/tasks", files.TASKS_SCHEMA, "*.json")
     info = files.read_jsonl(t.spark, f"{root}/meta/info", files.INFO_SCHEMA, "*.json")

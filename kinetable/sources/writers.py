@@ -8,8 +8,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from kinetable.session import staged
+
 CHUNK = 1000
 EPISODE, FRAME = "episode_index", "frame_index"
+# partitions that chunks are dealt to before small ones are merged: with few, a partition of many chunks would be cut
+# by size, and each piece would write a file for each of its chunks
+REBALANCED = 1000
 
 
 # fixed values: version of the layout that the metadata names
@@ -26,21 +31,22 @@ def write_trajectory(
     mode: str = "errorifexists",
     robot_type: str = "unknown",
     features: DataFrame | None = None,
-) -> None:
+) -> DataFrame:
     """Frames below ``root/data/episode_chunk=…`` and the metadata below ``root/meta``.
 
     ``frames`` holds episode_index, frame_index, task_index and the vectors, ``tasks`` the task
     texts (task_index, task); an episode of an unknown task has no text. ``features`` is the table
     of ``features.feature_schema``. The rebalance hint brings a chunk together, cuts one that is
     too large into several files and needs no sampling pass. The metadata is computed from the
-    files written, of which it reads two columns. Metadata describes the whole dataset, so
+    files written, of which it reads two columns; the frames as written are returned, so that their
+    folders need not be listed again. Metadata describes the whole dataset, so
     appending is refused: ``TrajectoryStore`` is the form that episodes are added to.
     """
     if mode == "append":
         raise ValueError("a trajectory is not appended to: its metadata describes the whole")
     chunked = frames.withColumn("episode_chunk", F.floor(F.col(EPISODE) / CHUNK))
     (
-        chunked.hint("rebalance", "episode_chunk")
+        chunked.hint("rebalance", REBALANCED, "episode_chunk")
         .sortWithinPartitions("episode_chunk", EPISODE, FRAME)
         .write.mode(mode)
         .partitionBy("episode_chunk")
@@ -77,6 +83,7 @@ def write_trajectory(
         "features MAP<STRING, STRUCT<dtype: STRING, shape: ARRAY<INT>, names: ARRAY<STRING>>>"
     )
     spark.createDataFrame([row], schema).coalesce(1).write.mode(mode).json(f"{root}/meta/info")
+    return written
 
 
 class TrajectoryStore:
@@ -146,14 +153,15 @@ class TrajectoryStore:
         known = self.versions()
         version = known[-1] + 1 if known else 0
         data = f"{self.root}/data/part={version}"
-        texts = tasks.select("task_index", "task").distinct()
+        # needed three times, and may come from all frames
+        texts = staged(tasks.select("task_index", "task").distinct(), "tasks")
         every = self.summary("tasks").select("task_index", "task").unionByName(texts).distinct()
         clash = every.groupBy("task_index").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("task_index").limit(5).collect()
         if clash:
             raise ValueError(f"tasks with two texts: {[r[0] for r in clash]}")
         (
             frames.withColumn("episode_chunk", F.floor(F.col(EPISODE) / CHUNK))
-            .hint("rebalance", "episode_chunk")
+            .hint("rebalance", REBALANCED, "episode_chunk")
             .sortWithinPartitions("episode_chunk", EPISODE, FRAME)
             .write.mode("overwrite")
             .partitionBy("episode_chunk")

@@ -4,9 +4,11 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from kinetable.operators import ordered
 from kinetable.operators import profile as pf
+from kinetable.operators.frames import nearest_image
 from kinetable.plans import sources
-from kinetable.sources import binary, files
+from kinetable.sources import binary, files, writers
 
 
 def plan_of(df):
@@ -58,3 +60,51 @@ def test_registry_files_are_listed_and_read_in_tasks(spark, tmp_path):
         assert not any("in/" in f for f in found.inputFiles())
     with pytest.raises(FileNotFoundError):
         files.read_registry(spark, str(tmp_path / "none"))
+
+
+def test_large_tables_have_partitions_by_their_rows(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "ROWS_PER_TASK", 100)
+    for hot_rows in (None, 50):
+        frames = spark.range(3000).selectExpr("if(id < 900, 0, id % 40) AS episode_index", "id AS frame_index", "id * 2 AS v")
+        split = ordered.plan_split(frames, ["episode_index"], ["frame_index"], hot_rows)
+        assert split.rows == 3000 and split.hot == (hot_rows is not None)
+        assert "REPARTITION_BY_NUM" in plan_of(ordered.number_rows(frames, ["episode_index"], ["frame_index"], "no", split=split))
+        found = nearest_image(frames.drop("v"), frames.where("frame_index % 3 = 0"), ["v"], split)
+        assert "REPARTITION_BY_NUM" in plan_of(found)
+        rows = frames.collect()
+        images = {}
+        for r in rows:
+            if r["frame_index"] % 3 == 0:
+                images.setdefault(r["episode_index"], []).append(r["frame_index"])
+        want = {(r["episode_index"], r["frame_index"], min(images[r["episode_index"]], key=lambda i: (abs(i - r["frame_index"]), i))) for r in rows}
+        assert {(r["episode_index"], r["frame_index"], r["image_frame_index"]) for r in found.collect()} == want
+    assert ordered.plan_split(frames.limit(0), ["episode_index"], ["frame_index"]).rows == 0
+
+
+def test_adding_reads_the_table_of_tasks_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    frames = spark.range(2400).selectExpr("id div 2 AS episode_index", "id % 2 AS frame_index", "id % 3 AS task_index")
+    tasks = spark.range(3, numPartitions=1).selectExpr("id AS task_index", "concat('t', id) AS task").mapInArrow(counted, "task_index LONG, task STRING")
+    store = writers.TrajectoryStore(spark, str(tmp_path / "out"))
+    store.add(frames, tasks)
+    assert seen.value == 3
+    assert tuple(store.totals().first()) == (1200, 2400, 2, 3)
+
+
+def test_a_chunk_is_one_file(spark, tmp_path):
+    frames = spark.range(200_000).selectExpr("id div 20 AS episode_index", "id % 20 AS frame_index", "id % 3 AS task_index", "array(rand(1), rand(2), rand(3)) AS state")
+    tasks = spark.range(3).selectExpr("id AS task_index", "concat('t', id) AS task")
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1m")
+    try:
+        written = writers.write_trajectory(frames, str(tmp_path / "out"), tasks)
+    finally:
+        spark.conf.set(name, before)
+    assert written.count() == 200_000 and len(written.inputFiles()) == 10
