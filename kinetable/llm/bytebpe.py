@@ -3,7 +3,8 @@
 A long text is cut into chunks that overlap. Every chunk is pre-tokenised on its own, in
 parallel; neighbours are stitched at the first pre-token boundary of the overlap that both
 see, from where their boundaries agree (a boundary's continuation depends only on the text
-after it). Then the pieces are encoded. A text of one chunk needs no stitching and no shuffle.
+after it). Then the pieces are encoded, those not seen before in arrays of equal length, which
+merge one pair each per round. A text of one chunk needs no stitching and no shuffle.
 Decoding concatenates the raw bytes of the ids.
 """
 
@@ -12,8 +13,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,12 +23,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinetable.llm.common import map_texts
+from kinetable.llm.common import map_texts, steps
 
 CHUNK, OVERLAP = 16_384, 512
 #: a boundary this near to the end of a view may depend on what follows
 MARGIN = 8
 KEPT_PIECES, KEPT_CHARS = 150_000, 200
+#: characters of texts whose pieces are held at a time, and bytes of a piece that goes into an array
+HELD_CHARS, ARRAY_BYTES = 1 << 20, 48
 #: rank of a pair that is no token
 NONE = 1 << 40
 
@@ -48,7 +52,7 @@ class ByteEncoder:
         ranks = self.ranks
         if data in ranks:
             return [ranks[data]]
-        if len(data) > 48:
+        if len(data) > ARRAY_BYTES:
             return self._long_piece(data)
         parts = [data[i : i + 1] for i in range(len(data))]
         pairs = [ranks.get(data[i : i + 2], NONE) for i in range(len(data) - 1)]
@@ -88,47 +92,138 @@ class ByteEncoder:
             i = end[i]
         return out
 
-    def encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of every piece."""
+    @cached_property
+    def single(self) -> np.ndarray | None:
+        """Ranks of the 256 bytes; None when some byte is no token."""
+        found = [self.ranks.get(bytes([b])) for b in range(256)]
+        return None if None in found else np.array(found, np.int64)
+
+    @cached_property
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted keys of all pairs of tokens that are a token together, and that token's rank."""
+        ranks, n, keys, made = self.ranks, len(self.raw), [-1], [NONE]
+        for token, rank in ranks.items():
+            for i in range(1, len(token)):
+                left, right = ranks.get(token[:i]), ranks.get(token[i:])
+                if left is not None and right is not None:
+                    keys.append(left * n + right)
+                    made.append(rank)
+        order = np.argsort(np.array(keys, np.int64))
+        return np.array(keys, np.int64)[order], np.array(made, np.int64)[order]
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of every pair of ids, NONE for a pair that is no token."""
+        keys, made = self.pairs
+        wanted = left * len(self.raw) + right
+        at = np.searchsorted(keys, wanted, "right") - 1
+        return np.where(keys[at] == wanted, made[at], NONE)
+
+    def _merge(self, data: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(places, ids of these) of pieces of one length as ``piece`` gives them: a round merges one pair of each that has one."""
+        places = np.arange(len(data))
+        ids = self.single[np.frombuffer(b"".join(data), np.uint8).reshape(len(data), -1)]
+        joined = self._joined(ids[:, :-1], ids[:, 1:])
+        while joined.shape[1]:
+            low = joined.argmin(1)
+            rank = joined[np.arange(len(low)), low]
+            done = rank == NONE
+            if done.any():
+                yield places[done], ids[done]
+                places, ids, joined, low, rank = places[~done], ids[~done], joined[~done], low[~done], rank[~done]
+            rows, width = np.arange(len(low)), joined.shape[1]
+            # the right one of the two goes, and their pair; the pairs to the left and right change
+            ids[rows, low] = rank
+            ids = ids[np.arange(width + 1) != low[:, None] + 1].reshape(len(low), width)
+            joined = joined[np.arange(width) != low[:, None]].reshape(len(low), width - 1)
+            some = rows[low > 0]
+            joined[some, low[some] - 1] = self._joined(ids[some, low[some] - 1], rank[some])
+            some = rows[low < width - 1]
+            joined[some, low[some]] = self._joined(rank[some], ids[some, low[some] + 1])
+        if len(places):
+            yield places, ids
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Ids of pieces into ``known``; those of one length are merged together."""
+        known, ranks = self.known, self.ranks
+        sized: dict[int, tuple[list[str], list[bytes]]] = defaultdict(lambda: ([], []))
+        for p in pieces:
+            data = p.encode("utf-8", "surrogatepass")
+            if data in ranks or len(data) > ARRAY_BYTES or self.single is None:
+                known[p] = np.array(self.piece(data), "<u4").tobytes()
+            else:
+                names, raw = sized[len(data)]
+                names.append(p)
+                raw.append(data)
+        for names, raw in sized.values():
+            for places, ids in self._merge(raw):
+                rows = np.ascontiguousarray(ids, "<u4").view(f"V{4 * ids.shape[1]}").ravel().tolist()
+                known.update(zip(map(names.__getitem__, places.tolist()), rows, strict=True))
+
+    def encode_pieces(self, texts: list[list[str]]) -> list[list[bytes]]:
+        """Little-endian 32-bit ids of every piece of every text."""
         known = self.known
-        long = []
-        for p in {p for p in pieces if p not in known}:
-            known[p] = np.array(self.piece(p.encode("utf-8", "surrogatepass")), "<u4").tobytes()
-            if len(p) > KEPT_CHARS:
-                long.append(p)
-        out = list(map(known.__getitem__, pieces))
+        out = [list(map(known.get, pieces)) for pieces in texts]
+        missed = [[i for i, x in enumerate(ids) if x is None] if None in ids else [] for ids in out]
+        new = {pieces[i] for pieces, at in zip(texts, missed, strict=True) for i in at}
+        self._learn(new)
+        for pieces, ids, at in zip(texts, out, missed, strict=True):
+            for i in at:
+                ids[i] = known[pieces[i]]
         if len(known) > KEPT_PIECES:
             known.clear()
         else:
-            for p in long:
-                del known[p]
+            for p in new:
+                if len(p) > KEPT_CHARS:
+                    del known[p]
         return out
 
-    def encode(self, text: str | None) -> bytes:
-        return b"".join(self.encode_pieces(self.split.findall(text))) if text else b""
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of every text; new pieces of several texts are merged together."""
+        out: list[bytes] = []
+        for at, rows in steps(np.array([len(t or "") for t in texts], np.int64), limit=HELD_CHARS):
+            found = self.encode_pieces([self.split.findall(t or "") for t in texts[at : at + rows]])
+            out.extend(map(b"".join, found))
+        return out
+
+    @cached_property
+    def tokens(self) -> pa.Array:
+        return pa.array(self.raw, pa.large_binary())
 
     def decode(self, ids: bytes | None) -> bytes | None:
-        return None if ids is None else b"".join(map(self.raw.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        """The raw bytes of the ids, gathered by Arrow into one buffer."""
+        if not ids:
+            return ids
+        found = self.tokens.take(pa.array(np.frombuffer(ids, "<u4")))
+        _, ends, data = found.buffers()
+        return data.slice(0, int(np.frombuffer(ends, np.int64)[len(found)])).to_pybytes()
 
     def starts(self, text: str) -> list[int]:
         return [m.start() for m in self.split.finditer(text)]
 
     def chunk(self, window: str, next_at: int | None) -> tuple[bytes, list[int], list[int], int]:
-        """One chunk on its own.
+        """One chunk on its own."""
+        return self.chunks([window], [next_at])[0]
+
+    def chunks(self, windows: list[str], next_at: list[int | None]) -> list[tuple[bytes, list[int], list[int], int]]:
+        """Chunks, each on its own; their new pieces are merged together."""
+        pieces = list(map(self.split.findall, windows))
+        return list(map(self._cut, windows, next_at, pieces, self.encode_pieces(pieces)))
+
+    def _cut(self, window: str, next_at: int | None, pieces: list[str], ids: list[bytes]) -> tuple[bytes, list[int], list[int], int]:
+        """The part of a chunk that is its own.
 
         Returns the ids from the window's first boundary up to the stitch with the next chunk,
         the head's boundaries and the number of ids before each, and the place of the stitch in
         the next window (-1 without one). ``next_at`` is where the next window begins, None for
         the last chunk.
         """
-        pieces = self.split.findall(window)
-        ids = self.encode_pieces(pieces)
         begins = np.cumsum([0, *map(len, pieces)])
         before = np.cumsum([0, *[len(x) // 4 for x in ids]])
         stop, stitch = len(pieces), 0
         if next_at is not None:
             limit = len(window) - next_at - MARGIN
-            own = {int(b) - next_at: i for i, b in enumerate(begins) if b >= next_at}
+            first = int(np.searchsorted(begins, next_at))
+            own = {b - next_at: i for i, b in enumerate(begins[first:].tolist(), first)}
             # the next chunk's own view of the overlap
             stitch = next((p for p in self.starts(window[next_at:]) if 0 < p <= limit and p in own), -1)
             stop = own[stitch] if stitch >= 0 else stop
@@ -150,7 +245,7 @@ def encode(docs: DataFrame, keep: list[str], ranks_path: str, pattern: str, text
     """
     short = docs.where(F.coalesce(F.length(text), F.lit(0)) <= CHUNK)
     done = map_texts(
-        short, text, keep, [("ids", "binary", pa.binary())], lambda texts: [list(map(encoder(ranks_path, pattern).encode, texts))]
+        short, text, keep, [("ids", "binary", pa.binary())], lambda texts: [encoder(ranks_path, pattern).encode(texts)]
     )
     return done.unionByName(_encode_long(docs.where(F.length(text) > CHUNK), keep, ranks_path, pattern, text))
 
@@ -176,14 +271,11 @@ def _encode_long(docs: DataFrame, keep: list[str], ranks_path: str, pattern: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(ranks_path, pattern)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
+            for at in range(0, batch.num_rows, 64):
+                part = batch.slice(at, 64)
                 rows = part.select(["_no", "_count", "_window"]).to_pylist()
-                made = []
-                for r in rows:
-                    last = r["_no"] == r["_count"] - 1
-                    next_at = None if last else CHUNK - OVERLAP + (OVERLAP if r["_no"] else 0)
-                    made.append(own.chunk(r["_window"], next_at))
+                next_at = [None if r["_no"] == r["_count"] - 1 else CHUNK - OVERLAP + (OVERLAP if r["_no"] else 0) for r in rows]
+                made = own.chunks([r["_window"] for r in rows], next_at)
                 # the chunk's own text, for a text whose chunks find no common boundary
                 cores = [r["_window"][OVERLAP if r["_no"] else 0 :][:CHUNK] for r in rows]
                 columns = [part.column(c) for c in (*keep, "_mark", "_copies", "_no")]
@@ -221,7 +313,7 @@ def join_chunks(own: ByteEncoder, chunks: list[dict]) -> bytes:
     for c in chunks:
         at = dict(zip(c["_begins"], c["_before"], strict=True)).get(place)
         if at is None or c["_stitch"] < 0:
-            return own.encode("".join(c["_core"] for c in chunks))
+            return own.encode(["".join(c["_core"] for c in chunks)])[0]
         out.append(c["_ids"][4 * at :])
         place = c["_stitch"]
     return b"".join(out)
