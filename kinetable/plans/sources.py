@@ -7,6 +7,7 @@ the SQL twin runs on the tables themselves.
 from __future__ import annotations
 
 import bisect
+import itertools
 import struct
 from collections.abc import Callable, Iterator
 from functools import reduce
@@ -290,12 +291,29 @@ def _frames_document(before: bytes, frames_: list[bytes], name: str, topic: str
     return _bson_doc([before, body])
 
 
+def _contents(held: list[tuple], names: tuple[str, str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([h[0] for h in held]), pa.array([h[1] for h in held], pa.binary())], names=list(names))
+
+
+def _runs(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[tuple, list[list]]]:
+    """(keys, values of the other columns) of runs of equal leading columns in sorted rows; a run may go on in the next batch."""
+    rest: list[list] = []
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns]
+        if rest:
+            columns = [a + b for a, b in zip(rest, columns, strict=True)]
+        marks = list(zip(*columns[:keys], strict=True))
+        starts = [i for i, mark in enumerate(marks) if i == 0 or mark != marks[i - 1]]
+        for start, stop in itertools.pairwise(starts):
+            yield marks[start], [c[start:stop] for c in columns[keys:]]
+        rest = [c[starts[-1] :] for c in columns] if starts else []
+    if rest:
+        yield tuple(c[0] for c in rest[:keys]), rest[keys:]
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], names: tuple[str, str], encode: Callable[[dict, dict[str, list]], tuple[object, bytes]]) -> Iterator[pa.RecordBatch]:
     """Documents of rows (keys..., rows ARRAY<STRUCT>); a task holds few frames as Python objects, or those of one document."""
 
-    def batch(held: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([h[0] for h in held]), pa.array([h[1] for h in held], pa.binary())], names=list(names))
-
     for given in batches:
         rows = given.column("rows")
         offsets, flat = rows.offsets.to_pylist(), rows.values
@@ -310,25 +328,29 @@ def _encoded(batches: Iterator[pa.RecordBatch], names: tuple[str, str], encode:
             held.append(encode(key, {name: values[start - first : stop - first] for name, values in lists.items()}))
             size += len(held[-1][1])
             if size >= ENCODED_BYTES:
-                yield batch(held)
+                yield _contents(held, names)
                 held, size = [], 0
         if held:
-            yield batch(held)
+            yield _contents(held, names)
 
 
 def _encode_orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     arm = _frame_encoder(lambda q, p: {"t": 2**40, "data": {"pos": [q, p]}}, 2)
     hand = _frame_encoder(lambda d: {"observation": {"left_hand": [d]}, "ok": True, "note": "hé"}, 1)
 
-    def encode(row: dict, rows: dict[str, list]) -> tuple[str, bytes]:
-        key = row["episode_index"]
+    held, size = [], 0
+    for (key, part), (q, p, d) in _runs(batches, 2):
         if key % 2 == 0:
-            raw = _frames_document(b"", arm(rows["q"], rows["p"]), "data", "/arm/left")
+            raw = _frames_document(b"", arm(q, p), "data", "/arm/left")
         else:
-            raw = _frames_document(b"", hand(rows["d"]), "frames")
-        return f"/ep/{key}_{row['part']}.bson", raw[: len(raw) // 2] if key % 11 == 0 else raw
-
-    return _encoded(batches, ("path", "content"), encode)
+            raw = _frames_document(b"", hand(d), "frames")
+        held.append((f"/ep/{key}_{part}.bson", raw[: len(raw) // 2] if key % 11 == 0 else raw))
+        size += len(raw)
+        if size >= ENCODED_BYTES:
+            yield _contents(held, ("path", "content"))
+            held, size = [], 0
+    if held:
+        yield _contents(held, ("path", "content"))
 
 
 @query(
@@ -339,10 +361,11 @@ UNION ALL SELECT DISTINCT e, 'unreadable', frame_index // 500 * 500, NULL, NULL
 )
 def _bson(t: Tables) -> DataFrame:
     """500 frames of an order as a BSON document, of the main or of the hand kind; some are cut."""
-    row = F.struct("frame_index", F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("p"), F.col("l_discount").alias("d"))
     part = F.expr("frame_index div 500").alias("part")
-    documents = frames(t).groupBy("episode_index", part).agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    rows = binary.ingest_bson(documents.mapInArrow(_encode_orders, "path STRING, content BINARY"))
+    dealt = frames(t).select("episode_index", part, "frame_index", "l_quantity", "l_extendedprice", "l_discount").repartition("episode_index", "part")
+    # the frames of a document follow each other: no lists are built before they are encoded
+    sorted_ = dealt.sortWithinPartitions("episode_index", "part", "frame_index").drop("frame_index")
+    rows = binary.ingest_bson(sorted_.mapInArrow(_encode_orders, "path STRING, content BINARY"))
     first = F.regexp_extract("path", "_([0-9]+)", 1).cast("long") * 500
     return rows.select(
         F.regexp_extract("path", "/ep/([0-9]+)_", 1).cast("long").alias("episode"),
